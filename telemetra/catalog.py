@@ -512,3 +512,323 @@ def q_update_station_id(spark, sf_dir):
     s = fx.stations(spark, sf_dir)
     return s.withColumn("id", ids.prefix_station_id(F.col("id")))
 
+
+
+# ===========================================================================
+# Ingest: lines -> aligned rows, validation, quarantine, audit (Q4 parts)
+# ===========================================================================
+
+from telemetra.operators import audit as audit_ops  # noqa: E402
+from telemetra.operators import parse as parse_ops  # noqa: E402
+from telemetra.schema import CANONICAL, EXPECTED_COLUMNS, HEADER_ALIASES, LENIENT_AUDIT_CAP, NA_TEXT  # noqa: E402
+
+_D_NA_LIST = "(" + ", ".join("'" + v + "'" for v in NA_TEXT) + ")"
+_D_ALIAS_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in HEADER_ALIASES.items()) + "}"
+_D_EXPECTED = "[" + ", ".join(f"'{c}'" for c in EXPECTED_COLUMNS) + "]"
+
+
+def _d_nan(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR {x} IN {_D_NA_LIST} THEN 'nan' ELSE {x} END"
+
+
+def _d_norm_header(x: str) -> str:
+    s = _d_strip(x)
+    key = f"lower(replace(replace(replace({s}, '&', ''), ' ', ''), '_', ''))"
+    return f"coalesce(map_extract_value({_D_ALIAS_MAP}, {key}), {s})"
+
+
+def _d_valid_expr(mode: str) -> str:
+    if mode == "strict":
+        return f"({_d_valid_sid('k_StationID')} AND {_d_valid_dt('k_DateTime')})"
+    s = _d_strip("k_StationID")
+    return (f"({s} <> '' AND NOT {_d_looks_like_date('k_StationID')} "
+            f"AND NOT coalesce(regexp_full_match({s}, '[0-9]{{1,5}}'), false))")
+
+
+def _d_parse(src: str, mode: str = "strict") -> str:
+    """CTEs ``d_tok, d_hdr, d_rows, d_cells, d_parsed`` over a line CTE ``src``."""
+    clean = "replace(replace(line, chr(0), ''), chr(65533), '')"
+    cells = []
+    for e, c in zip(EXPECTED_COLUMNS, CANONICAL):
+        pos = f"coalesce(list_position(header, '{e}'), 0)"
+        cell = f"CASE WHEN {pos} > 0 AND {pos} <= n THEN tokens[{pos}] END"
+        cells.append(f"{cell} AS c_{c}")
+    for extra in ("Date", "Time"):
+        pos = f"coalesce(list_position(header, '{extra}'), 0)"
+        cells.append(f"CASE WHEN {pos} > 0 AND {pos} <= n THEN tokens[{pos}] END AS c_{extra}")
+    vk = []
+    for c in CANONICAL:
+        v = f"CASE WHEN c_{c} IN {_D_NA_LIST} THEN NULL ELSE c_{c} END"
+        k = f"CASE WHEN c_{c} IS NULL THEN 'None' WHEN c_{c} IN {_D_NA_LIST} THEN 'nan' ELSE c_{c} END"
+        if c == "DateTime":
+            kd = f"CASE WHEN c_Date IS NULL THEN 'None' WHEN c_Date IN {_D_NA_LIST} THEN 'nan' ELSE c_Date END"
+            kt = f"CASE WHEN c_Time IS NULL THEN 'None' WHEN c_Time IN {_D_NA_LIST} THEN 'nan' ELSE c_Time END"
+            merged = f"{_d_strip(kd)}||' '||{_d_strip(kt)}"
+            v = f"CASE WHEN split_dt THEN {merged} ELSE {v} END"
+            k = f"CASE WHEN split_dt THEN {merged} ELSE {k} END"
+        vk.append(f"{v} AS v_{c}")
+        vk.append(f"{k} AS k_{c}")
+    key = "||'|'||".join(f"k_{c}" for c in CANONICAL)
+    blank = "coalesce(" + ", ".join(f"v_{c}" for c in CANONICAL) + ") IS NULL"
+    return f""", d_tok AS (
+SELECT file_path, file_name, line_no, string_split({clean}, ',') AS tokens FROM {src}
+WHERE {_d_strip(clean)} <> ''),
+d_first AS (SELECT file_path, arg_min(line_no, line_no) AS first_line_no, arg_min(tokens, line_no) AS ftok
+            FROM d_tok GROUP BY file_path),
+d_hdr AS (SELECT file_path, first_line_no, len(ftok) AS width,
+  coalesce(list_bool_or(list_transform(ftok, lambda x: contains(lower({_d_nan('x')}), 'station')
+                                                      OR contains(lower({_d_nan('x')}), 'date'))), false) AS has_header,
+  CASE WHEN has_header THEN list_transform(ftok, lambda x: {_d_norm_header(_d_nan('x'))})
+       ELSE list_slice({_D_EXPECTED}, 1, least(width, 15)) END AS header,
+  CASE WHEN NOT has_header AND width > 15 THEN 'error' END AS file_error
+  FROM d_first),
+d_rows AS (SELECT t.*, h.width, h.header, h.file_error, len(t.tokens) AS n,
+  list_contains(h.header, 'Date') AND list_contains(h.header, 'Time') AS split_dt
+  FROM d_tok t JOIN d_hdr h USING (file_path) WHERE NOT (h.has_header AND t.line_no = h.first_line_no)),
+d_cells AS (SELECT file_path, file_name, line_no, tokens, n, width, file_error, split_dt, {", ".join(cells)} FROM d_rows),
+d_vk AS (SELECT file_path, file_name, line_no, tokens, n, width, file_error, {", ".join(vk)} FROM d_cells),
+d_parsed AS (SELECT *, CASE WHEN n > width THEN 'tokenize' WHEN {_d_valid_expr(mode)} THEN 'valid' ELSE 'invalid' END AS kind,
+  CASE WHEN n <= width AND {_d_valid_expr(mode)} THEN {_uuid_of(key)} END AS uuid
+  FROM d_vk WHERE n > width OR NOT ({blank}))
+"""
+
+
+def _uuid_of(name_sql: str) -> str:
+    return fx.duck_uuid(name_sql)
+
+
+def _parsed(spark, sf_dir, source=fx.raw_lines, mode="strict"):
+    rows, headers = parse_ops.parse_lines(source(spark, sf_dir), mode)
+    return rows, headers
+
+
+_D_V = ", ".join(f"v_{c} AS {_q(c)}" for c in CANONICAL)
+def _s_v():
+    return [F.col("v_" + c).alias(c) for c in CANONICAL]
+
+
+@register("tokenize_rows", duck_with("raw_lines") + _d_parse("raw_lines") + """
+SELECT file_name, line_no, CAST(n AS BIGINT) AS n_cells FROM d_parsed WHERE kind <> 'tokenize'""")
+def q_tokenize_rows(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return rows.filter(F.col("kind") != "tokenize").select(
+        "file_name", "line_no", F.size("tokens").cast("bigint").alias("n_cells"))
+
+
+_D_LIST_REPR = "'['||array_to_string(list_transform(tokens, lambda x: ''''||replace(x, '\\', '\\\\')||''''), ', ')||']'"
+
+
+@register("tokenize_bad_rows", duck_with("raw_lines") + _d_parse("raw_lines") + f"""
+SELECT file_name, line_no, {_D_LIST_REPR} AS raw FROM d_parsed WHERE kind = 'tokenize'""")
+def q_tokenize_bad_rows(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return rows.filter(F.col("kind") == "tokenize").select(
+        "file_name", "line_no", text.python_list_repr(F.col("tokens")).alias("raw"))
+
+
+@register("clean_bytes", duck_with("messy_lines") + """
+SELECT file_name, line_no, replace(replace(line, chr(0), ''), chr(65533), '') AS line FROM messy_lines""")
+def q_clean_bytes(spark, sf_dir):
+    m = fx.messy_lines(spark, sf_dir)
+    return m.select("file_name", "line_no", text.clean_bytes(F.col("line")).alias("line"))
+
+
+def _d_headers(src: str) -> str:
+    return duck_with(src) + _d_parse(src) + """
+SELECT d_first.file_path AS file_name, has_header, CAST(width AS BIGINT) AS width, array_to_string(header, '|') AS header
+FROM d_hdr JOIN d_first USING (file_path)"""
+
+
+def _s_headers(spark, sf_dir, source):
+    _, headers = _parsed(spark, sf_dir, source)
+    return headers.select(F.col("file_path").alias("file_name"), "has_header", F.col("width").cast("bigint"),
+                          F.array_join("header", "|").alias("header"))
+
+
+@register("header_detect", _d_headers("header_lines").replace(
+    "array_to_string(header, '|') AS header", "d_hdr.first_line_no"))
+def q_header_detect(spark, sf_dir):
+    _, headers = _parsed(spark, sf_dir, fx.header_lines)
+    return headers.select(F.col("file_path").alias("file_name"), "has_header",
+                          F.col("width").cast("bigint"), "first_line_no")
+
+
+@register("header_normalize", _d_headers("header_lines"))
+def q_header_normalize(spark, sf_dir):
+    return _s_headers(spark, sf_dir, fx.header_lines)
+
+
+@register("header_positional", _d_headers("raw_lines"))
+def q_header_positional(spark, sf_dir):
+    return _s_headers(spark, sf_dir, fx.raw_lines)
+
+
+@register("align_schema", duck_with("header_lines") + _d_parse("header_lines") + f"""
+SELECT file_name, line_no, {_D_V} FROM d_parsed WHERE kind <> 'tokenize'""")
+def q_align_schema(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.header_lines)
+    return rows.filter(F.col("kind") != "tokenize").select("file_name", "line_no", *_s_v())
+
+
+@register("merge_date_time", duck_with("header_lines") + _d_parse("header_lines") + """
+SELECT file_name, line_no, v_DateTime AS "DateTime" FROM d_parsed
+WHERE kind <> 'tokenize' AND dayofmonth(strptime(substr(file_name,1,8), '%Y%m%d'))%3 = 1""")
+def q_merge_date_time(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.header_lines)
+    day = F.dayofmonth(F.to_date(F.substring("file_name", 1, 8), "yyyyMMdd"))
+    return rows.filter((F.col("kind") != "tokenize") & (day % 3 == 1)).select(
+        "file_name", "line_no", F.col("v_DateTime").alias("DateTime"))
+
+
+@register("drop_blank_rows", duck_with("messy_lines") + _d_parse("messy_lines") + """
+SELECT file_name, line_no FROM d_parsed""")
+def q_drop_blank_rows(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
+    return rows.select("file_name", "line_no")
+
+
+@register("missing_values", duck_with("messy_lines") + _d_parse("messy_lines") + """
+SELECT file_name, line_no, v_StationID AS StationID, v_DateTime AS "DateTime", v_MobileNumber AS MobileNumber,
+  v_Battery AS Battery FROM d_parsed WHERE kind <> 'tokenize'""")
+def q_missing_values(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
+    return rows.filter(F.col("kind") != "tokenize").select(
+        "file_name", "line_no", *[F.col("v_" + c).alias(c) for c in ("StationID", "DateTime", "MobileNumber", "Battery")])
+
+
+@register("uuid_tokens", duck_with("messy_lines") + _d_parse("messy_lines").replace(
+    "d_parsed AS (SELECT *,", "d_parsed AS (SELECT *, " + "||'|'||".join(f"k_{c}" for c in CANONICAL) + " AS key_text,")
+    + "SELECT file_name, line_no, key_text FROM d_parsed WHERE kind <> 'tokenize'")
+def q_uuid_tokens(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
+    return rows.filter(F.col("kind") != "tokenize").select(
+        "file_name", "line_no", F.concat_ws("|", F.col("keys")).alias("key_text"))
+
+
+def _d_valid(src: str, mode: str) -> str:
+    return duck_with(src) + _d_parse(src, mode) + f"""
+SELECT file_name, line_no, {_D_V}, uuid FROM d_parsed WHERE kind = 'valid' AND file_error IS NULL"""
+
+
+@register("validate_strict", _d_valid("raw_lines", "strict"))
+def q_validate_strict(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return rows.filter((F.col("kind") == "valid") & F.col("file_error").isNull()).select(
+        "file_name", "line_no", *_s_v(), "uuid")
+
+
+@register("validate_lenient", _d_valid("raw_lines", "lenient"))
+def q_validate_lenient(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, mode="lenient")
+    return rows.filter((F.col("kind") == "valid") & F.col("file_error").isNull()).select(
+        "file_name", "line_no", *_s_v(), "uuid")
+
+
+def _d_record_json() -> str:
+    rec = "json_object(" + ", ".join(f"'{e}', v_{c}" for e, c in zip(EXPECTED_COLUMNS, CANONICAL)) + ")::VARCHAR"
+    tok = f"json_object('error', 'tokenize', 'raw', {_D_LIST_REPR})::VARCHAR"
+    return f"CASE WHEN kind = 'tokenize' THEN {tok} ELSE {rec} END"
+
+
+def _d_failures(src: str, mode: str) -> str:
+    base = duck_with(src) + _d_parse(src, mode)
+    sel = f"""SELECT file_path, file_name, line_no, kind, CASE WHEN kind = 'tokenize' THEN 0 ELSE 1 END AS part,
+  {_d_record_json()} AS record FROM d_parsed WHERE kind <> 'valid' AND file_error IS NULL"""
+    if mode == "lenient":
+        sel = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY file_path, kind ORDER BY line_no) AS rn
+  FROM ({sel})) WHERE kind = 'tokenize' OR rn <= {LENIENT_AUDIT_CAP}"""
+    return base + ", d_fail AS (" + sel + ")\n"
+
+
+@register("quarantine_strict", _d_failures("raw_lines", "strict") + """
+SELECT file_name, line_no, kind, record FROM d_fail""")
+def q_quarantine_strict(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return audit_ops.failures(rows, "strict").select("file_name", "line_no", "kind", "record")
+
+
+@register("quarantine_lenient", _d_failures("raw_lines", "lenient") + """
+SELECT file_name, line_no, kind, record FROM d_fail""")
+def q_quarantine_lenient(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, mode="lenient")
+    return audit_ops.failures(rows, "lenient").select("file_name", "line_no", "kind", "record")
+
+
+@register("quarantine_union", _d_failures("messy_lines", "strict") + """
+SELECT file_name, line_no, kind, part FROM d_fail""")
+def q_quarantine_union(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
+    return audit_ops.failures(rows, "strict").select("file_name", "line_no", "kind", "part")
+
+
+@register("failed_capped", _d_failures("raw_lines", "lenient") + """
+SELECT file_name, line_no FROM d_fail WHERE kind = 'invalid'""")
+def q_failed_capped(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir, mode="lenient")
+    return audit_ops.failures(rows, "lenient").filter(F.col("kind") == "invalid").select("file_name", "line_no")
+
+
+@register("failed_records_json", _d_failures("raw_lines", "strict") + """
+SELECT file_name, CAST(part AS INTEGER) AS part, CAST(floor(line_no / 10000) AS BIGINT) AS chunk_no,
+  count(*) AS n_records, '['||string_agg(record, ',' ORDER BY line_no)||']' AS failed_records
+FROM d_fail GROUP BY file_name, part, floor(line_no / 10000)""")
+def q_failed_records_json(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return audit_ops.failed_records_json(rows, "strict").drop("file_path")
+
+
+@register("failed_samples", duck_with("raw_lines") + _d_parse("raw_lines") + f"""
+, ranked AS (SELECT file_name, line_no, k_StationID,
+   row_number() OVER (PARTITION BY file_path ORDER BY line_no) AS rn FROM d_parsed WHERE kind = 'invalid' AND file_error IS NULL)
+SELECT file_name, '['||string_agg(''''||replace(k_StationID, '\\', '\\\\')||'''', ', ' ORDER BY line_no)||']' AS examples
+FROM ranked WHERE rn <= 5 GROUP BY file_name""")
+def q_failed_samples(spark, sf_dir):
+    rows, _ = _parsed(spark, sf_dir)
+    return audit_ops.failed_samples(rows).drop("file_path")
+
+
+def _d_audit(src: str, mode: str) -> str:
+    base = duck_with(src) + _d_parse(src, mode)
+    if mode == "strict":
+        fail, record, audited = "ni + nt", "nv + ni + nt", "file_error IS NULL AND (nv > 0 OR ni + nt > 0)"
+    else:
+        fail = f"CASE WHEN nv = 0 THEN ni ELSE nt + least(ni, {LENIENT_AUDIT_CAP}) END"
+        record = f"CASE WHEN nv = 0 THEN ni ELSE nv + nt + least(ni, {LENIENT_AUDIT_CAP}) END"
+        audited = "file_error IS NULL"
+    return base + f""", d_counts AS (
+SELECT h.file_path, f.file_name, h.file_error,
+  count(*) FILTER (WHERE p.kind = 'valid') AS nv, count(*) FILTER (WHERE p.kind = 'invalid') AS ni,
+  count(*) FILTER (WHERE p.kind = 'tokenize') AS nt
+FROM d_hdr h JOIN (SELECT DISTINCT file_path, file_name FROM d_tok) f USING (file_path)
+LEFT JOIN d_parsed p USING (file_path) GROUP BY h.file_path, f.file_name, h.file_error),
+d_audit AS (SELECT file_path, file_name,
+  CASE WHEN {audited} THEN CAST({record} AS BIGINT) END AS record_count,
+  CASE WHEN {audited} THEN CAST(nv AS BIGINT) END AS success_count,
+  CASE WHEN {audited} THEN CAST({fail} AS BIGINT) END AS fail_count,
+  CASE WHEN file_error IS NOT NULL THEN file_error WHEN ({audited}) AND nv = 0 THEN 'all_invalid' END AS error,
+  {audited} AS audited, {audited} AS ledgered,
+  CAST(CASE WHEN file_error IS NULL THEN nv ELSE 0 END AS BIGINT) AS inserted,
+  CAST(CASE WHEN {audited} THEN {fail} ELSE 0 END AS BIGINT) AS skipped
+FROM d_counts)
+"""
+
+
+@register("file_audit", _d_audit("raw_lines", "strict") + "SELECT * EXCLUDE (file_path) FROM d_audit")
+def q_file_audit(spark, sf_dir):
+    rows, headers = _parsed(spark, sf_dir)
+    return audit_ops.file_audit(rows, headers, "strict").drop("file_path")
+
+
+@register("file_audit_lenient", _d_audit("messy_lines", "lenient") + "SELECT * EXCLUDE (file_path) FROM d_audit")
+def q_file_audit_lenient(spark, sf_dir):
+    rows, headers = _parsed(spark, sf_dir, fx.messy_lines, "lenient")
+    return audit_ops.file_audit(rows, headers, "lenient").drop("file_path")
+
+
+@register("run_summary", _d_audit("messy_lines", "strict") + """
+SELECT count(*) AS files, CAST(coalesce(sum(inserted), 0) AS BIGINT) AS inserted,
+  CAST(coalesce(sum(skipped), 0) AS BIGINT) AS skipped, count(*) FILTER (WHERE error IS NOT NULL) AS files_with_error
+FROM d_audit""")
+def q_run_summary(spark, sf_dir):
+    rows, headers = _parsed(spark, sf_dir, fx.messy_lines)
+    return audit_ops.run_summary(audit_ops.file_audit(rows, headers, "strict"))

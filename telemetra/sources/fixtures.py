@@ -121,6 +121,40 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("file_name").alias("file_path"), "file_name", "line_no", line.alias("line"))
 
 
+def messy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_lines`` with blank lines, all-empty rows, short rows and junk characters."""
+    r = raw_lines(spark, sf_dir)
+    n, line = F.col("line_no"), F.col("line")
+    messy = (F.when(n % 17 == 0, F.lit(""))
+              .when(n % 13 == 0, F.lit(",,"))
+              .when(n % 23 == 0, F.split_part(line, F.lit(","), F.lit(1)))
+              .when(n % 19 == 0, F.concat(line, F.lit("\x00")))
+              .when(n % 29 == 0, F.concat(F.lit("\ufffd"), line))
+              .otherwise(line))
+    return r.select("file_path", "file_name", "line_no", messy.alias("line"))
+
+
+# Header text per file kind (day of month % 3): aliases with "&", blanks and
+# case; split Date/Time; the dotted pressure name and an unknown column.
+HEADER_KINDS = ["Station ID,Date & Time,WL", "STNID,Date,Time,Batt", "Station,DateTimeStamp,At.pressure,Unknown Col"]
+
+
+def header_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One header line (line_no -1) per daily file, then its data lines."""
+    r = raw_readings(spark, sf_dir)
+    kind = F.dayofmonth(F.to_date(F.substring(F.col("file_name"), 1, 8), "yyyyMMdd")) % 3
+    sid = F.coalesce(F.col("StationID"), F.lit(""))
+    data = F.when(kind == 1, F.concat(sid, F.lit(","), F.replace(F.col("DateTime"), F.lit(" "), F.lit(",")),
+                                      F.lit(","), F.col("WaterLevel"))) \
+            .otherwise(F.concat(sid, F.lit(","), F.col("DateTime"), F.lit(","), F.col("WaterLevel")))
+    body = r.select(F.col("file_name").alias("file_path"), "file_name", "line_no", data.alias("line"))
+    heads = (r.groupBy("file_name").agg(F.lit(-1).cast("bigint").alias("line_no"))
+              .withColumn("kind", kind)
+              .select(F.col("file_name").alias("file_path"), "file_name", "line_no",
+                      F.element_at(F.array(*[F.lit(h) for h in HEADER_KINDS]), F.col("kind") + 1).alias("line")))
+    return body.unionByName(heads)
+
+
 # ---------------------------------------------------------------------------
 # DuckDB side of the same views, inlined as CTEs by the oracle SQL.
 # ---------------------------------------------------------------------------
@@ -178,14 +212,36 @@ SELECT file_name AS file_path, file_name, line_no, coalesce(StationID,'')||','||
   CASE WHEN line_no%59=0 THEN 'x,y' ELSE WaterLevel END AS line FROM raw_readings)"""
 
 
+DUCK_MESSY_LINES = """messy_lines AS (
+SELECT file_path, file_name, line_no,
+  CASE WHEN line_no%17=0 THEN '' WHEN line_no%13=0 THEN ',,' WHEN line_no%23=0 THEN split_part(line, ',', 1)
+       WHEN line_no%19=0 THEN line||chr(0) WHEN line_no%29=0 THEN chr(65533)||line ELSE line END AS line
+FROM raw_lines)"""
+
+DUCK_HEADER_LINES = """header_body AS (
+SELECT file_name AS file_path, file_name, line_no,
+  CASE WHEN dayofmonth(strptime(substr(file_name,1,8), '%Y%m%d'))%3 = 1
+       THEN coalesce(StationID,'')||','||replace("DateTime", ' ', ',')||','||WaterLevel
+       ELSE coalesce(StationID,'')||','||"DateTime"||','||WaterLevel END AS line
+FROM raw_readings),
+header_lines AS (
+SELECT * FROM header_body UNION ALL
+SELECT file_name, file_name, CAST(-1 AS BIGINT),
+  ['""" + "', '".join(HEADER_KINDS) + """'][dayofmonth(strptime(substr(file_name,1,8), '%Y%m%d'))%3 + 1]
+FROM (SELECT DISTINCT file_name FROM raw_readings))"""
+
+
 def duck_with(*ctes: str) -> str:
     """``WITH`` clause over the named fixture CTEs (dependencies added in order)."""
     order = []
     names = set(ctes)
-    if "raw_lines" in names:
+    if "messy_lines" in names:
+        names.add("raw_lines")
+    if "raw_lines" in names or "header_lines" in names:
         names.add("raw_readings")
     for name, sql in (("stations", DUCK_STATIONS), ("readings", DUCK_READINGS),
-                      ("raw_readings", DUCK_RAW_READINGS), ("raw_lines", DUCK_RAW_LINES)):
+                      ("raw_readings", DUCK_RAW_READINGS), ("raw_lines", DUCK_RAW_LINES),
+                      ("messy_lines", DUCK_MESSY_LINES), ("header_lines", DUCK_HEADER_LINES)):
         if name in names:
             order.append(sql)
     return "WITH " + ",\n".join(order) + "\n"
