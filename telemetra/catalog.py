@@ -832,3 +832,67 @@ FROM d_audit""")
 def q_run_summary(spark, sf_dir):
     rows, headers = _parsed(spark, sf_dir, fx.messy_lines)
     return audit_ops.run_summary(audit_ops.file_audit(rows, headers, "strict"))
+
+
+# ===========================================================================
+# Table changes: insert-ignore, ledger, unprocessed files, delete
+# ===========================================================================
+
+from telemetra.operators import store  # noqa: E402
+
+
+@register("insert_ignore_conflicts", duck_with("readings") + f"""
+, batch AS (SELECT * FROM readings WHERE obs_date >= DATE '2024-01-15'
+            UNION ALL SELECT * FROM readings WHERE obs_date = DATE '2024-01-20'),
+existing AS (SELECT uuid FROM readings WHERE obs_date <= DATE '2024-01-20')
+SELECT DISTINCT {_D_READING_ALL} FROM batch WHERE uuid NOT IN (SELECT uuid FROM existing)""")
+def q_insert_ignore_conflicts(spark, sf_dir):
+    r = fx.readings(spark, sf_dir)
+    batch = filters.filter_date(r, start="2024-01-15").unionByName(filters.filter_day(r, "2024-01-20"))
+    existing = filters.filter_date(r, end="2024-01-20")
+    return store.rows_to_insert(batch, existing)
+
+
+_D_FILES = "(SELECT DISTINCT file_name, strptime(substr(file_name,1,8), '%Y%m%d') AS d FROM raw_lines)"
+
+
+@register("ledger_upsert", duck_with("raw_lines") + f"""
+, old AS (SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS processed_at FROM {_D_FILES} WHERE dayofmonth(d) < 16),
+new AS (SELECT file_name, TIMESTAMP '2024-02-02 06:00:00' AS processed_at FROM {_D_FILES} WHERE dayofmonth(d) >= 10)
+SELECT file_name, max(processed_at) AS processed_at FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY file_name""")
+def q_ledger_upsert(spark, sf_dir):
+    files = _s_files(spark, sf_dir)
+    old = files.filter(F.dayofmonth("d") < 16).select(
+        "file_name", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("processed_at"))
+    new = files.filter(F.dayofmonth("d") >= 10).select(
+        "file_name", F.lit("2024-02-02 06:00:00").cast("timestamp_ntz").alias("processed_at"))
+    return store.ledger_upsert(old, new)
+
+
+def _s_files(spark, sf_dir):
+    lines = fx.raw_lines(spark, sf_dir)
+    return lines.select("file_name").distinct().withColumn(
+        "d", F.to_date(F.substring("file_name", 1, 8), "yyyyMMdd"))
+
+
+@register("unprocessed_files", duck_with("raw_lines") + f"""
+SELECT file_name FROM {_D_FILES} WHERE file_name NOT IN (SELECT file_name FROM {_D_FILES} WHERE dayofmonth(d) < 16)""")
+def q_unprocessed_files(spark, sf_dir):
+    files = _s_files(spark, sf_dir)
+    ledger = files.filter(F.dayofmonth("d") < 16).select("file_name")
+    return store.unprocessed_files(files.select("file_name"), ledger)
+
+
+@register("delete_sentinels", _D_RAW + "WHERE NOT coalesce(\"DateTime\" IN ('22/05/25 12:82', '00/00/00 00:00'), false)")
+def q_delete_sentinels(spark, sf_dir):
+    return store.delete_sentinels(fx.raw_readings(spark, sf_dir))
+
+
+@register("ingest_pipeline", duck_with("messy_lines") + _d_parse("messy_lines") + f"""
+, ins AS (SELECT DISTINCT {", ".join(f"v_{c} AS {_q(c)}" for c in CANONICAL)}, uuid FROM d_parsed
+          WHERE kind = 'valid' AND file_error IS NULL)
+SELECT *, {_d_parse_ts('"DateTime"')} AS ts, CAST({_d_parse_ts('"DateTime"')} AS DATE) AS obs_date FROM ins""")
+def q_ingest_pipeline(spark, sf_dir):
+    """Lines -> stored readings of one ingest into an empty table (Q4 without the folder I/O)."""
+    rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
+    return store.typed_readings(parse_ops.readings_from(rows).dropDuplicates(["uuid"]))
