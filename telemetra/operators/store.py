@@ -103,7 +103,8 @@ class TableStore:
 
     def append_run_table(self, name: str, df: DataFrame) -> None:
         """Write one run's rows; a replay of the same run_id replaces them (K3)."""
-        df.write.mode("overwrite").partitionBy("run_id").parquet(self.path(name))
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id").parquet(self.path(name)))
 
     def append_readings(self, batch: DataFrame) -> int:
         """Insert typed readings, ignoring uuids already stored (K1).
