@@ -15,7 +15,7 @@ from telemetra.functions.ids import uuid5
 from telemetra.functions.text import (clean_bytes, header_text, is_blank_line, normalize_header, python_list_repr,
                                       strip_ws, tokenize)
 from telemetra.functions.validate import lenient_valid, strict_valid
-from telemetra.operators.joins import broadcast_if_small
+from telemetra.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 from telemetra.schema import CANONICAL, EXPECTED_COLUMNS, NA_TEXT, NAN_TOKEN, NONE_TOKEN
 
 HEADERLESS_WIDTH_ERROR = "headerless file wider than the {n} expected columns".format(n=len(EXPECTED_COLUMNS))
@@ -66,9 +66,19 @@ def file_headers(tokens: DataFrame) -> DataFrame:
                     F.array_position(hdr, F.lit("Time")).cast("int").alias("pos_time"), split_dt)
 
 
-def attach_headers(tokens: DataFrame, headers: DataFrame) -> DataFrame:
-    """Give every data line its file's width and column names; drop header lines."""
-    h = broadcast_if_small(headers.drop("file_name"))
+def attach_headers(tokens: DataFrame, headers: DataFrame, n_files: int | None = None) -> DataFrame:
+    """Give every data line its file's width and column names; drop header lines.
+
+    The header table has one row per file. It is broadcast when the number of
+    files is known (from the listing, or ``maxFilesPerTrigger``) and within
+    the broadcast bound, or when a bounded count proves it small; otherwise
+    the join is a shuffle join (AQE splits a hot file's partition).
+    """
+    h = headers.drop("file_name")
+    if n_files is None:
+        h = broadcast_if_small(h)
+    elif n_files <= BROADCAST_MAX_ROWS:
+        h = F.broadcast(h)
     j = tokens.join(h, "file_path")
     header_line = F.col("has_header") & (F.col("line_no") == F.col("first_line_no"))
     return j.filter(~header_line)
@@ -137,11 +147,16 @@ def classify(rows: DataFrame, mode: str = "strict") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
-    """Lines -> (classified rows, per-file headers). See the module docstring."""
+def parse_lines(lines: DataFrame, mode: str = "strict", n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines -> (classified rows, per-file headers). See the module docstring.
+
+    ``n_files`` is an upper bound on the number of files, if the caller knows
+    one (folder listing, ``maxFilesPerTrigger``); else the header table's size
+    is checked (see ``attach_headers``).
+    """
     tokens = tokenize_lines(lines)
     headers = file_headers(tokens)
-    rows = attach_headers(tokens, headers)
+    rows = attach_headers(tokens, headers, n_files)
     return classify(rows, mode), headers
 
 

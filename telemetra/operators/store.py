@@ -31,6 +31,11 @@ READINGS, QUARANTINE, FAILURES, AUDIT, LEDGER_DIR = "readings", "quarantine", "f
 
 # --- pure DataFrame operators ------------------------------------------------
 
+def _has_pipe(columns: list[str]) -> Column:
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in columns if c in CANONICAL]
+    return F.exists(F.array(*cells), lambda x: x.contains("|")) if cells else F.lit(False)
+
+
 def rows_to_insert(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """``INSERT ... ON CONFLICT (uuid) DO NOTHING``: first row per uuid, minus stored uuids."""
     first = batch.dropDuplicates(["uuid"])
@@ -125,8 +130,7 @@ class TableStore:
             in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
             if None in dates:
                 in_days = in_days | F.col("obs_date").isNull()
-            has_pipe = F.exists(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in CANONICAL]),
-                                lambda x: x.contains("|"))
+            has_pipe = _has_pipe(batch.columns)
             plain = rows_to_insert(batch.filter(~has_pipe), existing.filter(in_days))
             piped = rows_to_insert(batch.filter(has_pipe), existing)
             new = plain.unionByName(piped)

@@ -20,7 +20,7 @@ from telemetra.operators import audit as audit_ops
 from telemetra.operators.parse import parse_lines, readings_from
 from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_readings, unprocessed_files
 from telemetra.session import scratch_path
-from telemetra.sources.files import CSV_GLOB, list_logger_files, scan_logger_files, with_line_numbers
+from telemetra.sources.files import list_logger_files, scan_logger_files, split_bound
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
 
@@ -33,7 +33,7 @@ def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mode: str = "strict",
                  run_id: str | None = None, now: _dt.datetime | None = None,
-                 candidates: DataFrame | None = None) -> DataFrame:
+                 candidates: DataFrame | None = None, n_files: int | None = None) -> DataFrame:
     """Ingest one batch of lines into ``store``; returns the per-file results.
 
     ``candidates`` (file_path, file_name) lists every file of the batch, so
@@ -41,7 +41,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
     """
     run_id = run_id or _uuid.uuid4().hex
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    rows, headers = parse_lines(lines, mode)
+    rows, headers = parse_lines(lines, mode, n_files)
     rows = _stage(spark, rows, "parsed-rows")
     headers = _stage(spark, headers.select("file_path", "file_name", "file_error"), "parsed-headers")
 
@@ -83,46 +83,15 @@ def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: st
     store = TableStore(spark, table_dir)
     files = list_logger_files(spark, src_dir)
     todo = _stage(spark, unprocessed_files(files, store.ledger()).select("file_path", "file_name"), "todo")
-    paths = [r[0] for r in todo.select("file_path").collect()]
+    listing = todo.join(files.select("file_path", "size"), "file_path").collect()
+    paths = [r.file_path for r in listing]
     if not paths:
         return audit_ops.run_summary(spark.createDataFrame(
             [], "inserted bigint, skipped bigint, error string"))
-    per_file = ingest_lines(spark, scan_logger_files(spark, paths), store, mode=mode, run_id=run_id, now=now,
-                            candidates=todo)
+    blocks = split_bound(len(paths), sum(r.size for r in listing))
+    per_file = ingest_lines(spark, scan_logger_files(spark, paths, blocks), store, mode=mode, run_id=run_id,
+                            now=now, candidates=todo, n_files=len(paths))
     return audit_ops.run_summary(per_file)
 
 
-def ingest_stream(spark: SparkSession, src_dir: str, table_dir: str, checkpoint: str, *, mode: str = "strict",
-                  max_files_per_trigger: int = 1000, available_now: bool = True):
-    """Incremental ingest with Structured Streaming.
-
-    The file source's checkpoint remembers processed base names
-    (``fileNameOnly``); ``maxFileAge`` is raised so late-synced old files are
-    still picked up. Each micro-batch runs the batch ingest, keyed by its
-    batch id, after dropping files the ledger already holds (e.g. from batch
-    runs). ``maxFilesPerTrigger`` bounds the files, hence the per-file tables
-    broadcast, of every micro-batch. Returns the started query.
-    """
-    store = TableStore(spark, table_dir)
-    stream = (spark.readStream.format("text")
-              .option("pathGlobFilter", CSV_GLOB)
-              .option("fileNameOnly", "true")
-              .option("maxFileAge", "3650d")
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .load(src_dir))
-    raw = stream.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("value").alias("line"),
-    )
-
-    def _batch(df: DataFrame, batch_id: int) -> None:
-        lines = with_line_numbers(df.withColumn("rid", F.monotonically_increasing_id()))
-        lines = lines.join(store.ledger().select("file_name"), "file_name", "left_anti")
-        files = lines.select("file_path", "file_name").distinct()
-        ingest_lines(spark, lines, store, mode=mode, run_id=f"batch-{batch_id:012d}", candidates=files)
-
-    writer = raw.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+from telemetra.streaming.incremental import ingest_stream  # noqa: E402,F401  (re-export)

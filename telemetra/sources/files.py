@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from telemetra.operators.joins import broadcast_if_small
+from telemetra.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -32,19 +32,25 @@ def list_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB) -
     )
 
 
-def with_line_numbers(raw: DataFrame) -> DataFrame:
+def with_line_numbers(raw: DataFrame, max_blocks: int | None = None) -> DataFrame:
     """Exact 1-based line numbers per file for a ``read.text`` scan (blank lines counted).
 
     ``raw`` must carry ``file_path``, ``file_name``, ``block_start``, ``rid``
     (``monotonically_increasing_id()`` taken in the scan) and ``line``. Rows
     of one split are contiguous within a task, so ``rid - min(rid)`` is the
-    line's index inside its split.
+    line's index inside its split. ``max_blocks`` bounds the number of
+    splits when the caller knows it (file count and sizes from the listing);
+    the per-split table is broadcast only within the bound.
     """
     blocks = raw.groupBy("file_path", "block_start").agg(
         F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid0"))
     w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    b = broadcast_if_small(blocks.select("file_path", "block_start", "rid0", "offset"))
+    b = blocks.select("file_path", "block_start", "rid0", "offset")
+    if max_blocks is None:
+        b = broadcast_if_small(b)
+    elif max_blocks <= BROADCAST_MAX_ROWS:
+        b = F.broadcast(b)
     j = raw.join(b, ["file_path", "block_start"])
     return j.select("file_path", "file_name",
                     (F.col("offset") + F.col("rid") - F.col("rid0") + 1).cast("bigint").alias("line_no"),
@@ -63,6 +69,15 @@ def read_text_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     )
 
 
-def scan_logger_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+# Smallest split Spark makes of a file (spark.sql.files.openCostInBytes default).
+MIN_SPLIT_BYTES = 4 * 1024 * 1024
+
+
+def split_bound(n_files: int, total_bytes: int) -> int:
+    """Upper bound on the number of splits of ``n_files`` files of ``total_bytes``."""
+    return n_files + total_bytes // MIN_SPLIT_BYTES
+
+
+def scan_logger_files(spark: SparkSession, paths: list[str] | str, max_blocks: int | None = None) -> DataFrame:
     """Lines of the given CSV files: (file_path, file_name, line_no, line) (S1, S2 happens in parsing)."""
-    return with_line_numbers(read_text_lines(spark, paths))
+    return with_line_numbers(read_text_lines(spark, paths), max_blocks)
