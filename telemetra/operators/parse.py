@@ -33,16 +33,17 @@ def _has_header(tokens: Column) -> Column:
                     | F.lower(header_text(x)).contains("date"))
 
 
-def file_headers(tokens: DataFrame) -> DataFrame:
+def file_headers(tokens: DataFrame, n_files: int | None = None) -> DataFrame:
     """One row per file: first line, width, header flag, column names, error.
 
-    ``min_by`` is a partial aggregate, so a file of any size costs one small
-    row per task before the shuffle.
+    The first line number per file is a hash aggregate with fixed-width
+    buffers (partial aggregation, no sort of the lines); the first lines are
+    then picked out with a join against that small per-file table.
     """
-    first = tokens.groupBy("file_path").agg(
-        F.first("file_name").alias("file_name"),
-        F.min_by(F.struct("line_no", "tokens"), F.col("line_no")).alias("first"),
-    )
+    first_no = tokens.groupBy("file_path").agg(F.min("line_no").alias("line_no"))
+    small = _bounded(first_no, n_files)
+    first = (tokens.join(small, ["file_path", "line_no"])
+             .select("file_path", "file_name", F.struct("line_no", "tokens").alias("first")))
     ftok = F.col("first.tokens")
     width = F.size(ftok)
     has_header = _has_header(ftok)
@@ -66,6 +67,13 @@ def file_headers(tokens: DataFrame) -> DataFrame:
                     F.array_position(hdr, F.lit("Time")).cast("int").alias("pos_time"), split_dt)
 
 
+def _bounded(per_file: DataFrame, n_files: int | None) -> DataFrame:
+    """Broadcast a one-row-per-file table only within a known or checked bound."""
+    if n_files is None:
+        return broadcast_if_small(per_file)
+    return F.broadcast(per_file) if n_files <= BROADCAST_MAX_ROWS else per_file
+
+
 def attach_headers(tokens: DataFrame, headers: DataFrame, n_files: int | None = None) -> DataFrame:
     """Give every data line its file's width and column names; drop header lines.
 
@@ -74,11 +82,7 @@ def attach_headers(tokens: DataFrame, headers: DataFrame, n_files: int | None =
     the broadcast bound, or when a bounded count proves it small; otherwise
     the join is a shuffle join (AQE splits a hot file's partition).
     """
-    h = headers.drop("file_name")
-    if n_files is None:
-        h = broadcast_if_small(h)
-    elif n_files <= BROADCAST_MAX_ROWS:
-        h = F.broadcast(h)
+    h = _bounded(headers.drop("file_name"), n_files)
     j = tokens.join(h, "file_path")
     header_line = F.col("has_header") & (F.col("line_no") == F.col("first_line_no"))
     return j.filter(~header_line)
@@ -147,15 +151,20 @@ def classify(rows: DataFrame, mode: str = "strict") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, mode: str = "strict", n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+def parse_lines(lines: DataFrame, mode: str = "strict", n_files: int | None = None,
+                stage=None) -> tuple[DataFrame, DataFrame]:
     """Lines -> (classified rows, per-file headers). See the module docstring.
 
     ``n_files`` is an upper bound on the number of files, if the caller knows
     one (folder listing, ``maxFilesPerTrigger``); else the header table's size
-    is checked (see ``attach_headers``).
+    is checked (see ``attach_headers``). ``stage`` optionally materialises the
+    tokenised lines (e.g. as Parquet in the checkpoint folder) so the source
+    is read once; the per-file aggregates then read two columns of that copy.
     """
     tokens = tokenize_lines(lines)
-    headers = file_headers(tokens)
+    if stage is not None:
+        tokens = stage(tokens)
+    headers = file_headers(tokens, n_files)
     rows = attach_headers(tokens, headers, n_files)
     return classify(rows, mode), headers
 

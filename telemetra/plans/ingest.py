@@ -41,7 +41,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
     """
     run_id = run_id or _uuid.uuid4().hex
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    rows, headers = parse_lines(lines, mode, n_files)
+    rows, headers = parse_lines(lines, mode, n_files, stage=lambda df: _stage(spark, df, "tokens"))
     rows = _stage(spark, rows, "parsed-rows")
     headers = _stage(spark, headers.select("file_path", "file_name", "file_error"), "parsed-headers")
 
