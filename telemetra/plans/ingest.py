@@ -20,7 +20,7 @@ from telemetra.operators import audit as audit_ops
 from telemetra.operators.parse import parse_lines, readings_from
 from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_readings, unprocessed_files
 from telemetra.session import scratch_path
-from telemetra.sources.files import list_logger_files, scan_logger_files, split_bound
+from telemetra.sources.files import CSV_GLOB, list_logger_files, scan_logger_files, split_bound
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
 
@@ -74,14 +74,14 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
 
 
 def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: str = "strict",
-                  run_id: str | None = None, now: _dt.datetime | None = None) -> DataFrame:
+                  run_id: str | None = None, now: _dt.datetime | None = None, glob: str = CSV_GLOB) -> DataFrame:
     """Ingest every CSV file of ``src_dir`` not yet in the ledger; returns the run summary.
 
     Files are skipped by base name, as the ledger keys them. The list of new
     paths is collected to hand it to the reader (file metadata only).
     """
     store = TableStore(spark, table_dir)
-    files = list_logger_files(spark, src_dir)
+    files = list_logger_files(spark, src_dir, glob)
     todo = _stage(spark, unprocessed_files(files, store.ledger()).select("file_path", "file_name"), "todo")
     listing = todo.join(files.select("file_path", "size"), "file_path").collect()
     paths = [r.file_path for r in listing]
