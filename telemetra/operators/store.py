@@ -137,27 +137,52 @@ class TableStore:
         new.write.mode("append").partitionBy("obs_date").parquet(self.path(READINGS))
         return 0
 
-    def rewrite_readings(self, transform) -> None:
-        """Apply ``transform`` to the readings partitions it changes (K4/K5 on stored data).
-
-        The result is staged in the checkpoint folder first, then the changed
-        partitions are overwritten from the staged copy (dynamic overwrite).
+    def _drop_partitions(self, days: list) -> None:
+        """Remove whole ``obs_date`` partition folders (HDFS, S3 and local alike)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for d in days:
+            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
+            path = jvm.org.apache.hadoop.fs.Path(self.path(READINGS) + f"/obs_date={name}")
+            path.getFileSystem(conf).delete(path, True)
+
+    def rewrite_readings(self, affected: Column, transform) -> None:
+        """Rewrite the readings partitions holding rows that match ``affected`` (K4/K5 on stored data).
+
+        The affected days are collected (bounded by the number of days). Their
+        rows go through ``transform``, are staged in the checkpoint folder, and
+        the staged copy overwrites those partitions (dynamic overwrite); days
+        whose partition became empty are then removed.
         """
         current = self.read(READINGS)
         if current is None:
             return
+        days = [r[0] for r in current.filter(affected).select("obs_date").distinct().collect()]
+        if not days:
+            return
+        vals = [d for d in days if d is not None]
+        in_days = F.col("obs_date").isin(*vals) if vals else F.lit(False)
+        if None in days:
+            in_days = in_days | F.col("obs_date").isNull()
         staged_path = scratch_path(self.spark, "rewrite")
-        transform(current).write.mode("overwrite").partitionBy("obs_date").parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("obs_date").parquet(self.path(READINGS)))
+        transform(current.filter(in_days)).write.mode("overwrite").partitionBy("obs_date").parquet(staged_path)
+        staged = self.read_path(staged_path)
+        kept = set()
+        if staged is not None:
+            kept = {r[0] for r in staged.select("obs_date").distinct().collect()}
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("obs_date").parquet(self.path(READINGS)))
+        self._drop_partitions([d for d in days if d not in kept])
+
+    def read_path(self, path: str) -> DataFrame | None:
+        return self.spark.read.parquet(path) if _exists(self.spark, path) else None
 
     def delete_sentinel_readings(self, values: list[str] = SENTINEL_DATETIMES) -> None:
         """Stored-table form of the sentinel DELETE (K4): only partitions holding them change."""
         pred = sentinel_predicate(values)
+        self.rewrite_readings(pred, lambda df: df.filter(~pred))
 
-        def _t(df: DataFrame) -> DataFrame:
-            days = df.filter(pred).select("obs_date").distinct()
-            hit = df.join(days, df["obs_date"].eqNullSafe(days["obs_date"]), "left_semi")
-            return hit.filter(~pred)
-        self.rewrite_readings(_t)
+    def update_readings(self, affected: Column, column: str, value: Column) -> None:
+        """Stored-table UPDATE ... SET column = value WHERE affected (K5 form for readings)."""
+        self.rewrite_readings(affected, lambda df: df.withColumn(
+            column, F.when(affected, value).otherwise(F.col(column))))
