@@ -31,3 +31,20 @@ def test_insert_ignore_and_sentinel_delete(spark, tmp_path):
     assert "&00000005" not in left and "&00000002" not in left and {"&00000001", "&00000003", "&00000004", "&00000006"} <= left
     days = {x.obs_date for x in store.read("readings").collect()}
     assert dt.date(2024, 1, 3) in days
+
+
+def test_date_filter_prunes_stored_partitions(spark, tmp_path):
+    from telemetra.operators.filters import filter_date
+    from telemetra.plans.stations import station_readings
+    from telemetra.sources import fixtures as fx
+    from conftest import SF_SMALL
+
+    store = TableStore(spark, str(tmp_path))
+    store.append_readings(fx.readings(spark, SF_SMALL))
+    stored = store.read("readings")
+    df = filter_date(stored, "2024-01-05", "2024-01-06").select("StationID")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(obs_date" in plan and "ReadSchema: struct<StationID:string>" in plan
+    page = station_readings(stored, fx.stations(spark, SF_SMALL), start_date="2024-01-05", end_date="2024-01-06")
+    assert "PartitionFilters: [isnotnull(obs_date" in page._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == fx.readings(spark, SF_SMALL).filter("obs_date BETWEEN '2024-01-05' AND '2024-01-06'").count()
