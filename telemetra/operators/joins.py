@@ -19,35 +19,40 @@ def _estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint ``broadcast`` only for a side with a proven size bound.
-
-    First the optimizer estimate (cheap, an upper bound for a plain scan); if
-    that is inconclusive, a bounded count that stops after ``max_rows + 1``
-    rows. Otherwise the side is returned unhinted.
-    """
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Proven size bound: the optimizer estimate (cheap, an upper bound for a
+    plain scan), or else a bounded count that stops after ``max_rows + 1`` rows."""
     est = _estimated_bytes(df)
     if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+        return True
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """Hint ``broadcast`` only for a side with a proven size bound (see ``is_small``).
+
+    ``small`` passes a decision already taken for the same data. Otherwise
+    the side is returned unhinted and stays a shuffle join.
+    """
+    if small is None:
+        small = is_small(df)
+    return F.broadcast(df) if small else df
 
 
-def join_station_readings(readings: DataFrame, stations: DataFrame, how: str = "inner") -> DataFrame:
+def join_station_readings(readings: DataFrame, stations: DataFrame, how: str = "inner",
+                          small: bool | None = None) -> DataFrame:
     """Readings joined to their station on ``stations.id = readings.StationID``.
 
     The join is exact: padded or differently-cased ids do not match. Duplicate
     station ids multiply readings, as an equi-join does.
     """
-    s = broadcast_if_small(stations)
+    s = broadcast_if_small(stations, small)
     return readings.join(s, readings["StationID"] == s["id"], how)
 
 
-def semi_join_stations(readings: DataFrame, stations: DataFrame) -> DataFrame:
+def semi_join_stations(readings: DataFrame, stations: DataFrame, small: bool | None = None) -> DataFrame:
     """Readings whose StationID occurs in ``stations.id`` (R4 pushdown)."""
-    ids = broadcast_if_small(stations.select(F.col("id").alias("_sid")).distinct())
+    ids = broadcast_if_small(stations.select(F.col("id").alias("_sid")).distinct(), small)
     return readings.join(ids, readings["StationID"] == ids["_sid"], "left_semi")
 
 

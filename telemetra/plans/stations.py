@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from telemetra.operators.aggregates import page_metadata
 from telemetra.operators.filters import date_range_predicate, filter_stations, station_predicates
-from telemetra.operators.joins import join_station_readings, semi_join_stations
+from telemetra.operators.joins import is_small, join_station_readings, semi_join_stations
 from telemetra.operators.projections import (READING_COLUMNS, payload_by_type, project_basin_reading,
                                              project_metadata, project_station_reading)
 from telemetra.operators.windows import latest_n
@@ -103,10 +103,11 @@ def latest_readings(readings: DataFrame, stations: DataFrame, *, station_type=No
     if match == "exact":
         filters = {"type" if k == "station_type" else k: v for k, v in filters.items()}
     stations_f = filter_stations(stations, match=match, **filters)
+    small = is_small(stations_f)
     if station_predicates(match, **filters):
-        readings = semi_join_stations(readings, stations_f)
+        readings = semi_join_stations(readings, stations_f, small)
     ranked = latest_n(readings, limit)
-    joined = join_station_readings(ranked, stations_f)
+    joined = join_station_readings(ranked, stations_f, small=small)
     text_order = F.col("DateTime").desc_nulls_first() if order == "text" else F.col("ts").desc_nulls_last()
     out = (project_station_reading(joined, keep=["ts", "uuid"])
            .orderBy(F.col("station_id"), text_order, F.col("uuid")))
@@ -143,9 +144,10 @@ def basin_latest_readings(readings: DataFrame, stations: DataFrame, *, station_t
         raise ValueError(f"limit must be within 1..{MAX_LATEST}")
     filters = {"type": station_type, "basin": basin}
     stations_f = filter_stations(stations, match="exact", **filters)
+    small = is_small(stations_f)
     if station_predicates("exact", **filters):
-        readings = semi_join_stations(readings, stations_f)
-    joined = join_station_readings(latest_n(readings, limit), stations_f)
+        readings = semi_join_stations(readings, stations_f, small)
+    joined = join_station_readings(latest_n(readings, limit), stations_f, small=small)
     return (joined.orderBy("StationID", F.col("DateTime").desc_nulls_first(), "uuid")
             .transform(project_basin_reading))
 
