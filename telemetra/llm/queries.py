@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetra.llm import ngram_join, quality, secret_scan, toxicity
+from telemetra.llm import ngram_join, packing, quality, secret_scan, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_documents(spark, sf_dir))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(_documents(spark, sf_dir))
 
@@ -33,7 +39,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 _FORMS = ", ".join(f"'{w}'" for w in quality.STOP_FORMS)
