@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetra.llm import ngram_join, packing, quality, secret_scan, toxicity
+from telemetra.llm import bpe_transducer, ngram_join, packing, quality, secret_scan, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_documents(spark, sf_dir))
 
 
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_transducer.encode_digest(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,12 +39,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(_documents(spark, sf_dir))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op7_bpe_transducer": op7_bpe_transducer,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
