@@ -8,7 +8,18 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetra.llm import bpe_transducer, ngram_join, packing, quality, secret_scan, token_counts, toxicity
+from telemetra.llm import (
+    bpe_transducer,
+    embedding_forest,
+    license_scan,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +30,14 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(_documents(spark, sf_dir))
+
+
+def op3_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.embedding_forest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -27,6 +46,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_documents(spark, sf_dir))
 
 
+def op6_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(_documents(spark, sf_dir))
+
+
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encode_digest(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -45,8 +68,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_license_scan": op2_license_scan,
+    "op3_embedding_forest": op3_embedding_forest,
     "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op6_vector_sharding": op6_vector_sharding,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
