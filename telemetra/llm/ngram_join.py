@@ -199,6 +199,10 @@ def ngram_join(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int =
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their class, with the same columns; of repeated ids one row stays."""
-    going = ngram_join(docs, id, text).filter("not kept").select(id).distinct()
-    left = docs.join(going, id, "left_anti")
-    return left.filter(F.col(id).isNotNull()).dropDuplicates([id]).unionByName(left.filter(F.col(id).isNull()))
+    joined = stage(ngram_join(docs, id, text), "ngram-classes-of-rows")
+    left = docs.join(joined.filter("not kept").select(id).distinct(), id, "left_anti").select(*docs.columns)
+    repeated = joined.filter(F.col(id).isNotNull()).groupBy(id).count().filter("count > 1").select(id)
+    if repeated.isEmpty():  # ids are a key: no need to shuffle the texts once more
+        return left
+    once = left.join(repeated, id, "left_semi").select(*docs.columns).dropDuplicates([id])
+    return left.join(repeated, id, "left_anti").select(*docs.columns).unionByName(once)
