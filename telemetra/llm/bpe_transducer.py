@@ -12,9 +12,9 @@ Texts are cut at ASCII white space, which the tokenizer drops, so its normaliser
 
 from __future__ import annotations
 
-import json
 import os
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -28,9 +28,11 @@ from telemetra.llm.textcols import row_slices
 
 LEXICON = 1 << 17
 WORD_BYTES = 48     # longest word of the lexicon
-MEMO = 1 << 17      # distinct chunks a task remembers
+MEMO = 1 << 18      # distinct chunks of one generation of a task's memory
 
-_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Text that the normaliser only lower-cases (printable ASCII and the letters of Latin-1), and its words.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+_PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 def byte_chars() -> list[str]:
@@ -47,50 +49,28 @@ class Merges:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(tokenizer_json)
-        spec = json.loads(tokenizer_json)
-        model = spec["model"]
-        vocab: dict[str, int] = model["vocab"]
-        suffix = model.get("end_of_word_suffix") or ""
-        chars = byte_chars()
-        self.inner = [vocab.get(c) for c in chars]
-        self.last = [vocab.get(c + suffix) for c in chars]
-        self.byte_of = {c: b for b, c in enumerate(chars)}
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]):
-            self.pairs.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.text_of = {i: t for t, i in (*vocab.items(), *self.special.items())}
+        self.model = self.library.model
+        self.char_of = dict(enumerate(byte_chars()))
+        self.byte_of = {c: b for b, c in self.char_of.items()}
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.text_of = {i: t for t, i in self.library.get_vocab().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        self.lead = os.path.commonprefix(list(self.special))
 
     def merge(self, word: bytes) -> list[int]:
-        ids = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]]
-        ids = [i for i in ids if i is not None]
-        pairs = self.pairs
-        while len(ids) > 1:
-            best = min((p for p in map(pairs.get, zip(ids, ids[1:])) if p), default=None)
-            if best is None:
-                break
-            out, k = [], 0
-            while k < len(ids):
-                if k + 1 < len(ids) and pairs.get((ids[k], ids[k + 1])) == best:
-                    out.append(best[1])
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
-        return ids
+        """Ids of one word by the merges in rank order."""
+        text = word.decode() if word.isascii() and word.isalnum() else word.decode("latin-1").translate(self.char_of)
+        return [t.id for t in self.model.tokenize(text)]
 
     def words(self, chunk: bytes) -> list[bytes | int]:
         """The words of a chunk in order, as bytes; an int is a special string's id."""
         text = chunk.decode()
-        if "<|" in text and any(s in text for s in self.special):
+        if self.special and self.lead in text and self.cut.search(text):
             return [w for part in self.cut.split(text) if part
                     for w in ([self.special[part]] if part in self.special else self.words(part.encode()))]
-        if text.isascii() and text.isprintable():
-            return [w.encode() for w in _ASCII_WORD.findall(text.lower())]
+        if _PLAIN.fullmatch(text):
+            return [w.encode() for w in _PLAIN_WORD.findall(text.lower())]
         plain = self.library.normalizer.normalize_str(text)
         byte_of = self.byte_of
         return [bytes([byte_of[c] for c in w]) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
@@ -230,17 +210,20 @@ def _encode(tokenizer, file: str):
         merges, lexicon = Merges(tokenizer.value), Lexicon(SparkFiles.get(file))
         text_of = {i: t.encode() for i, t in merges.text_of.items()}
         memo: dict[bytes, tuple[bytes, bytes]] = {}
+        older: dict[bytes, tuple[bytes, bytes]] = {}
         for batch in row_slices(batches):
             split = [(t or b"").split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
             if len(memo) > MEMO:
-                memo.clear()
-            new = {c: merges.words(c) for chunks in split for c in chunks if c not in memo}
+                memo, older = {}, memo
+            met = {c for chunks in split for c in chunks}.difference(memo)
+            memo.update((c, older[c]) for c in met if c in older)
+            new = {c: merges.words(c) for c in met if c not in memo}
             words = list({w for ws in new.values() for w in ws if isinstance(w, bytes)})
             coded = {w: lexicon.ids_of(n) if n >= 0 else merges.merge(w)
                      for w, n in zip(words, lexicon.numbers(words).tolist())}
             for chunk, ws in new.items():
                 ids = [i for w in ws for i in (coded[w] if isinstance(w, bytes) else [w])]
-                memo[chunk] = np.array(ids, "<u4").tobytes(), b" ".join([text_of[i] for i in ids])
+                memo[chunk] = array("I", ids).tobytes(), b" ".join([text_of[i] for i in ids])
             ids = [b"".join([memo[c][0] for c in chunks]) for chunks in split]
             decoded = [b" ".join([d for c in chunks if (d := memo[c][1])]) for chunks in split]
             yield pa.RecordBatch.from_arrays(

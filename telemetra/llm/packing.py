@@ -17,14 +17,15 @@ from __future__ import annotations
 
 import bisect
 import math
-import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from telemetra.llm.bpe_transducer import Merges
 from telemetra.llm.staging import stage
 from telemetra.llm.textcols import row_slices
 
@@ -33,34 +34,42 @@ END_ID = 1
 DESCENTS = 6        # deviating descents after the first
 NODES = 3000        # search nodes for one filling
 BUCKET_ROWS = 100_000
-MEMO = 1 << 18      # chunks whose ids a task remembers
+MEMO = 1 << 18      # chunks, and words, of one generation of a task's memory
 
 
 class ChunkEncoder:
-    """Ids of whole texts by the tokenizers library. The tokenizer drops white space before it merges, so texts are
-    encoded chunk by chunk (maximal runs without ASCII white space) and a task remembers the ids of common chunks."""
+    """Ids of whole texts. The tokenizer drops white space before it merges, so a text is encoded chunk by chunk
+    (maximal runs without ASCII white space) and word by word; a task remembers the chunks and words it has met
+    lately, in two generations, so that common ones are never forgotten."""
 
     def __init__(self, tokenizer_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.memo: dict[bytes, bytes] = {}
+        self.merges = Merges(tokenizer_json)
+        self.chunks: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
+        self.words: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
+
+    def _word(self, word: bytes | int) -> bytes:
+        if isinstance(word, int):
+            return array("I", [word]).tobytes()
+        young, old = self.words
+        ids = young.get(word)
+        if ids is None:
+            ids = young[word] = old.get(word) or array("I", self.merges.merge(word)).tobytes()
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [t.split() for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list({c for chunks in split for c in chunks if c not in self.memo})
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            coded = self.library.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            self.memo.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in coded)))
-        known = self.memo
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        for name in ("chunks", "words"):
+            if len(getattr(self, name)[0]) > MEMO:
+                setattr(self, name, ({}, getattr(self, name)[0]))
+        young, old = self.chunks
+        out = []
+        for text in texts:
+            chunks = text.split()
+            for chunk in set(chunks).difference(young):
+                ids = old.get(chunk)
+                young[chunk] = b"".join(map(self._word, self.merges.words(chunk))) if ids is None else ids
+            out.append(b"".join([young[c] for c in chunks]))
+        return out
 
 
 def _pieces(tokenizer, capacity: int, end_id: int):
