@@ -2,8 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)``, reads the driver tables of that
 scale through the fixture views, and returns a lazy DataFrame over all rows.
-The SQL strings compute the same result independently in DuckDB, with the
-fixture views inlined as CTEs.
+The SQL strings compute the same result in DuckDB from their own literals, with
+the fixture views inlined as CTEs.
 """
 
 from __future__ import annotations
@@ -60,7 +60,8 @@ def _d_readings(alias: str = "d", payload: bool = False) -> str:
 
 _D_READING_ALL = ('StationID, "DateTime", MobileNumber, Battery, WaterLevel, HourlyRain, DailyRain, "AT", SnowDepth, '
                   'Evaporation, WS, WD, At_pressure, RH, Sun_Radiation, uuid, ts, obs_date')
-_D_WS = "' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
+_D_WS = "' '||" + "||".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 133, 160, 5760, *range(8192, 8203), 8232,
+                                                  8233, 8239, 8287, 12288))
 
 
 def _d_strip(x: str) -> str:
@@ -102,6 +103,16 @@ def q_station_page_text(spark, sf_dir):
                                   page_size=100, order="text")
 
 
+@register("station_page_cursor", duck_with("readings", "stations") + f"""
+SELECT {_D_STATION}, {_d_readings(payload=True)}, d.ts, d.uuid FROM readings d JOIN stations m ON m.id = d.StationID
+WHERE lower(m.zone) ILIKE '%asia%' AND (d.ts IS NULL OR d.ts < TIMESTAMP '2024-01-20 12:00:00'
+  OR (d.ts = TIMESTAMP '2024-01-20 12:00:00' AND d.uuid > '8'))
+ORDER BY d.ts DESC NULLS LAST, d.uuid LIMIT 50""")
+def q_station_page_cursor(spark, sf_dir):
+    r, s = _views(spark, sf_dir)
+    return plans.station_readings_after(r, s, after=("2024-01-20 12:00:00", "8"), zone="Asia", page_size=50)
+
+
 @register("page_metadata", duck_with("readings", "stations") + """
 SELECT CAST(2 AS BIGINT) AS page, CAST(50 AS BIGINT) AS page_size, count(*) AS total_records,
        CAST((count(*) + 49) // 50 AS BIGINT) AS total_pages
@@ -128,11 +139,10 @@ def q_join_station_readings(spark, sf_dir):
 
 
 @register("project_station_reading", duck_with("readings", "stations") + f"""
-SELECT {_D_STATION}, {_d_readings()} FROM readings d JOIN stations m ON m.id = d.StationID
-WHERE d.obs_date = DATE '2024-01-07'""")
+SELECT {_D_STATION}, {_d_readings()} FROM readings d JOIN stations m ON m.id = d.StationID""")
 def q_project_station_reading(spark, sf_dir):
     r, s = _views(spark, sf_dir)
-    return projections.project_station_reading(joins.join_station_readings(filters.filter_day(r, "2024-01-07"), s))
+    return projections.project_station_reading(joins.join_station_readings(r, s))
 
 
 @register("payload_by_type", duck_with("readings", "stations") + f"""
@@ -156,10 +166,10 @@ def _d_json_obj(payload_extra: bool) -> str:
 @register("payload_json", duck_with("readings", "stations") + f"""
 SELECT d.uuid, CASE WHEN lower(trim(coalesce(m."type",''))) = 'aws' THEN {_d_json_obj(True)}::VARCHAR
        ELSE {_d_json_obj(False)}::VARCHAR END AS record
-FROM readings d JOIN stations m ON m.id = d.StationID WHERE d.obs_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-03'""")
+FROM readings d JOIN stations m ON m.id = d.StationID""")
 def q_payload_json(spark, sf_dir):
     r, s = _views(spark, sf_dir)
-    joined = joins.join_station_readings(filters.filter_date(r, "2024-01-01", "2024-01-03"), s)
+    joined = joins.join_station_readings(r, s)
     return projections.payload_json(projections.project_station_reading(joined, keep=["uuid"]), keep=["uuid"])
 
 
@@ -307,10 +317,10 @@ def q_basin_latest(spark, sf_dir):
 
 
 @register("project_basin_reading", duck_with("readings", "stations") + f"""
-SELECT {_D_BASIN} FROM readings d JOIN stations m ON m.id = d.StationID WHERE d.obs_date = DATE '2024-01-12'""")
+SELECT {_D_BASIN} FROM readings d JOIN stations m ON m.id = d.StationID""")
 def q_project_basin_reading(spark, sf_dir):
     r, s = _basin_views(spark, sf_dir)
-    return projections.project_basin_reading(joins.join_station_readings(filters.filter_day(r, "12-01-2024"), s))
+    return projections.project_basin_reading(joins.join_station_readings(r, s))
 
 
 # ===========================================================================
@@ -320,9 +330,9 @@ def q_project_basin_reading(spark, sf_dir):
 _D_READ = duck_with("readings") + f"SELECT {_D_READING_ALL} FROM readings "
 
 
-@register("scan_readings", _D_READ + "ORDER BY obs_date")
+@register("scan_readings", _D_READ + "ORDER BY obs_date, uuid")
 def q_scan_readings(spark, sf_dir):
-    return fx.readings(spark, sf_dir).select("*").orderBy("obs_date")
+    return fx.readings(spark, sf_dir).select("*").orderBy("obs_date", "uuid")
 
 
 @register("filter_date_between", _D_READ + "WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-10'")
@@ -432,10 +442,15 @@ def _d_raw_select(**cols) -> str:
         + " FROM raw_readings"
 
 
-@register("row_uuid", _d_raw_select(uuid=fx.duck_uuid(
-    "coalesce(StationID,'None')||'|'||coalesce(\"DateTime\",'None')||'|'||coalesce(WaterLevel,'None')")))
+_D_CELLS = ["StationID", '"DateTime"', "MobileNumber", "Battery", "WaterLevel", "HourlyRain", "DailyRain", '"AT"', "SnowDepth",
+            "Evaporation", "WS", "WD", "At_pressure", "RH", "Sun_Radiation"]
+
+
+@register("row_uuid", duck_with("readings") + "SELECT MobileNumber, StationID, "
+          + fx.duck_uuid("||'|'||".join(f"coalesce({c},'None')" for c in _D_CELLS)) + " AS uuid FROM readings")
 def q_row_uuid(spark, sf_dir):
-    return _raw_select(spark, sf_dir, uuid=ids.row_uuid([F.col("StationID"), F.col("DateTime"), F.col("WaterLevel")]))
+    r = fx.readings(spark, sf_dir)
+    return r.select("MobileNumber", "StationID", ids.row_uuid([F.col(c.strip('"')) for c in _D_CELLS]).alias("uuid"))
 
 
 @register("valid_station_id", _d_raw_select(ok=_d_valid_sid("StationID")))
@@ -448,9 +463,15 @@ def q_valid_datetime(spark, sf_dir):
     return _raw_select(spark, sf_dir, ok=validate.valid_datetime(F.col("DateTime")))
 
 
+_D_DATE_SHAPES = [r"\d{4}[-/]\d{2}[-/]\d{2}", r"\d{2}[-/]\d{2}[-/]\d{4}", r"\d{2}[-/]\d{2}[-/]\d{2}", r"\d{8}"]
+
+
+_D_DATE_SHAPES = [r"\d{4}[-/]\d{2}[-/]\d{2}", r"\d{2}[-/]\d{2}[-/]\d{4}", r"\d{2}[-/]\d{2}[-/]\d{2}", r"\d{8}"]
+
+
 def _d_looks_like_date(x: str, v0: bool = False) -> str:
     s = _d_strip(x)
-    full = " OR ".join(f"regexp_full_match({s}, '{p}')" for p in validate.DATE_TOKEN_PATTERNS)
+    full = " OR ".join(f"regexp_full_match({s}, '{p}')" for p in _D_DATE_SHAPES)
     if v0:
         hint = f"regexp_matches({s}, '\\d{{2}}:\\d{{2}}') OR regexp_matches({s}, '\\s\\d{{2}}')"
     else:
@@ -520,11 +541,25 @@ def q_update_station_id(spark, sf_dir):
 
 from telemetra.operators import audit as audit_ops  # noqa: E402
 from telemetra.operators import parse as parse_ops  # noqa: E402
-from telemetra.schema import CANONICAL, EXPECTED_COLUMNS, HEADER_ALIASES, LENIENT_AUDIT_CAP, NA_TEXT  # noqa: E402
 
-_D_NA_LIST = "(" + ", ".join("'" + v + "'" for v in NA_TEXT) + ")"
-_D_ALIAS_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in HEADER_ALIASES.items()) + "}"
-_D_EXPECTED = "[" + ", ".join(f"'{c}'" for c in EXPECTED_COLUMNS) + "]"
+# Fixed values of the oracle, written out here so that a wrong constant of the package shows.
+EXPECTED_COLUMNS = ["StationID", "DateTime", "MobileNumber", "Battery", "WaterLevel", "HourlyRain", "DailyRain", "AT",
+                    "SnowDepth", "Evaporation", "WS", "WD", "At.pressure", "RH", "Sun Radiation"]
+CANONICAL = ["StationID", "DateTime", "MobileNumber", "Battery", "WaterLevel", "HourlyRain", "DailyRain", "AT",
+             "SnowDepth", "Evaporation", "WS", "WD", "At_pressure", "RH", "Sun_Radiation"]
+_D_NA_LIST = """('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A',
+  'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"""
+_D_ALIAS_MAP = """MAP {'stationid': 'StationID', 'station': 'StationID', 'stid': 'StationID', 'stnid': 'StationID',
+  'dateandtime': 'DateTime', 'datetime': 'DateTime', 'date_time': 'DateTime', 'datetimestamp': 'DateTime', 'date': 'Date',
+  'time': 'Time', 'mobilenumber': 'MobileNumber', 'mobile': 'MobileNumber', 'mob': 'MobileNumber', 'battery': 'Battery',
+  'batt': 'Battery', 'batteryvolt': 'Battery', 'batteryvoltage': 'Battery', 'waterlevel': 'WaterLevel', 'wl': 'WaterLevel',
+  'hourlyrain': 'HourlyRain', 'hourrain': 'HourlyRain', 'dailyrain': 'DailyRain', 'dailyrainfall': 'DailyRain',
+  'rain24': 'DailyRain', 'at': 'AT', 'airtemp': 'AT', 'temp': 'AT', 'snowdepth': 'SnowDepth', 'snow': 'SnowDepth',
+  'evaporation': 'Evaporation', 'evap': 'Evaporation', 'ws': 'WS', 'wd': 'WD', 'atpressure': 'At.pressure',
+  'pressure': 'At.pressure', 'baro': 'At.pressure', 'rh': 'RH', 'humidity': 'RH', 'sunradiation': 'Sun Radiation',
+  'solar': 'Sun Radiation', 'radiation': 'Sun Radiation'}"""
+_D_EXPECTED = """['StationID', 'DateTime', 'MobileNumber', 'Battery', 'WaterLevel', 'HourlyRain', 'DailyRain', 'AT',
+  'SnowDepth', 'Evaporation', 'WS', 'WD', 'At.pressure', 'RH', 'Sun Radiation']"""
 
 
 def _d_nan(x: str) -> str:
@@ -545,6 +580,9 @@ def _d_valid_expr(mode: str) -> str:
             f"AND NOT coalesce(regexp_full_match({s}, '[0-9]{{1,5}}'), false))")
 
 
+_D_CLOSED = """'^"((?:[^"]|"")*)"'"""
+
+
 def _d_parse(src: str, mode: str = "strict") -> str:
     """CTEs ``d_tok, d_hdr, d_rows, d_cells, d_parsed`` over a line CTE ``src``."""
     clean = "replace(replace(line, chr(0), ''), chr(65533), '')"
@@ -571,8 +609,11 @@ def _d_parse(src: str, mode: str = "strict") -> str:
     key = "||'|'||".join(f"k_{c}" for c in CANONICAL)
     blank = "coalesce(" + ", ".join(f"v_{c}" for c in CANONICAL) + ") IS NULL"
     return f""", d_tok AS (
-SELECT file_path, file_name, line_no, string_split({clean}, ',') AS tokens FROM {src}
-WHERE {_d_strip(clean)} <> ''),
+SELECT file_path, file_name, line_no, list_transform(cells, lambda x: CASE WHEN regexp_matches(x, {_D_CLOSED})
+    THEN replace(regexp_extract(x, {_D_CLOSED}, 1), '""', '"')||regexp_replace(x, {_D_CLOSED}, '') ELSE x END) AS tokens,
+  len(list_filter(cells, lambda x: starts_with(x, '"') AND NOT regexp_matches(x, {_D_CLOSED}))) > 0 AS unclosed
+FROM (SELECT file_path, file_name, line_no, regexp_extract_all(','||{clean}, ',("(?:[^"]|"")*"[^,]*|[^,]*)', 1) AS cells
+  FROM {src} WHERE {_d_strip(clean)} <> '')),
 d_first AS (SELECT file_path, arg_min(line_no, line_no) AS first_line_no, arg_min(tokens, line_no) AS ftok
             FROM d_tok GROUP BY file_path),
 d_hdr AS (SELECT file_path, first_line_no, len(ftok) AS width,
@@ -585,11 +626,11 @@ d_hdr AS (SELECT file_path, first_line_no, len(ftok) AS width,
 d_rows AS (SELECT t.*, h.width, h.header, h.file_error, len(t.tokens) AS n,
   list_contains(h.header, 'Date') AND list_contains(h.header, 'Time') AS split_dt
   FROM d_tok t JOIN d_hdr h USING (file_path) WHERE NOT (h.has_header AND t.line_no = h.first_line_no)),
-d_cells AS (SELECT file_path, file_name, line_no, tokens, n, width, file_error, split_dt, {", ".join(cells)} FROM d_rows),
-d_vk AS (SELECT file_path, file_name, line_no, tokens, n, width, file_error, {", ".join(vk)} FROM d_cells),
-d_parsed AS (SELECT *, CASE WHEN n > width THEN 'tokenize' WHEN {_d_valid_expr(mode)} THEN 'valid' ELSE 'invalid' END AS kind,
-  CASE WHEN n <= width AND {_d_valid_expr(mode)} THEN {_uuid_of(key)} END AS uuid
-  FROM d_vk WHERE n > width OR NOT ({blank}))
+d_cells AS (SELECT file_path, file_name, line_no, tokens, n > width OR unclosed AS bad, n, file_error, split_dt, {", ".join(cells)} FROM d_rows),
+d_vk AS (SELECT file_path, file_name, line_no, tokens, bad, n, file_error, {", ".join(vk)} FROM d_cells),
+d_parsed AS (SELECT *, CASE WHEN bad THEN 'tokenize' WHEN {_d_valid_expr(mode)} THEN 'valid' ELSE 'invalid' END AS kind,
+  CASE WHEN NOT bad AND {_d_valid_expr(mode)} THEN {_uuid_of(key)} END AS uuid
+  FROM d_vk WHERE bad OR NOT ({blank}))
 """
 
 
@@ -615,7 +656,14 @@ def q_tokenize_rows(spark, sf_dir):
         "file_name", "line_no", F.size("tokens").cast("bigint").alias("n_cells"))
 
 
-_D_LIST_REPR = "'['||array_to_string(list_transform(tokens, lambda x: ''''||replace(x, '\\', '\\\\')||''''), ', ')||']'"
+def _d_shown(x: str) -> str:
+    """One cell of the historic list text; the fixtures hold no control characters."""
+    x = f"replace({x}, '\\', '\\\\')"
+    return (f"CASE WHEN contains({x}, '''') AND NOT contains({x}, '\"') THEN '\"'||{x}||'\"' "
+            f"ELSE ''''||replace({x}, '''', '\\''')||'''' END")
+
+
+_D_LIST_REPR = f"'['||array_to_string(list_transform(tokens, lambda x: {_d_shown('x')}), ', ')||']'"
 
 
 @register("tokenize_bad_rows", duck_with("raw_lines") + _d_parse("raw_lines") + f"""
@@ -672,12 +720,10 @@ def q_align_schema(spark, sf_dir):
 
 @register("merge_date_time", duck_with("header_lines") + _d_parse("header_lines") + """
 SELECT file_name, line_no, v_DateTime AS "DateTime" FROM d_parsed
-WHERE kind <> 'tokenize' AND dayofmonth(strptime(substr(file_name,1,8), '%Y%m%d'))%3 = 1""")
+WHERE kind <> 'tokenize'""")
 def q_merge_date_time(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir, fx.header_lines)
-    day = F.dayofmonth(F.to_date(F.substring("file_name", 1, 8), "yyyyMMdd"))
-    return rows.filter((F.col("kind") != "tokenize") & (day % 3 == 1)).select(
-        "file_name", "line_no", F.col("v_DateTime").alias("DateTime"))
+    return rows.filter(F.col("kind") != "tokenize").select("file_name", "line_no", F.col("v_DateTime").alias("DateTime"))
 
 
 @register("drop_blank_rows", duck_with("messy_lines") + _d_parse("messy_lines") + """
@@ -687,13 +733,11 @@ def q_drop_blank_rows(spark, sf_dir):
     return rows.select("file_name", "line_no")
 
 
-@register("missing_values", duck_with("messy_lines") + _d_parse("messy_lines") + """
-SELECT file_name, line_no, v_StationID AS StationID, v_DateTime AS "DateTime", v_MobileNumber AS MobileNumber,
-  v_Battery AS Battery FROM d_parsed WHERE kind <> 'tokenize'""")
+@register("missing_values", duck_with("messy_lines") + _d_parse("messy_lines") + f"""
+SELECT file_name, line_no, {_D_V} FROM d_parsed WHERE kind <> 'tokenize'""")
 def q_missing_values(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
-    return rows.filter(F.col("kind") != "tokenize").select(
-        "file_name", "line_no", *[F.col("v_" + c).alias(c) for c in ("StationID", "DateTime", "MobileNumber", "Battery")])
+    return rows.filter(F.col("kind") != "tokenize").select("file_name", "line_no", *_s_v())
 
 
 @register("uuid_tokens", duck_with("messy_lines") + _d_parse("messy_lines").replace(
@@ -734,9 +778,6 @@ def _d_failures(src: str, mode: str) -> str:
     base = duck_with(src) + _d_parse(src, mode)
     sel = f"""SELECT file_path, file_name, line_no, kind, CASE WHEN kind = 'tokenize' THEN 0 ELSE 1 END AS part,
   {_d_record_json()} AS record FROM d_parsed WHERE kind <> 'valid' AND file_error IS NULL"""
-    if mode == "lenient":
-        sel = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY file_path, kind ORDER BY line_no) AS rn
-  FROM ({sel})) WHERE kind = 'tokenize' OR rn <= {LENIENT_AUDIT_CAP}"""
     return base + ", d_fail AS (" + sel + ")\n"
 
 
@@ -744,28 +785,28 @@ def _d_failures(src: str, mode: str) -> str:
 SELECT file_name, line_no, kind, record FROM d_fail""")
 def q_quarantine_strict(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir)
-    return audit_ops.failures(rows, "strict").select("file_name", "line_no", "kind", "record")
+    return audit_ops.failures(rows).select("file_name", "line_no", "kind", "record")
 
 
 @register("quarantine_lenient", _d_failures("raw_lines", "lenient") + """
 SELECT file_name, line_no, kind, record FROM d_fail""")
 def q_quarantine_lenient(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir, mode="lenient")
-    return audit_ops.failures(rows, "lenient").select("file_name", "line_no", "kind", "record")
+    return audit_ops.failures(rows).select("file_name", "line_no", "kind", "record")
 
 
 @register("quarantine_union", _d_failures("messy_lines", "strict") + """
 SELECT file_name, line_no, kind, part FROM d_fail""")
 def q_quarantine_union(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
-    return audit_ops.failures(rows, "strict").select("file_name", "line_no", "kind", "part")
+    return audit_ops.failures(rows).select("file_name", "line_no", "kind", "part")
 
 
 @register("failed_capped", _d_failures("raw_lines", "lenient") + """
 SELECT file_name, line_no FROM d_fail WHERE kind = 'invalid'""")
 def q_failed_capped(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir, mode="lenient")
-    return audit_ops.failures(rows, "lenient").filter(F.col("kind") == "invalid").select("file_name", "line_no")
+    return audit_ops.failures(rows).filter(F.col("kind") == "invalid").select("file_name", "line_no")
 
 
 @register("failed_records_json", _d_failures("raw_lines", "strict") + """
@@ -774,13 +815,13 @@ SELECT file_name, CAST(part AS INTEGER) AS part, CAST(floor(line_no / 10000) AS
 FROM d_fail GROUP BY file_name, part, floor(line_no / 10000)""")
 def q_failed_records_json(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir)
-    return audit_ops.failed_records_json(rows, "strict").drop("file_path")
+    return audit_ops.failed_records_json(rows).drop("file_path")
 
 
 @register("failed_samples", duck_with("raw_lines") + _d_parse("raw_lines") + f"""
 , ranked AS (SELECT file_name, line_no, k_StationID,
    row_number() OVER (PARTITION BY file_path ORDER BY line_no) AS rn FROM d_parsed WHERE kind = 'invalid' AND file_error IS NULL)
-SELECT file_name, '['||string_agg(''''||replace(k_StationID, '\\', '\\\\')||'''', ', ' ORDER BY line_no)||']' AS examples
+SELECT file_name, '['||string_agg({_d_shown('k_StationID')}, ', ' ORDER BY line_no)||']' AS examples
 FROM ranked WHERE rn <= 5 GROUP BY file_name""")
 def q_failed_samples(spark, sf_dir):
     rows, _ = _parsed(spark, sf_dir)
@@ -792,8 +833,8 @@ def _d_audit(src: str, mode: str) -> str:
     if mode == "strict":
         fail, record, audited = "ni + nt", "nv + ni + nt", "file_error IS NULL AND (nv > 0 OR ni + nt > 0)"
     else:
-        fail = f"CASE WHEN nv = 0 THEN ni ELSE nt + least(ni, {LENIENT_AUDIT_CAP}) END"
-        record = f"CASE WHEN nv = 0 THEN ni ELSE nv + nt + least(ni, {LENIENT_AUDIT_CAP}) END"
+        fail = "CASE WHEN nv = 0 THEN ni ELSE nt + ni END"
+        record = "CASE WHEN nv = 0 THEN ni ELSE nv + nt + ni END"
         audited = "file_error IS NULL"
     return base + f""", d_counts AS (
 SELECT h.file_path, f.file_name, h.file_error,
@@ -888,11 +929,43 @@ def q_delete_sentinels(spark, sf_dir):
     return store.delete_sentinels(fx.raw_readings(spark, sf_dir))
 
 
-@register("ingest_pipeline", duck_with("messy_lines") + _d_parse("messy_lines") + f"""
+_D_VALUES = ", ".join(f"TRY_CAST({_d_strip(_q(c))} AS DOUBLE) AS {c}_value" for c in CANONICAL[3:])
+_D_STORED = duck_with("messy_lines") + _d_parse("messy_lines") + f"""
 , ins AS (SELECT DISTINCT {", ".join(f"v_{c} AS {_q(c)}" for c in CANONICAL)}, uuid FROM d_parsed
           WHERE kind = 'valid' AND file_error IS NULL)
-SELECT *, {_d_parse_ts('"DateTime"')} AS ts, CAST({_d_parse_ts('"DateTime"')} AS DATE) AS obs_date FROM ins""")
+SELECT *, {_d_parse_ts('"DateTime"')} AS ts, {_D_VALUES}, CAST({_d_parse_ts('"DateTime"')} AS DATE) AS obs_date FROM ins"""
+
+
+@register("ingest_pipeline", _D_STORED)
 def q_ingest_pipeline(spark, sf_dir):
     """Lines -> stored readings of one ingest into an empty table (Q4 without the folder I/O)."""
     rows, _ = _parsed(spark, sf_dir, fx.messy_lines)
     return store.typed_readings(parse_ops.readings_from(rows).dropDuplicates(["uuid"]))
+
+
+def _ingested_twice(spark, sf_dir) -> store.TableStore:
+    """A scratch table folder into which the whole batch was ingested two times."""
+    from telemetra.plans.ingest import ingest_lines
+    from telemetra.session import scratch_path
+
+    table = store.TableStore(spark, scratch_path(spark, "ingest-twice"))
+    lines = fx.messy_lines(spark, sf_dir)
+    for _ in range(2):
+        files = store.unprocessed_files(lines.select("file_path", "file_name").distinct(), table.ledger())
+        ingest_lines(spark, lines, table, candidates=files)
+    return table
+
+
+@register("ingest_stored", _D_STORED)
+def q_ingest_stored(spark, sf_dir):
+    """What the readings table holds after two ingests of the same files."""
+    return _ingested_twice(spark, sf_dir).read(store.READINGS)
+
+
+@register("ingest_audited", _d_audit("messy_lines", "strict") + """
+SELECT file_name, record_count, success_count, fail_count, error, CAST(1 AS BIGINT) AS entries FROM d_audit WHERE ledgered""")
+def q_ingest_audited(spark, sf_dir):
+    """Audit rows and ledger entries per file after two ingests of the same files."""
+    table = _ingested_twice(spark, sf_dir)
+    entries = table.stored(store.LEDGER_DIR).groupBy("file_name").agg(F.count("*").alias("entries"))
+    return table.read(store.AUDIT).drop("timestamp", "run_id").join(entries, "file_name")

@@ -10,20 +10,23 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.text import strip_ws
 
-# Day-first two-digit year first: a four-digit pattern never accepts two digits
-# and vice versa, so the order only matters for readability.
-_TS_FORMATS = ["dd-MM-yy HH:mm[:ss]", "dd-MM-yyyy HH:mm[:ss]", "yyyy-MM-dd HH:mm[:ss]"]
+_CLOCK = r"(\d{2}:\d{2})(:\d{2})?"
+# Day-first with a two- and a four-digit year, and year-first, each rewritten to year-first text.
+_SHAPES = [(rf"^(\d{{2}})-(\d{{2}})-(\d{{2}}) {_CLOCK}$", "20$3-$2-$1 $4$5"),
+           (rf"^(\d{{2}})-(\d{{2}})-(\d{{4}}) {_CLOCK}$", "$3-$2-$1 $4$5"),
+           (rf"^(\d{{4}})-(\d{{2}})-(\d{{2}}) {_CLOCK}$", "$1-$2-$3 $4$5")]
 
 
 def parse_datetime(c: Column) -> Column:
     """Logger ``DateTime`` text -> TIMESTAMP_NTZ, NULL when it is not a real clock value.
 
     ``/`` and ``-`` separators are both accepted; shape-valid but impossible
-    values (minute 82, day 00, 31 February) give NULL instead of an error.
+    values (minute 82, day 00, 31 February) give NULL instead of an error. The
+    text is a wall clock without zone: no session zone takes part.
     """
     x = F.translate(strip_ws(c), "/", "-")
-    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in _TS_FORMATS])
-    return parsed.cast("timestamp_ntz")
+    text = F.coalesce(*[F.when(x.rlike(shape), F.regexp_replace(x, shape, to)) for shape, to in _SHAPES])
+    return F.when(F.length(text) == 16, F.concat(text, F.lit(":00"))).otherwise(text).try_cast("timestamp_ntz")
 
 
 def obs_date(ts: Column) -> Column:

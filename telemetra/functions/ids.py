@@ -28,7 +28,7 @@ def uuid5(name: Column) -> Column:
 def row_uuid(tokens: list[Column]) -> Column:
     """Deterministic row key: UUIDv5 of the cells joined by ``|``.
 
-    Cells arrive as key tokens (see ``text.key_token``); a NULL still left is
+    Cells arrive as key tokens (see ``parse.align``); a NULL still left is
     rendered ``None`` so that no cell is skipped by the join.
     """
     return uuid5(F.concat_ws("|", *[F.coalesce(t, F.lit(NONE_TOKEN)) for t in tokens]))

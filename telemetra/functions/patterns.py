@@ -12,11 +12,9 @@ PATTERN_DROP_BASIC = "-()"
 
 
 def make_pattern(value: str, drop: str = PATTERN_DROP) -> str:
-    """Search value -> ``%value%`` LIKE pattern: strip, lower, drop punctuation."""
-    v = value.strip().lower()
-    for ch in drop:
-        v = v.replace(ch, "")
-    return f"%{v}%"
+    """LIKE pattern that finds ``value`` anywhere, without regard to case, outer blanks or the dropped punctuation."""
+    wanted = value.lower().strip().translate(str.maketrans("", "", drop))
+    return "%".join(("", wanted, ""))
 
 
 def make_pattern_basic(value: str) -> str:

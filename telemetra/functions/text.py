@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from telemetra.schema import HEADER_ALIASES, NA_TEXT, NAN_TOKEN, NONE_TOKEN, WHITESPACE
+from telemetra.schema import HEADER_ALIASES, NA_TEXT, NAN_TOKEN, WHITESPACE
 
-# Split on commas outside double quotes (a comma followed by an even number of quotes).
-_QUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A cell of a line that starts with a comma. A double quote counts only at the start of a cell: there it opens a part
+# that ends at the next quote that is not doubled, and what follows up to the comma is plain text. The quantifiers
+# are possessive, so a line is read once whatever it holds.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_CELL = f",({_QUOTED}[^,]*+|[^,]*+)"
+_OPENED = rf'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 
 
 def strip_ws(c: Column) -> Column:
@@ -27,38 +31,25 @@ def is_blank_line(c: Column) -> Column:
     return strip_ws(c) == F.lit("")
 
 
-def tokenize(c: Column) -> Column:
-    """Split one CSV line into cells (S3).
+def _cells(line: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), 1)
 
-    Unquoted lines take the plain comma split; lines with a double quote take a
-    quote-aware split, then each fully quoted cell loses its outer quotes and
-    doubled quotes inside are folded.
-    """
-    plain = F.split(c, ",", -1)
-    quoted = F.transform(
-        F.split(c, _QUOTED_COMMA, -1),
-        lambda x: F.when(
-            x.rlike(r'\A".*"\z') & (F.length(x) >= 2),
-            F.replace(F.substring(x, 2, F.length(x) - 2), F.lit('""'), F.lit('"')),
-        ).otherwise(x),
-    )
-    return F.when(c.contains('"'), quoted).otherwise(plain)
 
+def tokenize(c: Column) -> Column:
+    """Split one CSV line into cells (S3): a quoted part loses its quotes, doubled quotes inside it are folded.
 
-def na_to_null(c: Column) -> Column:
-    """Cell value with NA-like text turned into NULL."""
-    return F.when(~c.isin(*NA_TEXT), c)
+    A cell whose quote is never closed stays as it is; see ``unclosed_quote``.
+    """
+    def unfold(x: Column) -> Column:
+        inner = F.replace(F.regexp_extract(x, _OPENED, 1), F.lit('""'), F.lit('"'))
+        return F.when(x.startswith('"') & x.rlike(_OPENED), F.concat(inner, F.regexp_extract(x, _OPENED, 2))).otherwise(x)
 
+    return F.when(c.contains('"'), F.transform(_cells(c), unfold)).otherwise(F.split(c, ",", -1))
 
-def key_token(cell: Column, present: Column) -> Column:
-    """Text a cell contributes to the row key (C17).
 
-    ``present`` is false for a cell that does not exist (short row, absent
-    column): token ``None``. An existing NA-like cell gives ``nan``.
-    """
-    return (F.when(~present | cell.isNull(), F.lit(NONE_TOKEN))
-            .when(cell.isin(*NA_TEXT), F.lit(NAN_TOKEN))
-            .otherwise(cell))
+def unclosed_quote(c: Column) -> Column:
+    """True for a line with a cell whose opening quote has no end; such a line cannot be split and is a failure."""
+    return F.when(c.contains('"'), F.exists(_cells(c), lambda x: x.startswith('"') & ~x.rlike(_OPENED))).otherwise(F.lit(False))
 
 
 def _alias_map() -> Column:
@@ -77,7 +68,22 @@ def header_text(c: Column) -> Column:
     return F.when(c.isNull() | c.isin(*NA_TEXT), F.lit(NAN_TOKEN)).otherwise(c)
 
 
+# How the historic list text shows characters that do not print.
+_ESCAPES = {"\\": "\\\\", "\t": "\\t", "\n": "\\n", "\r": "\\r"} | {
+    chr(k): f"\\x{k:02x}" for k in (*range(32), *range(127, 161), 173) if k not in (9, 10, 13)}
+
+
 def python_list_repr(tokens: Column) -> Column:
-    """Render an array of cells the way the historic audit stored a bad line."""
-    quoted = F.transform(tokens, lambda x: F.concat(F.lit("'"), F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    """Render an array of cells the way the historic audit stored a bad line.
+
+    A cell stands in single quotes, or in double quotes if it holds a single and no double quote; backslashes,
+    control characters and, inside single quotes, single quotes are escaped.
+    """
+    def shown(x: Column) -> Column:
+        for char, escape in _ESCAPES.items():
+            x = F.replace(x, F.lit(char), F.lit(escape))
+        double = x.contains("'") & ~x.contains('"')
+        return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(tokens, shown), ", "), F.lit("]"))

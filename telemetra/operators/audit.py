@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from telemetra.functions.text import python_list_repr
 from telemetra.operators.parse import failed_record_json
 from telemetra.operators.windows import first_n_per_group
-from telemetra.schema import FAILED_SAMPLE_SIZE, LENIENT_AUDIT_CAP
+from telemetra.schema import FAILED_SAMPLE_SIZE
 
 CHUNK_LINES = 10_000
 
@@ -38,8 +38,9 @@ def file_audit(rows: DataFrame, headers: DataFrame, mode: str = "strict") -> Dat
     strict:  failures = all invalid + tokenize rows; a file with neither valid
              rows nor failures is not audited (it is retried next run); a file
              with failures only is ``all_invalid``.
-    lenient: only the first 200 invalid rows count as failures; every file is
-             audited; a file without valid rows reports its invalid rows only.
+    lenient: every file is audited; a file without valid rows reports its
+             invalid rows only. Every failed row counts: the 200-row cut of the
+             historic audit is a choice of the reader (``failures(limit=200)``).
     Files with a file error (headerless and too wide) are neither audited nor
     ledgered. ``success_count`` counts rows attempted, duplicates included.
     """
@@ -51,8 +52,7 @@ def file_audit(rows: DataFrame, headers: DataFrame, mode: str = "strict") -> Dat
         record = nv + fail
         audited = ok_file & ((nv > 0) | (fail > 0))
     elif mode == "lenient":
-        capped = F.least(ni, F.lit(LENIENT_AUDIT_CAP))
-        fail = F.when(nv == 0, ni).otherwise(nt + capped)
+        fail = F.when(nv == 0, ni).otherwise(nt + ni)
         record = F.when(nv == 0, ni).otherwise(nv + fail)
         audited = ok_file
     else:
@@ -72,28 +72,27 @@ def file_audit(rows: DataFrame, headers: DataFrame, mode: str = "strict") -> Dat
     )
 
 
-def failures(rows: DataFrame, mode: str = "strict") -> DataFrame:
+def failures(rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Failed rows of files without a file error, in audit order.
 
-    Lenient mode keeps all tokenize failures and the first 200 invalid rows
-    per file (W2); strict keeps every failure.
+    All of them by default. ``limit`` asks for a shorter report: all tokenize
+    failures and the first ``limit`` invalid rows of each file (W2).
     """
     f = rows.filter((F.col("kind") != "valid") & F.col("file_error").isNull())
-    if mode == "lenient":
+    if limit is not None:
         tok = f.filter(F.col("kind") == "tokenize")
-        inv = first_n_per_group(f.filter(F.col("kind") == "invalid"), "file_path",
-                                [F.col("line_no")], LENIENT_AUDIT_CAP)
+        inv = first_n_per_group(f.filter(F.col("kind") == "invalid"), "file_path", [F.col("line_no")], limit)
         f = tok.unionByName(inv)
     return f.select(
         "file_path", "file_name", "line_no", "kind",
         F.when(F.col("kind") == "tokenize", 0).otherwise(1).alias("part"),
-        failed_record_json(F.col("kind")).alias("record"),
+        (F.col("record") if "record" in rows.columns else failed_record_json(F.col("kind"))).alias("record"),
     )
 
 
-def failed_records_json(rows: DataFrame, mode: str = "strict", chunk_lines: int = CHUNK_LINES) -> DataFrame:
+def failed_records_json(rows: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """Failure lists as JSON arrays, one row per (file, part, chunk of source lines) (A5)."""
-    f = failures(rows, mode)
+    f = failures(rows)
     grouped = f.groupBy("file_path", "file_name", "part", F.floor(F.col("line_no") / chunk_lines).alias("chunk_no"))
     agg = grouped.agg(
         F.count(F.lit(1)).alias("n_records"),

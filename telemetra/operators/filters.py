@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.datetime import parse_date_arg, parse_ddmmyy_arg
 from telemetra.functions.patterns import fuzzy_match, fuzzy_match_normalized
-from telemetra.schema import CANONICAL
 
 
 def date_range_predicate(start=None, end=None, date_col: str = "obs_date") -> Column | None:
@@ -87,8 +86,3 @@ def filter_station_in(df: DataFrame, ids: list[str], col: str = "StationID") ->
 def filter_station_eq(df: DataFrame, sid: str, col: str = "StationID") -> DataFrame:
     """Single station id."""
     return df.filter(F.col(col) == F.lit(sid))
-
-
-def drop_blank_rows(df: DataFrame, cols: list[str] = CANONICAL) -> DataFrame:
-    """Drop rows that are NULL in every reading column."""
-    return df.dropna(how="all", subset=cols)

@@ -1,62 +1,25 @@
-"""Joins: station x readings, semi-join pushdown, anti-joins."""
+"""Joins: station x readings and the semi-join pushdown.
+
+No side is hinted: the planner broadcasts a side from its size on disk (``spark.sql.autoBroadcastJoinThreshold``) and
+adaptive execution from its size at run time; larger sides are shuffled and their skewed partitions split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only below these bounds. Above them the join stays a
-# shuffle join; AQE may still switch it at runtime and splits skewed keys.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (the figure Spark's own planner uses)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. Spark Connect: no JVM handle
-        return None
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Proven size bound: the optimizer estimate (cheap, an upper bound for a
-    plain scan), or else a bounded count that stops after ``max_rows + 1`` rows."""
-    est = _estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
-def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
-    """Hint ``broadcast`` only for a side with a proven size bound (see ``is_small``).
-
-    ``small`` passes a decision already taken for the same data. Otherwise
-    the side is returned unhinted and stays a shuffle join.
-    """
-    if small is None:
-        small = is_small(df)
-    return F.broadcast(df) if small else df
-
-
-def join_station_readings(readings: DataFrame, stations: DataFrame, how: str = "inner",
-                          small: bool | None = None) -> DataFrame:
+def join_station_readings(readings: DataFrame, stations: DataFrame, how: str = "inner") -> DataFrame:
     """Readings joined to their station on ``stations.id = readings.StationID``.
 
     The join is exact: padded or differently-cased ids do not match. Duplicate
     station ids multiply readings, as an equi-join does.
     """
-    s = broadcast_if_small(stations, small)
-    return readings.join(s, readings["StationID"] == s["id"], how)
+    return readings.join(stations, readings["StationID"] == stations["id"], how)
 
 
-def semi_join_stations(readings: DataFrame, stations: DataFrame, small: bool | None = None) -> DataFrame:
+def semi_join_stations(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Readings whose StationID occurs in ``stations.id`` (R4 pushdown)."""
-    ids = broadcast_if_small(stations.select(F.col("id").alias("_sid")).distinct(), small)
+    ids = stations.select(F.col("id").alias("_sid"))
     return readings.join(ids, readings["StationID"] == ids["_sid"], "left_semi")
-
-
-def anti_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` without a partner in ``right``."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti")

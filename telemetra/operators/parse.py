@@ -3,7 +3,7 @@
 Input is a line DataFrame ``(file_path, file_name, line_no, line)`` where
 ``line_no`` orders lines within a file. Everything is column expressions; the
 only per-file state (width and header, from each file's first non-blank line)
-comes from a ``min_by`` aggregate that is joined back to the lines.
+comes from a ``min`` aggregate that is joined back to the lines.
 """
 
 from __future__ import annotations
@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.ids import uuid5
 from telemetra.functions.text import (clean_bytes, header_text, is_blank_line, normalize_header, python_list_repr,
-                                      strip_ws, tokenize)
+                                      strip_ws, tokenize, unclosed_quote)
 from telemetra.functions.validate import lenient_valid, strict_valid
-from telemetra.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 from telemetra.schema import CANONICAL, EXPECTED_COLUMNS, NA_TEXT, NAN_TOKEN, NONE_TOKEN
 
 HEADERLESS_WIDTH_ERROR = "headerless file wider than the {n} expected columns".format(n=len(EXPECTED_COLUMNS))
 
 
-def tokenize_lines(lines: DataFrame) -> DataFrame:
-    """Clean bytes, skip blank lines, split cells."""
+def clean_lines(lines: DataFrame) -> DataFrame:
+    """Clean bytes and skip blank lines."""
     cleaned = lines.withColumn("line", clean_bytes(F.col("line")))
-    return cleaned.filter(~is_blank_line(F.col("line"))).withColumn("tokens", tokenize(F.col("line")))
+    return cleaned.filter(~is_blank_line(F.col("line")))
 
 
 def _has_header(tokens: Column) -> Column:
@@ -33,17 +32,16 @@ def _has_header(tokens: Column) -> Column:
                     | F.lower(header_text(x)).contains("date"))
 
 
-def file_headers(tokens: DataFrame, n_files: int | None = None) -> DataFrame:
+def file_headers(cleaned: DataFrame) -> DataFrame:
     """One row per file: first line, width, header flag, column names, error.
 
     The first line number per file is a hash aggregate with fixed-width
-    buffers (partial aggregation, no sort of the lines); the first lines are
-    then picked out with a join against that small per-file table.
+    buffers (partial aggregation, no sort of the lines); only the lines it
+    picks are split into cells.
     """
-    first_no = tokens.groupBy("file_path").agg(F.min("line_no").alias("line_no"))
-    small = _bounded(first_no, n_files)
-    first = (tokens.join(small, ["file_path", "line_no"])
-             .select("file_path", "file_name", F.struct("line_no", "tokens").alias("first")))
+    first_no = cleaned.groupBy("file_path").agg(F.min("line_no").alias("line_no"))
+    first = (cleaned.join(first_no, ["file_path", "line_no"])
+             .select("file_path", "file_name", F.struct("line_no", tokenize(F.col("line")).alias("tokens")).alias("first")))
     ftok = F.col("first.tokens")
     width = F.size(ftok)
     has_header = _has_header(ftok)
@@ -67,25 +65,17 @@ def file_headers(tokens: DataFrame, n_files: int | None = None) -> DataFrame:
                     F.array_position(hdr, F.lit("Time")).cast("int").alias("pos_time"), split_dt)
 
 
-def _bounded(per_file: DataFrame, n_files: int | None) -> DataFrame:
-    """Broadcast a one-row-per-file table only within a known or checked bound."""
-    if n_files is None:
-        return broadcast_if_small(per_file)
-    return F.broadcast(per_file) if n_files <= BROADCAST_MAX_ROWS else per_file
+def attach_headers(cleaned: DataFrame, headers: DataFrame) -> DataFrame:
+    """Split every data line and give it its file's width and column names; drop header lines.
 
-
-def attach_headers(tokens: DataFrame, headers: DataFrame, n_files: int | None = None) -> DataFrame:
-    """Give every data line its file's width and column names; drop header lines.
-
-    The header table has one row per file. It is broadcast when the number of
-    files is known (from the listing, or ``maxFilesPerTrigger``) and within
-    the broadcast bound, or when a bounded count proves it small; otherwise
-    the join is a shuffle join (AQE splits a hot file's partition).
+    The header table has one row per file; lines of files that it does not
+    hold are dropped. Its size on disk or at run time decides how it is
+    joined.
     """
-    h = _bounded(headers.drop("file_name"), n_files)
-    j = tokens.join(h, "file_path")
+    j = cleaned.join(headers.drop("file_name"), "file_path")
     header_line = F.col("has_header") & (F.col("line_no") == F.col("first_line_no"))
-    return j.filter(~header_line)
+    cut = j.filter(~header_line).withColumn("unclosed", unclosed_quote(F.col("line")))
+    return cut.withColumn("tokens", tokenize(F.col("line")))
 
 
 def _cell_at(pos: Column) -> Column:
@@ -113,25 +103,25 @@ def align(rows: DataFrame) -> DataFrame:
     cells = F.transform(F.col("pos"), _cell_at)
     merged = F.concat(strip_ws(_token(_cell_at(F.col("pos_date")))), F.lit(" "),
                       strip_ws(_token(_cell_at(F.col("pos_time")))))
-    a = rows.select("file_path", "file_name", "line_no", "tokens", "width", "file_error", "split_dt",
+    a = rows.select("file_path", "file_name", "line_no", "tokens", "unclosed", "width", "file_error", "split_dt",
                     cells.alias("cells"), merged.alias("merged"))
     dt = 1  # index of DateTime
     vals = F.transform("cells", lambda c, i: F.when((i == dt) & F.col("split_dt"), F.col("merged"))
                        .when(~c.isin(*NA_TEXT), c))
     keys = F.transform("cells", lambda c, i: F.when((i == dt) & F.col("split_dt"), F.col("merged"))
                        .otherwise(_token(c)))
-    return a.select("file_path", "file_name", "line_no", "tokens", "width", "file_error",
+    return a.select("file_path", "file_name", "line_no", "tokens", "unclosed", "width", "file_error",
                     vals.alias("vals"), keys.alias("keys"))
 
 
 def classify(rows: DataFrame, mode: str = "strict") -> DataFrame:
-    """Mark each line ``tokenize`` (too many cells), ``valid`` or ``invalid``; drop blank rows.
+    """Mark each line ``tokenize`` (too many cells, or a quote without end), ``valid`` or ``invalid``; drop blank rows.
 
     Rows blank in all 15 columns are dropped before validation (F14). The row
     key is computed for valid rows only (C1). Output: the 15 value columns
     ``v_<col>``, ``k_StationID`` (for samples) and ``uuid``.
     """
-    too_long = F.size(F.col("tokens")) > F.col("width")
+    too_long = (F.size(F.col("tokens")) > F.col("width")) | F.col("unclosed")
     aligned = align(rows)
     blank = ~F.exists("vals", lambda v: v.isNotNull())
     sid, dtk = F.col("keys")[0], F.col("keys")[1]
@@ -151,22 +141,16 @@ def classify(rows: DataFrame, mode: str = "strict") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, mode: str = "strict", n_files: int | None = None,
-                stage=None) -> tuple[DataFrame, DataFrame]:
+def parse_lines(lines: DataFrame, mode: str = "strict", headers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Lines -> (classified rows, per-file headers). See the module docstring.
 
-    ``n_files`` is an upper bound on the number of files, if the caller knows
-    one (folder listing, ``maxFilesPerTrigger``); else the header table's size
-    is checked (see ``attach_headers``). ``stage`` optionally materialises the
-    tokenised lines (e.g. as Parquet in the checkpoint folder) so the source
-    is read once; the per-file aggregates then read two columns of that copy.
+    ``headers`` passes a header table already made from the same lines, for
+    instance a stored one that holds only the files wanted.
     """
-    tokens = tokenize_lines(lines)
-    if stage is not None:
-        tokens = stage(tokens)
-    headers = file_headers(tokens, n_files)
-    rows = attach_headers(tokens, headers, n_files)
-    return classify(rows, mode), headers
+    cleaned = clean_lines(lines)
+    if headers is None:
+        headers = file_headers(cleaned)
+    return classify(attach_headers(cleaned, headers), mode), headers
 
 
 def failed_record_json(kind: Column) -> Column:
@@ -182,6 +166,6 @@ def failed_record_json(kind: Column) -> Column:
 
 
 def readings_from(rows: DataFrame) -> DataFrame:
-    """Valid rows as stored readings: 15 text columns + uuid (+ ts, obs_date added by the sink)."""
+    """Valid rows as stored readings: 15 text columns + uuid (the typed columns are added by the sink)."""
     return rows.filter((F.col("kind") == "valid") & F.col("file_error").isNull()).select(
         *[F.col("v_" + c).alias(c) for c in CANONICAL], "uuid")

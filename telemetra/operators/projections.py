@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemetra.functions.text import strip_ws
 from telemetra.schema import AWS_EXTRA_FIELDS, BASE_FIELDS
 
 STATION_COLUMNS = [("id", "station_id"), ("longitude", "longitude"), ("latitude", "latitude"),
@@ -14,7 +15,7 @@ METADATA_COLUMNS = ["id", "district", "name", "location", "zone", "latitude", "l
 READING_COLUMNS = BASE_FIELDS + AWS_EXTRA_FIELDS
 
 
-def station_reading_columns(stations_prefix: str | None = None) -> list[Column]:
+def station_reading_columns() -> list[Column]:
     return [F.col(src).alias(dst) for src, dst in STATION_COLUMNS]
 
 
@@ -26,7 +27,7 @@ def project_station_reading(joined: DataFrame, keep: list[str] = ()) -> DataFram
 
 def is_aws(type_col: Column) -> Column:
     """AWS test: equality after trim and lower; NULL type counts as ``''``."""
-    return F.lower(F.trim(F.coalesce(type_col, F.lit("")))) == F.lit("aws")
+    return F.lower(strip_ws(F.coalesce(type_col, F.lit("")))) == F.lit("aws")
 
 
 def payload_by_type(df: DataFrame) -> DataFrame:

@@ -6,12 +6,16 @@ Tables live under one folder:
     quarantine/  failed rows, one JSON record each, partitioned by run_id
     failures/    failure lists in bounded chunks, partitioned by run_id
     audit/       one row per file and run, partitioned by run_id
-    ledger/      append-only log (file_name, processed_at); current = latest per file
-
-Replays of a run overwrite their own run_id partitions (dynamic partition
-overwrite), and readings are appended through an anti-join on ``uuid``, so a
-repeated run changes nothing. Rewrites (delete/update) go through a staged
-copy in the checkpoint folder, never overwriting a path while reading it.
+    ledger/      append-only log (file_name, processed_at, run_id); current = latest per file
+    stations/    the station master
+
+The ledger entry of a file is written last and commits the run's rows of that
+file: run tables are read through it, so what a crashed run left behind is
+never seen, and the run that repeats its files replaces it. Readings are
+appended through an anti-join on ``uuid``, so a repeated run changes nothing.
+Rewrites (delete/update) go through a staged copy in the checkpoint folder,
+never overwriting a path while reading it. A table that was never written is
+an empty frame of its schema.
 """
 
 from __future__ import annotations
@@ -23,10 +27,18 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.datetime import obs_date, parse_datetime
 from telemetra.functions.validate import SENTINEL_DATETIMES
-from telemetra.schema import CANONICAL, LEDGER
-from telemetra.session import scratch_path
+from telemetra import schema
+from telemetra.functions.ids import prefix_station_id
+from telemetra.functions.text import strip_ws
+from telemetra.schema import CANONICAL, MEASUREMENTS, VALUE_SUFFIX
+from telemetra.session import remove_path, scratch_path
 
 READINGS, QUARANTINE, FAILURES, AUDIT, LEDGER_DIR = "readings", "quarantine", "failures", "audit", "ledger"
+STATIONS = "stations"
+SCHEMAS = {READINGS: schema.READINGS, QUARANTINE: schema.QUARANTINE, FAILURES: schema.FAILURES, AUDIT: schema.AUDIT,
+           LEDGER_DIR: schema.LEDGER, STATIONS: schema.STATIONS}
+MAX_FILE_ROWS = 5_000_000
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 # --- pure DataFrame operators ------------------------------------------------
@@ -63,20 +75,40 @@ def delete_sentinels(df: DataFrame, values: list[str] = SENTINEL_DATETIMES) -> D
     return df.filter(~sentinel_predicate(values))
 
 
+def measurement(text: Column) -> Column:
+    """A cell as DOUBLE, NULL when it is not a plain number."""
+    x = strip_ws(text)
+    return F.when(x.rlike(_NUMBER), x.try_cast("double"))
+
+
 def typed_readings(df: DataFrame) -> DataFrame:
-    """Stored form of readings: text columns + uuid + parsed ts + obs_date."""
+    """Stored form of readings: text columns + uuid + parsed ts, measurements as numbers, and obs_date."""
     ts = parse_datetime(F.col("DateTime"))
-    return df.select(*CANONICAL, "uuid", ts.alias("ts")).withColumn("obs_date", obs_date(F.col("ts")))
+    values = [measurement(F.col(c)).alias(c + VALUE_SUFFIX) for c in MEASUREMENTS]
+    return df.select(*CANONICAL, "uuid", ts.alias("ts"), *values).withColumn("obs_date", obs_date(F.col("ts")))
+
+
+def by_day(df: DataFrame) -> DataFrame:
+    """Rows dealt by day for a partitioned write: small days share a task, large ones are split over several."""
+    return df.hint("rebalance", "obs_date")
 
 
 # --- table folder --------------------------------------------------------------
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing or empty table
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds a data file. Only a missing path or a folder without one counts as absent; any
+    other trouble is raised."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
         return False
+    depth = len(target.toUri().getPath().rstrip("/")) + 1
+    found = files.listFiles(target, True)
+    while found.hasNext():
+        parts = found.next().getPath().toUri().getPath()[depth:].split("/")
+        if not any(p.startswith(".") or p.startswith("_") and "=" not in p for p in parts):
+            return True
+    return False
 
 
 class TableStore:
@@ -89,53 +121,62 @@ class TableStore:
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
-    def read(self, name: str) -> DataFrame | None:
-        p = self.path(name)
-        return self.spark.read.parquet(p) if _exists(self.spark, p) else None
-
-    # K6: first run creates nothing until there is data; readers see None.
+    def stored(self, name: str) -> DataFrame:
+        """Every row written to a table, those of unfinished runs included (K6: empty before the first write)."""
+        if not has_data(self.spark, self.path(name)):
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+
+    def read(self, name: str) -> DataFrame:
+        """The rows of a table; of the run tables those that the ledger commits."""
+        rows = self.stored(name)
+        if name not in (QUARANTINE, FAILURES, AUDIT):
+            return rows
+        done = self.stored(LEDGER_DIR).select(F.col("file_name").alias("_file"), F.col("run_id").alias("_run"))
+        # An entry without a run id was written before runs were recorded and commits all rows of its file.
+        same = (rows["file_name"] == done["_file"]) & (done["_run"].isNull() | (rows["run_id"] == done["_run"]))
+        return rows.join(done, same, "left_semi")
 
     def ledger(self) -> DataFrame:
         """Current ledger: latest ``processed_at`` per file name."""
-        log = self.read(LEDGER_DIR)
-        if log is None:
-            return self.spark.createDataFrame([], LEDGER)
+        log = self.stored(LEDGER_DIR)
         return ledger_upsert(log.limit(0), log)
 
     def append_ledger(self, entries: DataFrame) -> None:
         """Upsert = append to the log; readers take the latest entry per file (K2)."""
-        entries.select("file_name", "processed_at").write.mode("append").parquet(self.path(LEDGER_DIR))
+        entries.select("file_name", "processed_at", "run_id").write.mode("append").parquet(self.path(LEDGER_DIR))
 
     def append_run_table(self, name: str, df: DataFrame) -> None:
         """Write one run's rows; a replay of the same run_id replaces them (K3)."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id").parquet(self.path(name)))
 
-    def append_readings(self, batch: DataFrame) -> int:
+    def append_readings(self, batch: DataFrame, moved: bool = False) -> None:
         """Insert typed readings, ignoring uuids already stored (K1).
 
         Same uuid means same raw cells, hence the same DateTime and obs_date,
         so only the batch's date partitions need checking. That holds unless
         a cell contains the joiner ``|`` (two rows could then share a key text
         across dates): such rows are checked against the whole uuid column.
-        ``batch`` should be a staged (materialised) DataFrame: it is read
+        ``moved`` rows come from other days of the table and are checked
+        against their new days only. ``batch`` should be a staged (materialised) DataFrame: it is read
         twice, once for its dates and once for the insert.
         """
-        existing = self.read(READINGS)
-        if existing is None:
-            new = batch.dropDuplicates(["uuid"])
-        else:
-            dates = [r[0] for r in batch.select("obs_date").distinct().collect()]  # bounded: days in the batch
-            day_vals = [d for d in dates if d is not None]
-            in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
-            if None in dates:
-                in_days = in_days | F.col("obs_date").isNull()
-            has_pipe = _has_pipe(batch.columns)
-            plain = rows_to_insert(batch.filter(~has_pipe), existing.filter(in_days))
-            piped = rows_to_insert(batch.filter(has_pipe), existing)
-            new = plain.unionByName(piped)
-        new.write.mode("append").partitionBy("obs_date").parquet(self.path(READINGS))
-        return 0
+        existing = self.stored(READINGS)
+        dates = [r[0] for r in batch.select("obs_date").distinct().collect()]  # bounded: days in the batch
+        day_vals = [d for d in dates if d is not None]
+        in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
+        if None in dates:
+            in_days = in_days | F.col("obs_date").isNull()
+        has_pipe = F.lit(False) if moved else _has_pipe(batch.columns)
+        plain = rows_to_insert(batch.filter(~has_pipe), existing.filter(in_days))
+        piped = rows_to_insert(batch.filter(has_pipe), existing)
+        self._write_days(plain.unionByName(piped), "append", self.path(READINGS))
+
+    @staticmethod
+    def _write_days(rows: DataFrame, mode: str, path: str) -> None:
+        (by_day(rows).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", MAX_FILE_ROWS).partitionBy("obs_date").parquet(path))
 
     def _drop_partitions(self, days: list) -> None:
         """Remove whole ``obs_date`` partition folders (HDFS, S3 and local alike)."""
@@ -154,9 +195,7 @@ class TableStore:
         the staged copy overwrites those partitions (dynamic overwrite); days
         whose partition became empty are then removed.
         """
-        current = self.read(READINGS)
-        if current is None:
-            return
+        current = self.stored(READINGS)
         days = [r[0] for r in current.filter(affected).select("obs_date").distinct().collect()]
         if not days:
             return
@@ -165,17 +204,19 @@ class TableStore:
         if None in days:
             in_days = in_days | F.col("obs_date").isNull()
         staged_path = scratch_path(self.spark, "rewrite")
-        transform(current.filter(in_days)).write.mode("overwrite").partitionBy("obs_date").parquet(staged_path)
-        staged = self.read_path(staged_path)
-        kept = set()
-        if staged is not None:
-            kept = {r[0] for r in staged.select("obs_date").distinct().collect()}
-            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("obs_date").parquet(self.path(READINGS)))
+        self._write_days(transform(current.filter(in_days)), "overwrite", staged_path)
+        if has_data(self.spark, staged_path):
+            staged = self.spark.read.schema(schema.READINGS).parquet(staged_path)
+            stay = F.coalesce(in_days, F.lit(False))
+            # Rows that now belong to other days go there first; a repeated rewrite finds them by their uuid.
+            self.append_readings(staged.filter(~stay), moved=True)
+            kept = {r[0] for r in staged.filter(stay).select("obs_date").distinct().collect()}
+            if kept:
+                self._write_days(staged.filter(stay), "overwrite", self.path(READINGS))
+        else:
+            kept = set()
         self._drop_partitions([d for d in days if d not in kept])
-
-    def read_path(self, path: str) -> DataFrame | None:
-        return self.spark.read.parquet(path) if _exists(self.spark, path) else None
+        remove_path(self.spark, staged_path)
 
     def delete_sentinel_readings(self, values: list[str] = SENTINEL_DATETIMES) -> None:
         """Stored-table form of the sentinel DELETE (K4): only partitions holding them change."""
@@ -183,6 +224,20 @@ class TableStore:
         self.rewrite_readings(pred, lambda df: df.filter(~pred))
 
     def update_readings(self, affected: Column, column: str, value: Column) -> None:
-        """Stored-table UPDATE ... SET column = value WHERE affected (K5 form for readings)."""
-        self.rewrite_readings(affected, lambda df: df.withColumn(
-            column, F.when(affected, value).otherwise(F.col(column))))
+        """Stored-table UPDATE ... SET column = value WHERE affected: the key stays, the typed columns follow the text,
+        and a row whose day changes moves to that day's partition."""
+        self.rewrite_readings(affected, lambda df: typed_readings(df.withColumn(
+            column, F.when(affected, value).otherwise(F.col(column)))))
+
+    # --- station master ---
+
+    def write_stations(self, stations: DataFrame) -> None:
+        """Replace the stored station master; ``stations`` may be read from it."""
+        staged_path = scratch_path(self.spark, "stations")
+        stations.select(*schema.STATIONS.names).write.parquet(staged_path)
+        self.spark.read.schema(schema.STATIONS).parquet(staged_path).write.mode("overwrite").parquet(self.path(STATIONS))
+        remove_path(self.spark, staged_path)
+
+    def prefix_station_ids(self) -> None:
+        """UPDATE of all stored station ids: put '&' in front (K5)."""
+        self.write_stations(self.stored(STATIONS).withColumn("id", prefix_station_id(F.col("id"))))

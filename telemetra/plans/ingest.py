@@ -1,11 +1,9 @@
 """Folder ingest: CSV files -> readings, quarantine, failure lists, audit, ledger.
 
-One lazy plan parses all new files; the parsed rows are staged once in the
-checkpoint folder (a lineage cut that survives executor loss), and every sink
-reads the staged copy. Sink order is readings -> quarantine/failures ->
-audit -> ledger, so a crash before the ledger only causes a harmless replay:
-readings are inserted through an anti-join on ``uuid`` and the run tables are
-keyed by ``run_id``.
+The per-file header table and the parsed rows are staged once each in the checkpoint folder (lineage cuts that survive
+executor loss); every sink reads the staged rows, and the stages go when the ledger is written. Sink order is readings
+-> quarantine/failures -> audit -> ledger: the ledger commits a file's rows of this run, so a crash at any place leaves
+nothing to be seen but readings, which a repeated run finds by their ``uuid``.
 """
 
 from __future__ import annotations
@@ -17,81 +15,110 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.operators import audit as audit_ops
-from telemetra.operators.parse import parse_lines, readings_from
+from telemetra.operators.parse import clean_lines, failed_record_json, file_headers, parse_lines, readings_from
 from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_readings, unprocessed_files
-from telemetra.session import scratch_path
-from telemetra.sources.files import CSV_GLOB, list_logger_files, scan_logger_files, split_bound
+from telemetra.session import remove_path, scratch_path
+from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, hidden_logger_files, list_logger_files,
+                                     scan_logger_files)
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+class _Stages:
+    """Staged tables of one run."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            remove_path(self.spark, path)
+
+
+def _error_rows(files: DataFrame, error: str) -> DataFrame:
+    """Per-file results of files that could not be read."""
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("record_count", "success_count", "fail_count")]
+    return files.select("file_path", "file_name", *none, F.lit(error).alias("error"), F.lit(False).alias("audited"),
+                        F.lit(False).alias("ledgered"), F.lit(0).cast("bigint").alias("inserted"),
+                        F.lit(0).cast("bigint").alias("skipped"))
 
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mode: str = "strict",
                  run_id: str | None = None, now: _dt.datetime | None = None,
-                 candidates: DataFrame | None = None, n_files: int | None = None) -> DataFrame:
-    """Ingest one batch of lines into ``store``; returns the per-file results.
+                 candidates: DataFrame | None = None) -> DataFrame:
+    """Ingest one batch of lines into ``store``; returns the per-file results, which outlive the run's other stages.
 
-    ``candidates`` (file_path, file_name) lists every file of the batch, so
-    that files without a single non-blank line are reported as errors.
+    ``candidates`` (file_path, file_name) lists every file of the batch: lines
+    of other files are left out, and files without a single non-blank line
+    are reported as errors.
     """
     run_id = run_id or _uuid.uuid4().hex
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    rows, headers = parse_lines(lines, mode, n_files, stage=lambda df: _stage(spark, df, "tokens"))
-    rows = _stage(spark, rows, "parsed-rows")
-    headers = _stage(spark, headers.select("file_path", "file_name", "file_error"), "parsed-headers")
+    stages = _Stages(spark)
+    headers = file_headers(clean_lines(lines))
+    if candidates is not None:
+        headers = headers.join(candidates.select("file_path"), "file_path", "left_semi")
+    headers = stages.write(headers, "headers")
+    rows, _ = parse_lines(lines, mode, headers)
+    # Failures keep their record, valid rows their cells; neither needs the split line any more.
+    rows = stages.write(rows.withColumn("record", F.when(F.col("kind") != "valid", failed_record_json(F.col("kind"))))
+                        .drop("tokens", "keys", "width", "k_StationID"), "parsed-rows")
 
     # readings (K1)
     store.append_readings(typed_readings(readings_from(rows)))
 
     # quarantine + failure lists
-    fails = audit_ops.failures(rows, mode).withColumn("run_id", F.lit(run_id))
-    store.append_run_table(QUARANTINE, fails.select("run_id", "file_name", "line_no", "kind", "record"))
-    chunks = audit_ops.failed_records_json(rows, mode).withColumn("run_id", F.lit(run_id))
-    store.append_run_table(FAILURES, chunks)
+    run = F.lit(run_id).alias("run_id")
+    store.append_run_table(QUARANTINE, audit_ops.failures(rows).select("file_name", "line_no", "kind", "record", run))
+    store.append_run_table(FAILURES, audit_ops.failed_records_json(rows).drop("file_path").withColumn("run_id", run))
 
     # audit (A4) and per-file results, empty files included as errors
     per_file = audit_ops.file_audit(rows, headers, mode)
     if candidates is not None:
-        empty = (candidates.select("file_path", "file_name").join(headers.select("file_path"), "file_path", "left_anti")
-                 .select("file_path", "file_name",
-                         *[F.lit(None).cast("bigint").alias(c) for c in ("record_count", "success_count", "fail_count")],
-                         F.lit(EMPTY_FILE_ERROR).alias("error"), F.lit(False).alias("audited"),
-                         F.lit(False).alias("ledgered"), F.lit(0).cast("bigint").alias("inserted"),
-                         F.lit(0).cast("bigint").alias("skipped")))
-        per_file = per_file.unionByName(empty)
-    per_file = _stage(spark, per_file.withColumn("run_id", F.lit(run_id)).withColumn("timestamp", ts), "per-file")
-    store.append_run_table(AUDIT, per_file.filter("audited").select(
-        "run_id", "file_name", "record_count", "success_count", "fail_count", "error", "timestamp"))
+        empty = candidates.join(headers.select("file_path"), "file_path", "left_anti")
+        per_file = per_file.unionByName(_error_rows(empty, EMPTY_FILE_ERROR))
+    results = _Stages(spark).write(per_file.withColumn("run_id", run).withColumn("timestamp", ts), "per-file")
+    store.append_run_table(AUDIT, results.filter("audited").select(
+        "file_name", "record_count", "success_count", "fail_count", "error", "timestamp", "run_id"))
 
     # ledger last (K2)
-    store.append_ledger(per_file.filter("ledgered").select("file_name", F.col("timestamp").alias("processed_at")))
-    return per_file
+    store.append_ledger(results.filter("ledgered").select("file_name", F.col("timestamp").alias("processed_at"), "run_id"))
+    stages.clear()
+    return results
 
 
 def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: str = "strict",
                   run_id: str | None = None, now: _dt.datetime | None = None, glob: str = CSV_GLOB) -> DataFrame:
     """Ingest every CSV file of ``src_dir`` not yet in the ledger; returns the run summary.
 
-    Files are skipped by base name, as the ledger keys them. The list of new
-    paths is collected to hand it to the reader (file metadata only).
+    Files are skipped by base name, as the ledger keys them. The folder is
+    read as a whole, without files older than the oldest new one; the header
+    table holds the new files only and the join with it drops the lines of
+    all others. No list of paths passes through the driver. A file whose name
+    hides it from the reader is reported as an error.
     """
     store = TableStore(spark, table_dir)
+    stages = _Stages(spark)
     files = list_logger_files(spark, src_dir, glob)
-    todo = _stage(spark, unprocessed_files(files, store.ledger()).select("file_path", "file_name"), "todo")
-    listing = todo.join(files.select("file_path", "size"), "file_path").collect()
-    paths = [r.file_path for r in listing]
-    if not paths:
-        return audit_ops.run_summary(spark.createDataFrame(
-            [], "inserted bigint, skipped bigint, error string"))
-    blocks = split_bound(len(paths), sum(r.size for r in listing))
-    per_file = ingest_lines(spark, scan_logger_files(spark, paths, blocks), store, mode=mode, run_id=run_id,
-                            now=now, candidates=todo, n_files=len(paths))
+    todo = stages.write(unprocessed_files(files, store.ledger()).select("file_path", "file_name", "modified"), "todo")
+    oldest = todo.agg(F.min("modified").cast("string")).first()[0]
+    hidden = spark.createDataFrame([(n, n) for n in hidden_logger_files(spark, src_dir)], "file_path string, file_name string")
+    per_file = _error_rows(hidden, HIDDEN_FILE_ERROR).select(*AUDIT_COLUMNS)
+    if oldest is not None:
+        lines = scan_logger_files(spark, src_dir, glob, oldest)
+        per_file = per_file.unionByName(ingest_lines(
+            spark, lines, store, mode=mode, run_id=run_id, now=now, candidates=todo).select(*AUDIT_COLUMNS))
+    stages.clear()
     return audit_ops.run_summary(per_file)
 
 
+AUDIT_COLUMNS = ["file_path", "file_name", "inserted", "skipped", "error"]
+
 from telemetra.streaming.incremental import ingest_stream  # noqa: E402,F401  (re-export)

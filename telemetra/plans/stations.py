@@ -1,6 +1,6 @@
 """User-level station queries: paged readings, latest N per station, metadata (Q1-Q3, Q5, Q6).
 
-Each returns a lazy DataFrame; nothing is collected. Station filters are
+Each returns a lazy DataFrame; building one runs no job. Station filters are
 applied to the (small) station side before the join, which is equivalent to
 filtering the joined rows since they only read station columns.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from telemetra.operators.aggregates import page_metadata
 from telemetra.operators.filters import date_range_predicate, filter_stations, station_predicates
-from telemetra.operators.joins import is_small, join_station_readings, semi_join_stations
+from telemetra.operators.joins import join_station_readings, semi_join_stations
 from telemetra.operators.projections import (READING_COLUMNS, payload_by_type, project_basin_reading,
                                              project_metadata, project_station_reading)
 from telemetra.operators.windows import latest_n
@@ -21,8 +21,8 @@ from telemetra.schema import DEFAULT_PAGE_SIZE, MAX_LATEST, MAX_PAGE_SIZE
 
 def _check_page(page, page_size) -> tuple[int, int]:
     """Defaults and bounds of the paging arguments."""
-    page = page or 1
-    page_size = page_size or DEFAULT_PAGE_SIZE
+    page = 1 if page is None else page
+    page_size = DEFAULT_PAGE_SIZE if page_size is None else page_size
     if page < 1:
         raise ValueError("page must be >= 1")
     if not 1 <= page_size <= MAX_PAGE_SIZE:
@@ -58,7 +58,8 @@ def station_readings(readings: DataFrame, stations: DataFrame, *, start_date=Non
     """One page of readings joined with their station, newest first (Q1).
 
     LIMIT/OFFSET over a total order is planned as a top-(offset+limit) per
-    partition, so no full sort of the readings happens.
+    partition, so a page costs in proportion to its number. For deep pages
+    use ``station_readings_after``, whose cost does not depend on the depth.
     """
     page, page_size = _check_page(page, page_size)
     joined = _filtered_join(readings, stations, start_date, end_date, "fuzzy",
@@ -70,6 +71,34 @@ def station_readings(readings: DataFrame, stations: DataFrame, *, start_date=Non
     return payload_by_type(out.drop("ts", "uuid"))
 
 
+def after_predicate(ts, uuid: str) -> Column:
+    """Rows behind the cursor (ts, uuid) in time order, newest first, unparseable clocks last."""
+    if ts is None:
+        return F.col("ts").isNull() & (F.col("uuid") > F.lit(uuid))
+    clock = F.lit(str(ts)).cast("timestamp_ntz")
+    return F.col("ts").isNull() | (F.col("ts") < clock) | ((F.col("ts") == clock) & (F.col("uuid") > F.lit(uuid)))
+
+
+def station_readings_after(readings: DataFrame, stations: DataFrame, *, after: tuple | None = None, start_date=None,
+                           end_date=None, station_type=None, zone=None, location=None, district=None,
+                           page_size=DEFAULT_PAGE_SIZE) -> DataFrame:
+    """The ``page_size`` readings behind a cursor, in the order of ``station_readings``, with their own cursor (Q1).
+
+    ``after`` is the (ts, uuid) of the last row seen, ``None`` for the first page. It is a filter on the readings,
+    so every partition keeps ``page_size`` rows at most, at any depth; a day behind the cursor's is pruned.
+    """
+    _, page_size = _check_page(1, page_size)
+    if after is not None:
+        ts, uuid = after
+        readings = readings.filter(after_predicate(ts, uuid))
+        if ts is not None:
+            readings = readings.filter(F.col("obs_date").isNull() | (F.col("obs_date") <= F.lit(str(ts)[:10]).cast("date")))
+    joined = _filtered_join(readings, stations, start_date, end_date, "fuzzy",
+                            dict(station_type=station_type, zone=zone, location=location, district=district))
+    return payload_by_type(project_station_reading(joined, keep=["ts", "uuid"])
+                           .orderBy(*reading_order("time")).limit(page_size))
+
+
 def station_readings_page_info(readings: DataFrame, stations: DataFrame, *, start_date=None, end_date=None,
                                station_type=None, zone=None, location=None, district=None,
                                page=1, page_size=DEFAULT_PAGE_SIZE) -> DataFrame:
@@ -94,7 +123,9 @@ def latest_readings(readings: DataFrame, stations: DataFrame, *, station_type=No
 
     The rank covers each station's readings; when a station filter is set the
     readings are first semi-joined to the passing station ids (R4). Equal
-    result, since the rank partition key is the join key.
+    result, since the rank partition key is the join key. Without a filter
+    every call ranks the whole history: one scan, at most ``limit`` rows per
+    station and input partition shuffled.
     """
     limit = 1 if limit is None else int(limit)
     if not 1 <= limit <= MAX_LATEST:
@@ -103,11 +134,9 @@ def latest_readings(readings: DataFrame, stations: DataFrame, *, station_type=No
     if match == "exact":
         filters = {"type" if k == "station_type" else k: v for k, v in filters.items()}
     stations_f = filter_stations(stations, match=match, **filters)
-    small = is_small(stations_f)
     if station_predicates(match, **filters):
-        readings = semi_join_stations(readings, stations_f, small)
-    ranked = latest_n(readings, limit)
-    joined = join_station_readings(ranked, stations_f, small=small)
+        readings = semi_join_stations(readings, stations_f)
+    joined = join_station_readings(latest_n(readings, limit), stations_f)
     text_order = F.col("DateTime").desc_nulls_first() if order == "text" else F.col("ts").desc_nulls_last()
     out = (project_station_reading(joined, keep=["ts", "uuid"])
            .orderBy(F.col("station_id"), text_order, F.col("uuid")))
@@ -144,13 +173,12 @@ def basin_latest_readings(readings: DataFrame, stations: DataFrame, *, station_t
         raise ValueError(f"limit must be within 1..{MAX_LATEST}")
     filters = {"type": station_type, "basin": basin}
     stations_f = filter_stations(stations, match="exact", **filters)
-    small = is_small(stations_f)
     if station_predicates("exact", **filters):
-        readings = semi_join_stations(readings, stations_f, small)
-    joined = join_station_readings(latest_n(readings, limit), stations_f, small=small)
+        readings = semi_join_stations(readings, stations_f)
+    joined = join_station_readings(latest_n(readings, limit), stations_f)
     return (joined.orderBy("StationID", F.col("DateTime").desc_nulls_first(), "uuid")
             .transform(project_basin_reading))
 
 
-__all__ = ["station_readings", "station_readings_page_info", "count_readings", "latest_readings",
+__all__ = ["station_readings", "station_readings_after", "station_readings_page_info", "count_readings", "latest_readings",
            "station_metadata", "basin_station_readings", "basin_latest_readings", "READING_COLUMNS"]

@@ -48,16 +48,15 @@ NONE_TOKEN = "None"
 # Namespace of the row key: the DNS namespace of RFC 4122 UUIDv5 (fixed value).
 UUID_NAMESPACE_HEX = "6ba7b8109dad11d180b400c04fd430c8"
 
-# Whitespace removed by a full strip (space, tab, CR, LF, FF, VT).
-WHITESPACE = " \t\r\n\f\v"
+# Characters removed by a full strip: every character that the loggers' reader takes for white space.
+WHITESPACE = (" \t\r\n\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+              "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 # Payload field groups: every station gets BASE_FIELDS, AWS stations also
 # AWS_EXTRA_FIELDS (stored names, see CANONICAL below).
 BASE_FIELDS = ["MobileNumber", "Battery", "WaterLevel", "HourlyRain", "DailyRain", "DateTime"]
 AWS_EXTRA_FIELDS = ["AT", "SnowDepth", "Evaporation", "WS", "WD", "At_pressure", "RH", "Sun_Radiation"]
 
-# Station columns returned with each reading, in output order.
-STATION_OUT_COLUMNS = ["station_id", "longitude", "latitude", "zone", "name", "type", "location", "district"]
 # --- end of fixed values ---
 
 
@@ -67,7 +66,9 @@ def canonical(name: str) -> str:
 
 
 CANONICAL = [canonical(c) for c in EXPECTED_COLUMNS]
-MEASUREMENT_COLUMNS = CANONICAL[2:]
+# Stored beside their text as DOUBLE, NULL where the text is no number.
+MEASUREMENTS = CANONICAL[3:]
+VALUE_SUFFIX = "_value"
 
 READINGS_RAW = T.StructType(
     [T.StructField(c, T.StringType()) for c in CANONICAL] + [T.StructField("uuid", T.StringType())]
@@ -75,30 +76,42 @@ READINGS_RAW = T.StructType(
 
 READINGS = T.StructType(
     list(READINGS_RAW.fields)
-    + [T.StructField("ts", T.TimestampNTZType()), T.StructField("obs_date", T.DateType())]
+    + [T.StructField("ts", T.TimestampNTZType())]
+    + [T.StructField(c + VALUE_SUFFIX, T.DoubleType()) for c in MEASUREMENTS]
+    + [T.StructField("obs_date", T.DateType())]
 )
 
 AUDIT = T.StructType([
-    T.StructField("run_id", T.StringType()),
     T.StructField("file_name", T.StringType()),
     T.StructField("record_count", T.LongType()),
     T.StructField("success_count", T.LongType()),
     T.StructField("fail_count", T.LongType()),
     T.StructField("error", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 QUARANTINE = T.StructType([
-    T.StructField("run_id", T.StringType()),
     T.StructField("file_name", T.StringType()),
     T.StructField("line_no", T.LongType()),
     T.StructField("kind", T.StringType()),
     T.StructField("record", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+])
+
+FAILURES = T.StructType([
+    T.StructField("file_name", T.StringType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("chunk_no", T.LongType()),
+    T.StructField("n_records", T.LongType()),
+    T.StructField("failed_records", T.StringType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 LEDGER = T.StructType([
     T.StructField("file_name", T.StringType()),
     T.StructField("processed_at", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 STATIONS = T.StructType([
@@ -117,5 +130,4 @@ STATIONS = T.StructType([
 MAX_PAGE_SIZE = 500
 DEFAULT_PAGE_SIZE = 50
 MAX_LATEST = 20
-LENIENT_AUDIT_CAP = 200
 FAILED_SAMPLE_SIZE = 5

@@ -51,17 +51,26 @@ def get_session(master: str | None = None, app_name: str = "telemetra",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there. Only when it is unset (local
-    runs, tests) do we create one of our own under the system temp folder.
+    The cluster names a shared folder there. Only when it is unset and the
+    master is local (tests) is one created under the system temp folder; on
+    any other master that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all its nodes share")
         path = tempfile.mkdtemp(prefix="telemetra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that is no longer read."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for a staged table inside the checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

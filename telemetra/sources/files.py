@@ -1,19 +1,26 @@
 """Logger CSV folders -> line DataFrames.
 
-``spark.read.text`` splits large files across tasks. Exact line numbers are
-rebuilt without a per-file window over all lines: a small per-block table
-(lines per split and the first row id of each split) gives every split its
-offset, and is joined back to the lines.
+A file has one identity, taken from Spark's file metadata and decoded: its path, and its base name for the ledger.
+Folders are read as folders, never as a list of paths, so no character of a file name has a meaning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
-
 CSV_GLOB = "*.[cC][sS][vV]"
+HIDDEN_FILE_ERROR = "name starts with _ or . and is hidden from the reader"
+
+
+def decoded(uri: Column) -> Column:
+    """Percent-encoded metadata text as the name stands in the file system (a plus sign is itself)."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """A folder path whose glob characters stand for themselves."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
 
 
 def list_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB) -> DataFrame:
@@ -23,61 +30,50 @@ def list_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB) -
     file contents are not read.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "false").load(src_dir))
+             .option("recursiveFileLookup", "false").load(literal_path(src_dir)))
     return files.select(
-        F.col("path").alias("file_path"),
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
+        decoded(F.col("_metadata.file_path")).alias("file_path"),
+        decoded(F.col("_metadata.file_name")).alias("file_name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
     )
 
 
-def with_line_numbers(raw: DataFrame, max_blocks: int | None = None) -> DataFrame:
-    """Exact 1-based line numbers per file for a ``read.text`` scan (blank lines counted).
+def hidden_logger_files(spark: SparkSession, src_dir: str) -> list[str]:
+    """Base names of the CSV files of the folder that Spark's readers never show (``_x.csv``, ``.x.csv``)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(src_dir)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern = jvm.org.apache.hadoop.fs.Path(literal_path(src_dir).rstrip("/") + "/{_,.}" + CSV_GLOB)
+    return sorted(f.getPath().getName() for f in files.globStatus(pattern) or [])
 
-    ``raw`` must carry ``file_path``, ``file_name``, ``block_start``, ``rid``
-    (``monotonically_increasing_id()`` taken in the scan) and ``line``. Rows
-    of one split are contiguous within a task, so ``rid - min(rid)`` is the
-    line's index inside its split. ``max_blocks`` bounds the number of
-    splits when the caller knows it (file count and sizes from the listing);
-    the per-split table is broadcast only within the bound.
-    """
-    blocks = raw.groupBy("file_path", "block_start").agg(
-        F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid0"))
-    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    b = blocks.select("file_path", "block_start", "rid0", "offset")
-    if max_blocks is None:
-        b = broadcast_if_small(b)
-    elif max_blocks <= BROADCAST_MAX_ROWS:
-        b = F.broadcast(b)
-    j = raw.join(b, ["file_path", "block_start"])
-    return j.select("file_path", "file_name",
-                    (F.col("offset") + F.col("rid") - F.col("rid0") + 1).cast("bigint").alias("line_no"),
-                    "line")
-
-
-def read_text_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Raw lines with file identity, split offset and scan-order id."""
-    raw = spark.read.text(paths)
-    return raw.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("rid"),
-        F.col("value").alias("line"),
-    )
 
+def line_key(block_start: Column, rid: Column) -> Column:
+    """Place of a line in its file: increasing in file order, not consecutive.
 
-# Smallest split Spark makes of a file (spark.sql.files.openCostInBytes default).
-MIN_SPLIT_BYTES = 4 * 1024 * 1024
+    Within a task the lower 33 bits of ``rid`` (``monotonically_increasing_id``) count the rows. A task holds no
+    more lines than a full split has bytes, plus one, and only a file's last split is not full; so twice the
+    split's first byte plus that count grows along the file, without a second look at the lines.
+    """
+    return 2 * block_start + rid.bitwiseAND(F.lit((1 << 33) - 1))
 
 
-def split_bound(n_files: int, total_bytes: int) -> int:
-    """Upper bound on the number of splits of ``n_files`` files of ``total_bytes``."""
-    return n_files + total_bytes // MIN_SPLIT_BYTES
+def as_lines(text: DataFrame) -> DataFrame:
+    """(file_path, file_name, line_no, line) of a text scan, batch or micro-batch."""
+    return text.select(
+        decoded(F.col("_metadata.file_path")).alias("file_path"),
+        decoded(F.col("_metadata.file_name")).alias("file_name"),
+        line_key(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("line_no"),
+        F.col("value").alias("line"))
 
 
-def scan_logger_files(spark: SparkSession, paths: list[str] | str, max_blocks: int | None = None) -> DataFrame:
-    """Lines of the given CSV files: (file_path, file_name, line_no, line) (S1, S2 happens in parsing)."""
-    return with_line_numbers(read_text_lines(spark, paths), max_blocks)
+def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None) -> DataFrame:
+    """Lines of the folder's CSV files: (file_path, file_name, line_no, line) (S1; S2 happens in parsing).
+
+    ``modified_from`` leaves out files last changed before that time; the
+    reader prunes them from its listing.
+    """
+    text = (spark.read.option("pathGlobFilter", glob).option("ignoreMissingFiles", "true").text(literal_path(src_dir)))
+    if modified_from is not None:
+        text = text.filter(F.col("_metadata.file_modification_time") >= F.lit(modified_from).cast("timestamp"))
+    return as_lines(text)

@@ -122,14 +122,21 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_lines`` with blank lines, all-empty rows, short rows and junk characters."""
+    """``raw_lines`` with blank lines, all-empty rows, short rows, junk characters and double quotes: around cells,
+    around a comma, inside a cell, doubled, before more text, and without end."""
     r = raw_lines(spark, sf_dir)
     n, line = F.col("line_no"), F.col("line")
+    sid, clock = F.split_part(line, F.lit(","), F.lit(1)), F.split_part(line, F.lit(","), F.lit(2))
     messy = (F.when(n % 17 == 0, F.lit(""))
               .when(n % 13 == 0, F.lit(",,"))
               .when(n % 23 == 0, F.split_part(line, F.lit(","), F.lit(1)))
               .when(n % 19 == 0, F.concat(line, F.lit("\x00")))
               .when(n % 29 == 0, F.concat(F.lit("\ufffd"), line))
+              .when(n % 31 == 0, F.concat(F.lit('"'), sid, F.lit('","'), clock, F.lit('","1,5"')))
+              .when(n % 37 == 0, F.concat(line, F.lit('" 3"')))
+              .when(n % 41 == 0, F.concat(F.lit('"'), sid, F.lit('"x,'), clock, F.lit(",7")))
+              .when(n % 43 == 0, F.concat(sid, F.lit(","), clock, F.lit(',"5""6"')))
+              .when(n % 47 == 0, F.concat(F.lit('"'), line))
               .otherwise(line))
     return r.select("file_path", "file_name", "line_no", messy.alias("line"))
 
@@ -215,7 +222,11 @@ SELECT file_name AS file_path, file_name, line_no, coalesce(StationID,'')||','||
 DUCK_MESSY_LINES = """messy_lines AS (
 SELECT file_path, file_name, line_no,
   CASE WHEN line_no%17=0 THEN '' WHEN line_no%13=0 THEN ',,' WHEN line_no%23=0 THEN split_part(line, ',', 1)
-       WHEN line_no%19=0 THEN line||chr(0) WHEN line_no%29=0 THEN chr(65533)||line ELSE line END AS line
+       WHEN line_no%19=0 THEN line||chr(0) WHEN line_no%29=0 THEN chr(65533)||line
+       WHEN line_no%31=0 THEN '"'||split_part(line, ',', 1)||'","'||split_part(line, ',', 2)||'","1,5"'
+       WHEN line_no%37=0 THEN line||'" 3"' WHEN line_no%41=0 THEN '"'||split_part(line, ',', 1)||'"x,'||split_part(line, ',', 2)||',7'
+       WHEN line_no%43=0 THEN split_part(line, ',', 1)||','||split_part(line, ',', 2)||',"5""6"'
+       WHEN line_no%47=0 THEN '"'||line ELSE line END AS line
 FROM raw_lines)"""
 
 DUCK_HEADER_LINES = """header_body AS (

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from telemetra.operators.store import TableStore
-from telemetra.sources.files import CSV_GLOB, with_line_numbers
+from telemetra.sources.files import CSV_GLOB, as_lines, literal_path
+
+# A hundred thousand years: no file is too old, whatever clock its logger had. The ledger prevents repeats.
+NO_AGE_LIMIT = "36500000d"
 
 
 def ingest_stream(spark: SparkSession, src_dir: str, table_dir: str, checkpoint: str, *, mode: str = "strict",
@@ -14,34 +16,29 @@ def ingest_stream(spark: SparkSession, src_dir: str, table_dir: str, checkpoint:
     """Incremental ingest with Structured Streaming.
 
     The file source's checkpoint remembers processed base names
-    (``fileNameOnly``); ``maxFileAge`` is raised so late-synced old files are
-    still picked up. Each micro-batch runs the batch ingest, keyed by its
-    batch id, after dropping files the ledger already holds (e.g. from batch
-    runs). ``maxFilesPerTrigger`` bounds the files, hence the per-file tables
-    broadcast, of every micro-batch. Returns the started query.
+    (``fileNameOnly``); files of any age are picked up. Each micro-batch runs
+    the batch ingest after dropping files the ledger already holds (from batch
+    runs, or from this batch before a crash). Files whose names hide them from
+    Spark's readers are seen, and reported, by ``ingest_folder`` only. Returns
+    the started query.
     """
     store = TableStore(spark, table_dir)
     stream = (spark.readStream.format("text")
               .option("pathGlobFilter", CSV_GLOB)
               .option("fileNameOnly", "true")
-              .option("maxFileAge", "3650d")
+              .option("maxFileAge", NO_AGE_LIMIT)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .load(src_dir))
-    raw = stream.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("value").alias("line"),
-    )
+              .load(literal_path(src_dir)))
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        lines = with_line_numbers(df.withColumn("rid", F.monotonically_increasing_id()))
-        lines = lines.join(store.ledger().select("file_name"), "file_name", "left_anti")
-        files = lines.select("file_path", "file_name").distinct()
         from telemetra.plans.ingest import ingest_lines
-        ingest_lines(spark, lines, store, mode=mode, run_id=f"batch-{batch_id:012d}", candidates=files,
-                     n_files=max_files_per_trigger)
 
-    writer = raw.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+        lines = as_lines(df)
+        files = lines.select("file_path", "file_name").distinct()
+        files = files.join(store.ledger().select("file_name"), "file_name", "left_anti")
+        ingest_lines(spark, lines, store, mode=mode, candidates=files)
+
+    writer = (stream.select("value", "_metadata").writeStream.foreachBatch(_batch)
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

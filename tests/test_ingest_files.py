@@ -157,5 +157,92 @@ def test_lenient_mode(spark, tmp_path):
     ids = sorted(r.StationID or "<null>" for r in store.read("readings").collect())
     assert ids == ["123456", "<null>"]
     a = store.read("audit").collect()[0]
-    assert (a.success_count, a.fail_count, a.record_count) == (2, 200, 202)
-    assert store.read("quarantine").count() == 200
+    assert (a.success_count, a.fail_count, a.record_count) == (2, 252, 254)
+    assert store.read("quarantine").count() == 252
+    assert sum(r.n_records for r in store.read("failures").collect()) == 252
+
+
+def test_quoted_cells_end_to_end(spark, tmp_path):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "t")
+    os.makedirs(src)
+    wide = ",".join(['"a""b"'] * 20_000)
+    _write(src, "q.csv", '&5604C1D8,22/05/25 06:00,5" x,3" y,7\n"&5604C1D8","22/05/25 06:15","1,5","a""b",8\n'
+           + wide + '\n"&5604C1D8,22/05/25 06:30,1,2,3\n')
+    ingest_folder(spark, src, tables, now=NOW).collect()
+    store = TableStore(spark, tables)
+    rows = {r.DateTime: (r.MobileNumber, r.Battery, r.WaterLevel, r.WaterLevel_value) for r in store.read("readings").collect()}
+    assert rows == {"22/05/25 06:00": ('5" x', '3" y', "7", 7.0), "22/05/25 06:15": ("1,5", 'a"b', "8", 8.0)}
+    assert [r.kind for r in store.read("quarantine").collect()] == ["tokenize", "tokenize"]
+
+
+def test_every_file_name_is_ingested_once(spark, tmp_path):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "t")
+    os.makedirs(src)
+    names = ["site 12.csv", "pct%20x.csv", "a[1].csv", "plus+1.csv", "é.csv"]
+    for k, name in enumerate(names):
+        _write(src, name, f"&0000000{k},22/05/25 12:00,1\n")
+    _write(src, "_u.csv", "&00000009,22/05/25 12:00,1\n")
+    os.utime(os.path.join(src, names[0]), (0, 0))  # a logger whose clock was reset
+    first = ingest_folder(spark, src, tables, now=NOW).collect()[0]
+    assert (first.files, first.inserted, first.files_with_error) == (6, 5, 1)  # _u.csv is reported
+    second = ingest_folder(spark, src, tables, now=NOW).collect()[0]
+    assert (second.files, second.inserted) == (1, 0)
+    store = TableStore(spark, tables)
+    assert sorted(r.file_name for r in store.read("audit").collect()) == sorted(names)
+    assert sorted(r.file_name for r in store.ledger().collect()) == sorted(names)
+    assert store.read("readings").count() == 5
+
+
+@pytest.mark.parametrize("sink", ["append_readings", "append_run_table", "append_ledger"])
+def test_crash_before_each_sink_leaves_no_trace(spark, tmp_path, monkeypatch, sink):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "t")
+    os.makedirs(src)
+    _write(src, "a.csv", ROW + "\n" + ROW + "\nbad,row,x\n")
+    calls = []
+    real = getattr(TableStore, sink)
+
+    def failing(self, *args, **kwargs):
+        calls.append(args)
+        if len(calls) == (3 if sink == "append_run_table" else 1):
+            raise RuntimeError("executor gone")
+        return real(self, *args, **kwargs)
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, sink, failing)
+        with pytest.raises(RuntimeError):
+            ingest_folder(spark, src, tables, now=NOW).collect()
+    store = TableStore(spark, tables)
+    assert [store.read(t).count() for t in ("quarantine", "failures", "audit")] == [0, 0, 0]
+    _write(src, "b.csv", ROW.replace("12:00", "13:00") + "\n")  # the next run finds one more file
+    ingest_folder(spark, src, tables, now=NOW).collect()
+    assert [store.read(t).count() for t in ("readings", "quarantine", "failures", "audit", "ledger")] == [2, 1, 1, 2, 2]
+
+
+def test_tables_are_empty_before_the_first_run(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "none"))
+    for name in ("readings", "quarantine", "failures", "audit", "ledger", "stations"):
+        assert store.read(name).count() == 0 and store.read(name).columns
+    from telemetra.plans.stations import latest_readings, station_readings
+    assert station_readings(store.read("readings"), store.read("stations")).count() == 0
+    assert latest_readings(store.read("readings"), store.read("stations")).count() == 0
+
+
+def test_unreadable_ledger_is_an_error(spark, tmp_path):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "t")
+    os.makedirs(src)
+    _write(src, "a.csv", ROW + "\n")
+    os.makedirs(os.path.join(tables, "ledger"))
+    _write(os.path.join(tables, "ledger"), "part-0.parquet", b"not parquet")
+    with pytest.raises(Exception):
+        ingest_folder(spark, src, tables, now=NOW).collect()
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "t")
+    os.makedirs(src)
+    _write(src, "a.csv", ROW + "\n")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    ingest_folder(spark, src, tables, now=NOW).collect()
+    assert {n.split("-")[0] for n in set(os.listdir(shared)) - before if not n[:8].isalnum() or "-" not in n} <= {"per"}
+    assert not [n for n in set(os.listdir(shared)) - before if n.startswith(("headers", "parsed", "todo"))]

@@ -13,9 +13,27 @@ def _plan(df):
 
 def test_latest_uses_partial_window_group_limit(spark):
     df = latest_readings(fx.readings(spark, SF_SMALL), fx.stations(spark, SF_SMALL), limit=3)
-    p = _plan(df)
-    assert "WindowGroupLimit" in p
-    assert "BroadcastHashJoin" in p
+    assert "WindowGroupLimit" in _plan(df)
+
+
+def _final_plan(df):
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    return query.executedPlan().toString()
+
+
+def test_small_master_is_broadcast_and_large_is_not(spark):
+    r, s = fx.readings(spark, SF_SMALL), fx.stations(spark, SF_SMALL)
+    assert "BroadcastHashJoin" in _final_plan(latest_readings(r, s, limit=3))
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in limits:
+            spark.conf.set(name, "-1")
+        plan = _final_plan(latest_readings(r, s, limit=3))
+    finally:
+        for name in limits:
+            spark.conf.unset(name)
+    assert "SortMergeJoin" in plan
 
 
 def test_filtered_latest_semi_joins_first(spark):

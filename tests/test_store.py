@@ -48,3 +48,51 @@ def test_date_filter_prunes_stored_partitions(spark, tmp_path):
     page = station_readings(stored, fx.stations(spark, SF_SMALL), start_date="2024-01-05", end_date="2024-01-06")
     assert "PartitionFilters: [isnotnull(obs_date" in page._jdf.queryExecution().executedPlan().toString()
     assert df.count() == fx.readings(spark, SF_SMALL).filter("obs_date BETWEEN '2024-01-05' AND '2024-01-06'").count()
+
+
+def test_update_moves_rows_to_their_new_day(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.append_readings(_batch(spark, [("&00000001", "22/05/25 10:00", "a|b"), ("&00000002", "22/05/25 10:00", "2"),
+                                         ("&00000003", "23/05/25 11:00", "3")]))
+    store.update_readings(F.col("StationID") != "&00000002", "DateTime", F.lit("24/05/25 09:00"))
+    rows = {r.StationID: (r.DateTime, r.ts, r.obs_date) for r in store.read("readings").collect()}
+    moved = ("24/05/25 09:00", dt.datetime(2025, 5, 24, 9), dt.date(2025, 5, 24))
+    assert rows == {"&00000001": moved, "&00000003": moved,
+                    "&00000002": ("22/05/25 10:00", dt.datetime(2025, 5, 22, 10), dt.date(2025, 5, 22))}
+
+
+def test_files_follow_days_not_tasks(spark, tmp_path):
+    import os
+
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in small}
+    n = 31 * 64
+    rows = spark.range(0, n + 20_000, 1, 64).select(
+        F.concat(F.lit("&"), F.lpad(F.hex("id"), 8, "0")).alias("StationID"),
+        F.concat(F.lpad(F.when(F.col("id") < n, F.col("id") % 31 + 1).otherwise(7).cast("string"), 2, "0"),
+                 F.lit("/01/24 10:00")).alias("DateTime"), *[F.col("id").cast("string").alias(c) for c in CANONICAL[2:]])
+    batch = typed_readings(rows.withColumn("uuid", F.md5("StationID")))
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        TableStore(spark, str(tmp_path)).append_readings(batch)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = {d: len([f for f in os.listdir(tmp_path / "readings" / d) if f.endswith(".parquet")])
+             for d in os.listdir(tmp_path / "readings") if d.startswith("obs_date")}
+    assert len(files) == 31 and sum(files.values()) < 31 * 8
+    assert files["obs_date=2024-01-07"] > 1
+
+
+def test_stored_station_ids_get_their_prefix(spark, tmp_path):
+    from telemetra.sources import fixtures as fx
+    from conftest import SF_SMALL
+
+    store = TableStore(spark, str(tmp_path))
+    store.write_stations(fx.stations(spark, SF_SMALL))
+    before = {r.id for r in store.read("stations").collect()}
+    store.prefix_station_ids()
+    assert {r.id for r in store.read("stations").collect()} == {"&" + i for i in before}
+
