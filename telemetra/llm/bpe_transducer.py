@@ -114,7 +114,7 @@ def frequent_words(docs: DataFrame, tokenizer, most: int = LEXICON) -> list[byte
         total, least = total + count, low
     if least is None:
         return []
-    return [bytes(r["word"]) for r in counted.filter(F.col("n") >= least).select("word").collect()]
+    return counted.filter(F.col("n") >= least).select("word").toArrow()["word"].to_pylist()
 
 
 def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:

@@ -26,9 +26,9 @@ from telemetra.llm.staging import stage
 from telemetra.llm.textcols import row_slices
 
 LIMIT = 512
-HEAD = 1 << 19
+HEAD = 1 << 18
 HEAD_BYTES = 48
-FLUSH = 400_000     # distinct chunks a task holds before it hands its counts on
+FLUSH = 250_000     # distinct chunks a task holds before it hands its counts on
 SPECIAL = b"<|endoftext|>"
 
 # Fixed value: the pre-tokenizer's pattern, with white space as the Unicode property.
@@ -99,8 +99,9 @@ def piece_table(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     return stage(counted.mapInArrow(_pieces(tokenizer), "pre binary, n long, pieces long"), "token-pieces")
 
 
-def head_table(pieces: DataFrame, most: int = HEAD) -> tuple[dict[bytes, int], int]:
-    """The pieces of the most frequent short pre-tokens, at most ``most``, and the least frequency among them."""
+def head_table(pieces: DataFrame, most: int = HEAD) -> tuple[bytes, int]:
+    """The pieces of the most frequent short pre-tokens, at most ``most``, as an Arrow stream, and the least frequency
+    among them."""
     short = pieces.filter(F.octet_length("pre") <= HEAD_BYTES)
     # Frequencies are few: the tail of a histogram over powers of 2 ** (1 / 8) says where to cut.
     step = F.floor(8 * F.log2(F.col("n")))
@@ -111,14 +112,18 @@ def head_table(pieces: DataFrame, most: int = HEAD) -> tuple[dict[bytes, int], i
         if total + count > most:
             break
         total, least = total + count, low
-    if least is None:
-        return {}, 1 << 62
-    return {bytes(r["pre"]): r["pieces"] for r in short.filter(F.col("n") >= least).select("pre", "pieces").collect()}, least
+    least = 1 << 62 if least is None else least
+    head = short.filter(F.col("n") >= least).select("pre", "pieces").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, head.schema) as writer:
+        writer.write_table(head)
+    return sink.getvalue().to_pybytes(), least
 
 
 def _resolve(head):
     def run(batches):
-        known = head.value
+        table = pa.ipc.open_stream(head.value).read_all()
+        known = dict(zip(table["pre"].to_pylist(), table["pieces"].to_pylist()))
         memo: dict[bytes, int | tuple] = {}
 
         def look(chunk):
