@@ -73,25 +73,39 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(words, lambda w: _let(windows(w), of_windows)))
 
 
+def _words(body: Column) -> Column:
+    return F.array_remove(F.split(body, BLANKS), "")
+
+
+def _lines(body: Column) -> Column:
+    return F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
+
+
+def _counts(body: Column, words: Column, lines: Column) -> dict[str, Column]:
+    counts = {
+        "n_words": F.size(words), "word_chars": F.char_length(F.array_join(words, "")),
+        "n_symbols": F.regexp_count(body, F.lit(r"[#*$%&|<>]")),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)), "n_lines": F.size(lines),
+        "n_repeat_words": _repeat_words(words), "n_bangs": F.regexp_count(body, F.lit("!!")),
+        "n_stop_words": F.size(F.array_intersect(words, F.array(*map(F.lit, STOP_FORMS))))}
+    return {name: count.cast("long") for name, count in counts.items()}
+
+
 def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add a column ``_quality_<metric>`` for every metric; other columns stay untouched."""
     body = F.coalesce(F.col(text), F.lit(""))
-    words = F.array_remove(F.split(body, BLANKS), "")
-    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
-    n, w, kept = F.size("_quality_words"), F.col("_quality_words"), F.col("_quality_lines")
-    counts = {
-        "n_words": n, "word_chars": F.char_length(F.array_join(w, "")),
-        "n_symbols": F.regexp_count(body, F.lit(r"[#*$%&|<>]")),
-        "n_dup_lines": F.size(kept) - F.size(F.array_distinct(kept)), "n_lines": F.size(kept),
-        "n_repeat_words": _repeat_words(w), "n_bangs": F.regexp_count(body, F.lit("!!")),
-        "n_stop_words": F.size(F.array_intersect(w, F.array(*map(F.lit, STOP_FORMS))))}
+    counts = _counts(body, F.col("_quality_words"), F.col("_quality_lines"))
     # Separate columns, not fields of one struct: the optimizer would inline a field at each of its uses.
-    return (docs.withColumns({"_quality_words": words, "_quality_lines": lines})
-            .withColumns({f"_quality_{k}": v.cast("long") for k, v in counts.items()})
+    return (docs.withColumns({"_quality_words": _words(body), "_quality_lines": _lines(body)})
+            .withColumns({f"_quality_{k}": v for k, v in counts.items()})
             .drop("_quality_words", "_quality_lines"))
 
 
-def compile_rules(q: dict[str, Column], rules=RULES) -> Column:
+def _base_failed(q) -> Column:
+    return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
+
+
+def compile_rules(q, rules=RULES) -> Column:
     """True where no rule of the table rejects the text. A ratio over nothing is 0."""
     def per(a: str, b: str) -> Column:
         return F.when(q[b] > 0, q[a] / q[b]).otherwise(F.lit(0.0))
@@ -115,14 +129,25 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame
     gives an empty one; further columns pass through, and only the names ``_quality*`` are reserved.
     """
     q = {name: F.col(f"_quality_{name}") for name in METRICS}
-    failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    judged = quality_metrics(docs, text).withColumn("_quality_base_failed", failed)
+    judged = quality_metrics(docs, text).withColumn("_quality_base_failed", _base_failed(q))
     return judged.withColumn("_quality_kept", ~F.col("_quality_base_failed") & compile_rules(q, rules))
 
 
 def quality_filter(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the same columns."""
-    return quality_rules(docs, text, rules).filter("_quality_kept").select(*[docs[c] for c in docs.columns])
+    """The rows of ``docs`` that the rules keep, with the same columns.
+
+    The verdict is one expression whose metrics are bound once: a filter over named columns would be pushed below
+    them and compute each metric at every use.
+    """
+    def verdict(words: Column) -> Column:
+        def judge(lines: Column) -> Column:
+            metrics = F.struct(*[v.alias(k) for k, v in _counts(body, words, lines).items()])
+            return _let(metrics, lambda q: ~_base_failed(q) & compile_rules(q, rules))
+
+        return _let(_lines(body), judge)
+
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.filter(_let(_words(body), verdict))
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:
