@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from telemetra.operators.store import TableStore
 from telemetra.plans.ingest import ingest_folder, ingest_stream
 
@@ -46,3 +48,20 @@ def test_stream_skips_files_ledgered_by_batch_runs(spark, tmp_path):
     store = TableStore(spark, tables)
     assert store.read("readings").count() == 2
     assert store.read("audit").count() == 2
+
+
+@pytest.mark.parametrize("sink", ["append_readings", "append_run_table", "append_ledger"])
+def test_stream_restarts_cleanly_after_a_crash(spark, tmp_path, monkeypatch, sink):
+    src, tables, ckpt = str(tmp_path / "src"), str(tmp_path / "t"), str(tmp_path / "ckpt")
+    os.makedirs(src)
+    _write(src, "a b.csv", "&5604C1D8,22/05/25 12:00,1\nbad,row,x\n")
+    with monkeypatch.context() as m:
+        def crash(self, *args, **kwargs):
+            raise RuntimeError("executor gone")
+
+        m.setattr(TableStore, sink, crash)
+        with pytest.raises(Exception):
+            ingest_stream(spark, src, tables, ckpt).awaitTermination(120)
+    ingest_stream(spark, src, tables, ckpt).awaitTermination(120)
+    store = TableStore(spark, tables)
+    assert [store.read(t).count() for t in ("readings", "quarantine", "failures", "audit", "ledger")] == [1, 1, 1, 1, 1]
