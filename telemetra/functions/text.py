@@ -80,8 +80,8 @@ def python_list_repr(tokens: Column) -> Column:
     control characters and, inside single quotes, single quotes are escaped.
     """
     def shown(x: Column) -> Column:
-        for char, escape in _ESCAPES.items():
-            x = F.replace(x, F.lit(char), F.lit(escape))
+        escapes = F.create_map(*[F.lit(v) for pair in _ESCAPES.items() for v in pair])
+        x = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(escapes, c), c)), "")
         double = x.contains("'") & ~x.contains('"')
         return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(
             F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))

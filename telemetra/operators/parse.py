@@ -165,7 +165,7 @@ def failed_record_json(kind: Column) -> Column:
     return F.when(kind == "tokenize", tok).otherwise(record)
 
 
-def readings_from(rows: DataFrame) -> DataFrame:
+def readings_from(rows: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Valid rows as stored readings: 15 text columns + uuid (the typed columns are added by the sink)."""
     return rows.filter((F.col("kind") == "valid") & F.col("file_error").isNull()).select(
-        *[F.col("v_" + c).alias(c) for c in CANONICAL], "uuid")
+        *[F.col("v_" + c).alias(c) for c in CANONICAL], "uuid", *keep)

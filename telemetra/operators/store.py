@@ -81,11 +81,16 @@ def measurement(text: Column) -> Column:
     return F.when(x.rlike(_NUMBER), x.try_cast("double"))
 
 
+def typed_columns(prefix: str = "") -> dict[str, Column]:
+    """The clock and the measurements of a row's text columns, named ``prefix`` + column, as typed columns."""
+    values = {c + VALUE_SUFFIX: measurement(F.col(prefix + c)) for c in MEASUREMENTS}
+    return {"ts": parse_datetime(F.col(prefix + "DateTime")), **values}
+
+
 def typed_readings(df: DataFrame) -> DataFrame:
     """Stored form of readings: text columns + uuid + parsed ts, measurements as numbers, and obs_date."""
-    ts = parse_datetime(F.col("DateTime"))
-    values = [measurement(F.col(c)).alias(c + VALUE_SUFFIX) for c in MEASUREMENTS]
-    return df.select(*CANONICAL, "uuid", ts.alias("ts"), *values).withColumn("obs_date", obs_date(F.col("ts")))
+    typed = [column.alias(name) for name, column in typed_columns().items()]
+    return df.select(*CANONICAL, "uuid", *typed).withColumn("obs_date", obs_date(F.col("ts")))
 
 
 def by_day(df: DataFrame) -> DataFrame:
@@ -157,21 +162,22 @@ class TableStore:
         Same uuid means same raw cells, hence the same DateTime and obs_date,
         so only the batch's date partitions need checking. That holds unless
         a cell contains the joiner ``|`` (two rows could then share a key text
-        across dates): such rows are checked against the whole uuid column.
+        across dates): a batch with such a row is checked against the whole
+        uuid column.
         ``moved`` rows come from other days of the table and are checked
         against their new days only. ``batch`` should be a staged (materialised) DataFrame: it is read
         twice, once for its dates and once for the insert.
         """
         existing = self.stored(READINGS)
-        dates = [r[0] for r in batch.select("obs_date").distinct().collect()]  # bounded: days in the batch
-        day_vals = [d for d in dates if d is not None]
-        in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
-        if None in dates:
-            in_days = in_days | F.col("obs_date").isNull()
-        has_pipe = F.lit(False) if moved else _has_pipe(batch.columns)
-        plain = rows_to_insert(batch.filter(~has_pipe), existing.filter(in_days))
-        piped = rows_to_insert(batch.filter(has_pipe), existing)
-        self._write_days(plain.unionByName(piped), "append", self.path(READINGS))
+        piped = F.lit(False) if moved else _has_pipe(batch.columns)
+        days = batch.groupBy("obs_date").agg(F.max(piped).alias("piped")).collect()  # bounded: days in the batch
+        if not any(d["piped"] for d in days):
+            day_vals = [d["obs_date"] for d in days if d["obs_date"] is not None]
+            in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
+            if any(d["obs_date"] is None for d in days):
+                in_days = in_days | F.col("obs_date").isNull()
+            existing = existing.filter(in_days)
+        self._write_days(rows_to_insert(batch, existing), "append", self.path(READINGS))
 
     @staticmethod
     def _write_days(rows: DataFrame, mode: str, path: str) -> None:

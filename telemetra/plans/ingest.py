@@ -14,9 +14,10 @@ import uuid as _uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetra.functions.datetime import obs_date
 from telemetra.operators import audit as audit_ops
 from telemetra.operators.parse import clean_lines, failed_record_json, file_headers, parse_lines, readings_from
-from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_readings, unprocessed_files
+from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_columns, unprocessed_files
 from telemetra.session import remove_path, scratch_path
 from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, hidden_logger_files, list_logger_files,
                                      scan_logger_files)
@@ -67,12 +68,12 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
         headers = headers.join(candidates.select("file_path"), "file_path", "left_semi")
     headers = stages.write(headers, "headers")
     rows, _ = parse_lines(lines, mode, headers)
-    # Failures keep their record, valid rows their cells; neither needs the split line any more.
-    rows = stages.write(rows.withColumn("record", F.when(F.col("kind") != "valid", failed_record_json(F.col("kind"))))
-                        .drop("tokens", "keys", "width", "k_StationID"), "parsed-rows")
+    # Failures keep their record, valid rows their cells and typed values; neither needs the split line any more.
+    rows = rows.withColumn("record", F.when(F.col("kind") != "valid", failed_record_json(F.col("kind"))))
+    rows = stages.write(rows.drop("tokens", "keys", "width", "k_StationID").withColumns(typed_columns("v_")), "parsed-rows")
 
     # readings (K1)
-    store.append_readings(typed_readings(readings_from(rows)))
+    store.append_readings(readings_from(rows, keep=list(typed_columns())).withColumn("obs_date", obs_date(F.col("ts"))))
 
     # quarantine + failure lists
     run = F.lit(run_id).alias("run_id")
