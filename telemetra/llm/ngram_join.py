@@ -1,8 +1,9 @@
 """N-gram Jaccard self-join: MinHash banding proposes, full n-gram sets decide.
 
-1. Every text becomes its word 5-grams; texts with the same word sequence are one class with a number of copies.
+1. Every text becomes its word 5-grams; texts with the same word sequence are one class with a number of copies. A
+   class goes by a number of its own, since ids need not be unique.
 2. ``bands`` x ``rows`` MinHash values per class, counted from the wanted recall at the threshold; band hashes are
-   shuffled and only the smallest id of a bucket is handed back, so a bucket of any size costs its own length.
+   shuffled and only the smallest class of a bucket is handed back, so a bucket of any size costs its own length.
 3. Classes tied by buckets form a candidate group. Its n-gram sets meet in tiles of bounded size; inside a tile the
    pairs that share a band are verified on the full sets, counted, and reduced to a spanning forest. Pairs are never
    written out, so thousands of near copies cost rows in proportion to the texts, not to the pairs.
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from telemetra.llm.graph import connected_components
 from telemetra.llm.staging import stage
@@ -48,26 +50,43 @@ def band_hashes(grams: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -
     return out
 
 
+KEY = ["k1", "k2", "n_words"]  # of a word sequence; null without words
+
+
+def _keys(h: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """The columns ``KEY`` of the rows whose words are ``word_hashes`` (h, first)."""
+    sizes = np.diff(first)
+    some = np.flatnonzero(sizes)
+    keys = np.zeros((3, len(sizes)), np.int64)
+    if len(some):
+        place = np.arange(len(h), dtype=np.uint64) - np.repeat(first[:-1], sizes).astype(np.uint64)
+        parts = (mix(h + place * np.uint64(0x9E3779B97F4A7C15)),
+                 mix((h ^ np.uint64(0x5DEECE66D)) * (place * np.uint64(2) + np.uint64(3))))
+        for key, part in zip(keys, parts):
+            key[some] = np.add.reduceat(part, first[some]).view(np.int64)
+        keys[2] = sizes
+    return [pa.array(key, mask=sizes == 0) for key in keys]
+
+
+def _keyed(batches):
+    for batch in row_slices(batches):
+        yield pa.RecordBatch.from_arrays([*batch.columns, *_keys(*word_hashes(batch.column("text")))],
+                                         names=[*batch.schema.names, *KEY])
+
+
 def _signatures(n: int, bands: int, rows: int):
     def run(batches):
         for batch in row_slices(batches):
             h, first = word_hashes(batch.column("text"))
             grams, offsets = shingles(h, first, n)
-            some = np.flatnonzero(np.diff(offsets))
-            if not len(some):
-                continue
-            cut = np.append(offsets[some], offsets[-1])
-            place = np.arange(len(h), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
-            at = first[some]
-            k1 = np.add.reduceat(mix(h + place * np.uint64(0x9E3779B97F4A7C15)), at)
-            k2 = np.add.reduceat(mix((h ^ np.uint64(0x5DEECE66D)) * (place * np.uint64(2) + np.uint64(3))), at)
-            sig = band_hashes(grams, cut, bands, rows).view(np.int64)
-            sizes = np.diff(first)[some]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id").take(pa.array(some)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
-                pa.array(sizes), pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, sig.size + 1, bands, dtype=np.int32)), pa.array(sig.ravel()))],
-                names=["id", "k1", "k2", "n_words", "sig"])
+            has = np.diff(offsets) > 0
+            sig = np.empty(0, np.int64)
+            if has.any():
+                sig = band_hashes(grams, np.append(offsets[:-1][has], offsets[-1]), bands, rows).view(np.int64).ravel()
+            ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *_keys(h, first), pa.ListArray.from_arrays(pa.array(ends), pa.array(sig))],
+                names=["id", *KEY, "sig"])
     return run
 
 
@@ -77,8 +96,8 @@ def _gram_sets(n: int):
             grams, offsets = shingles(*word_hashes(batch.column("text")), n)
             sets = [np.unique(grams[offsets[i]:offsets[i + 1]]).tobytes() for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("rep", "copies", "sig", "component", "parts")] + [pa.array(sets, pa.binary())],
-                names=["rep", "copies", "sig", "component", "parts", "grams"])
+                [batch.column(c) for c in ("class", "copies", "sig", "component", "parts")] + [pa.array(sets, pa.binary())],
+                names=["class", "copies", "sig", "component", "parts", "grams"])
     return run
 
 
@@ -118,8 +137,8 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _verify(threshold: float):
     def run(key, table):
-        table = table.sort_by("rep")
-        rep = table.column("rep").to_numpy()
+        table = table.sort_by("class")
+        rep = table.column("class").to_numpy()
         copies = table.column("copies").to_numpy()
         side = table.column("side").to_numpy()
         sig = np.array(table.column("sig").to_pylist())
@@ -146,63 +165,105 @@ def _verify(threshold: float):
     return run
 
 
-def ngram_join(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS,
-               threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs`` with an id: (id, class_id, n_links, kept).
+def _numbered(classes: DataFrame) -> DataFrame:
+    """``classes`` with a column ``class``, counted from 0 without gaps. Its column ``n`` holds staged values of
+    ``monotonically_increasing_id``: task number and place in the task. So the driver sees one count a task."""
+    task, before, starts = F.shiftright("n", 33).cast("int"), 0, []
+    for r in sorted(classes.groupBy(task.alias("task")).agg(F.count("*").alias("rows")).collect()):
+        starts.append((r["task"], before))
+        before += r["rows"]
+    starts = classes.sparkSession.createDataFrame(starts, "task int, start long")
+    place = F.col("n").bitwiseAND(F.lit((1 << 33) - 1))
+    return classes.withColumn("task", task).join(F.broadcast(starts), "task").withColumn(
+        "class", F.col("start") + place).drop("task", "start", "n")
 
-    Two texts are linked if the Jaccard similarity of their sets of word n-grams reaches the threshold. ``n_links``
-    counts the other rows linked directly, ``class_id`` is the smallest id reachable, ``kept`` marks it. A text of
-    fewer than ``n`` words is one gram of all its words; texts without words (null, empty, punctuation) link with
-    nothing. Repeated rows are copies of each other. Rows with a null id are not compared and come back with a null
-    class, no links and kept. An empty table gives an empty one; further columns are ignored.
-    """
+
+def linked_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS,
+                threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row per row of ``docs``: (id, k1, k2, n_words, component, class_id, n_links), the last six null for rows
+    that are not compared. ``component`` tells apart groups whose smallest ids are equal."""
     bands, rows = banding(threshold, recall)
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = stage(source.filter("id is not null").mapInArrow(
+    # A row without an id is not compared: it is left without words here.
+    signed = stage(source.select("id", F.when(F.col("id").isNotNull(), F.col("text")).alias("text")).mapInArrow(
         _signatures(n, bands, rows), "id long, k1 long, k2 long, n_words long, sig array<long>"), "ngram-signatures")
-    classes = stage(signed.groupBy("k1", "k2", "n_words").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "ngram-classes")
+    worded = signed.filter("n_words is not null")
+    classes = _numbered(stage(worded.groupBy(*KEY).agg(
+        F.min("id").alias("low_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")).withColumn(
+        "n", F.monotonically_increasing_id()), "ngram-classes"))
 
-    buckets = classes.select("rep", F.explode("sig").alias("bucket"))
-    low = buckets.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    edges = buckets.join(low, "bucket").filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    groups = stage(connected_components(edges).withColumnRenamed("id", "rep").join(classes, "rep")
-                   .select("rep", "component", "copies", "n_words", "sig"), "ngram-groups")
+    buckets = classes.select("class", F.explode("sig").alias("bucket"))
+    low = buckets.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    edges = buckets.join(low, "bucket").filter("class <> low").select(F.col("class").alias("a"), F.col("low").alias("b"))
+    groups = stage(connected_components(edges).withColumnRenamed("id", "class").join(classes, "class")
+                   .select("class", "component", *KEY, "low_id", "copies", "sig"), "ngram-groups")
 
     size = groups.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / TILE_DOCS), F.ceil(F.sum("n_words") / TILE_GRAMS)).cast("int").alias("parts"))
-    listed = groups.join(size, "component").drop("n_words")
-    # The smallest id of a class may stand on several rows; any of them has the class's words.
-    sets = source.join(listed, source["id"] == listed["rep"]).drop("id").mapInArrow(
-        _gram_sets(n), "rep long, copies long, sig array<long>, component long, parts int, grams binary")
-    sets = stage(sets, "ngram-sets").dropDuplicates(["rep"])
-    side = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    listed = groups.join(size, "component").withColumnRenamed("low_id", "id")
+    # Several texts may share the class's smallest id, so the words are compared too; any row that agrees will do.
+    sets = source.filter("id is not null").mapInArrow(
+        _keyed, "id long, text string, k1 long, k2 long, n_words long").filter("n_words is not null")
+    sets = sets.join(listed, ["id", *KEY]).drop("id", *KEY).mapInArrow(
+        _gram_sets(n), "class long, copies long, sig array<long>, component long, parts int, grams binary")
+    sets = stage(sets, "ngram-sets").dropDuplicates(["class"])
+    side = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
     tiles = sets.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiles = tiles.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                         "rep", "copies", "side", "sig", "grams")
+                         "class", "copies", "side", "sig", "grams")
     found = stage(tiles.groupBy("component", "i", "j").applyInArrow(
         _verify(threshold), "a long, b long, links long"), "ngram-links")
 
-    linked = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    ties = connected_components(found.select("a", "b")).withColumnRenamed("id", "rep")
-    final = (classes.select("k1", "k2", "n_words", "rep", "copies").join(linked, "rep", "left").join(ties, "rep", "left")
-             .select("k1", "k2", "n_words", F.coalesce("component", "rep").alias("class_id"),
-                     (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    known = signed.drop("sig").join(final, ["k1", "k2", "n_words"]).select("id", "class_id", "n_links")
-    # One row of an id stands for all of them here, so that repeated ids do not multiply in the join.
-    known = known.groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
-    return source.select("id").join(known, "id", "left").select(
+    linked = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    ties = connected_components(found.select("a", "b")).withColumnRenamed("id", "class")
+    final = classes.drop("sig").join(linked, "class", "left").join(ties, "class", "left").select(
+        *KEY, F.coalesce("component", "class").alias("component"), "low_id",
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    final = stage(final, "ngram-final")
+    names = final.groupBy("component").agg(F.min("low_id").alias("class_id"))
+    final = final.join(names, "component").select(*KEY, "component", "class_id", "n_links")
+    columns = ["id", *KEY, "component", "class_id", "n_links"]
+    rest = signed.filter("n_words is null").drop("sig")
+    for c in columns[4:]:
+        rest = rest.withColumn(c, F.lit(None).cast("long"))
+    return worded.drop("sig").join(final, KEY).select(*columns).unionByName(rest)
+
+
+def ngram_join(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS,
+               threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row per row of ``docs``: (id, class_id, n_links, kept).
+
+    Two texts are linked if the Jaccard similarity of their sets of word n-grams reaches the threshold. ``n_links``
+    counts the other rows linked directly, ``class_id`` is the smallest id reachable, ``kept`` marks it. A text of
+    fewer than ``n`` words is one gram of all its words; texts without words (null, empty, punctuation) link with
+    nothing. Repeated rows are copies of each other; different texts under one id are compared as any others, so
+    groups that do not touch may have equal smallest ids. Rows with a null id are not compared and come back with a
+    null class, no links and kept. An empty table gives an empty one; further columns are ignored.
+    """
+    return linked_rows(docs, id, text, n, threshold, recall).select(
         F.col("id").alias(id), F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("class_id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their class, with the same columns; of repeated ids one row stays."""
-    joined = stage(ngram_join(docs, id, text), "ngram-classes-of-rows")
-    left = docs.join(joined.filter("not kept").select(id).distinct(), id, "left_anti").select(*docs.columns)
-    repeated = joined.filter(F.col(id).isNotNull()).groupBy(id).count().filter("count > 1").select(id)
-    if repeated.isEmpty():  # ids are a key: no need to shuffle the texts once more
-        return left
-    once = left.join(repeated, id, "left_semi").select(*docs.columns).dropDuplicates([id])
-    return left.join(repeated, id, "left_anti").select(*docs.columns).unionByName(once)
+    """The rows of ``docs`` that stand for their class, with the same columns: of every class one row with its smallest
+    id stays, whatever other rows share that id. Rows that are not compared (null id, no words) stay."""
+    rows = stage(linked_rows(docs, id, text), "ngram-classes-of-rows")
+    repeated = stage(rows.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "ngram-repeated")
+    going = rows.filter("class_id <> id").select("id").distinct()
+    own = docs[id].cast("long")
+    if repeated.isEmpty():  # ids are a key: no need to look at the texts once more
+        return docs.join(going, own == going["id"], "left_anti").select(*docs.columns)
+    elsewhere = going.union(repeated).distinct()
+    single = docs.join(elsewhere, own == elsewhere["id"], "left_anti")
+    # An id on several rows does not tell them apart, but id and words do, up to copies.
+    stays = rows.filter("class_id = id").join(repeated, "id", "left_semi").groupBy("component").agg(
+        F.min(F.struct("id", *KEY)).alias("key")).select("key.*")
+    packed = docs.select(F.struct(*docs.columns).alias("row"), own.alias("id"), F.col(text).alias("text"))
+    packed = packed.join(repeated, "id", "left_semi").select("row", "id", "text")
+    shape = StructType([*packed.schema.fields, *(StructField(c, LongType()) for c in KEY)])
+    packed = stage(packed.mapInArrow(_keyed, shape), "ngram-repeated-rows")
+    once = packed.join(stays, ["id", *KEY], "left_semi").dropDuplicates(["id", *KEY])
+    wordless = packed.filter("n_words is null")
+    return single.select(*docs.columns).unionByName(once.unionByName(wordless).select("row.*"))

@@ -69,6 +69,33 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert nj.ngram_join(docs.limit(0)).count() == 0
 
 
+def test_different_texts_share_an_id(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    near = [(2, a + " tail"), (3, b + " tail")]
+    alone = [(5, " ".join(f"c{k}" for k in range(60))), (5, " ".join(f"d{k}" for k in range(60))), (6, ""), (6, "")]
+    rows = [(1, a), (1, b), (1, a.upper()), *near, *alone]
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, k1 string, component long").repartition(3)
+    got = sorted((r.doc_id, r.class_id, r.n_links, r.kept) for r in nj.ngram_join(docs).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 2, True), (1, 1, 2, True), (2, 1, 2, False), (3, 1, 1, False),
+                   (5, 5, 0, True), (5, 5, 0, True), (6, 6, 0, True), (6, 6, 0, True)]
+    kept = nj.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, (r.text or "").lower()) for r in kept.collect()) == sorted([(1, a), (1, b), *alone])
+
+
+def test_a_hot_id_equals_brute_force(spark):
+    rows = [(7 if i % 3 else i, t) for i, t in corpus()]
+    want = brute([(k, t) for k, (_, t) in enumerate(rows)])
+    low = {}
+    for k, (group, _) in want.items():
+        low[group] = min(low.get(group, rows[k][0]), rows[k][0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in nj.ngram_join(docs).collect())
+    assert got == sorted((rows[k][0], low[group], links) for k, (group, links) in want.items())
+    assert nj.drop_near_copies(docs).count() == len(low)
+
+
 def test_banding_meets_recall():
     bands, rows = nj.banding(0.8, 0.9995)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.9995
