@@ -28,6 +28,7 @@ STEMS = (4, 5)       # bytes of a word prefix
 MIN_Z = 3.5          # least significance of a feature
 VOTERS = 48          # mined voters
 GOLD = 0.99          # accuracy granted to the human label
+TOXIC = 0.5          # least score predicted toxic
 
 # Stated word lists, one voter each.
 LEXICON = {
@@ -190,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     return {"hashes": hashes, "weights": weights, "dense": extra, "bias": bias}
 
 
-def _score(model: dict):
+def _scored(model: dict):
+    """Function of record batches: pairs of a slice and its rows' scores."""
     hashes, weights = model["hashes"], model["weights"]
     maybe = np.zeros(1 << 20, bool)
     maybe[hashes >> np.uint64(44)] = True
@@ -209,8 +211,25 @@ def _score(model: dict):
             pair = np.unique(np.concatenate(met))
             if len(pair):
                 total += np.bincount(pair // len(hashes), weights[pair % len(hashes)], batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], names=["id", "score"])
+            yield batch, 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+    return run
+
+
+def _score(model: dict):
+    scored = _scored(model)
+
+    def run(batches):
+        for batch, score in scored(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], names=["id", "score"])
+    return run
+
+
+def _keep_clean(model: dict):
+    scored = _scored(model)
+
+    def run(batches):
+        for batch, score in scored(batches):
+            yield batch.filter(pa.array(score < TOXIC))
     return run
 
 
@@ -225,10 +244,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_score(model), "id long, score double")
     return scored.select(
         F.col("id").alias("doc_id"), F.coalesce(held_out(F.col("id")), F.lit(True)).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` not predicted toxic, with the same columns. Rows of a null id stay."""
-    going = toxicity(docs, labels).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` not predicted toxic, with the same columns. Every row goes or stays by its own score,
+    whatever its id."""
+    return docs.mapInArrow(_keep_clean(fit(docs, labels)), docs.schema)

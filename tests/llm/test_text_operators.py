@@ -164,6 +164,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert hits >= 0.95 * sum(r.predicted for r in rows) and hits >= 0.8 * sum(r.toxic for r in rows)
 
 
+def test_every_row_goes_by_its_own_score(spark):
+    words = ["fine day", "you idiot"]
+    rows = [(i, f"{words[i % 2]} number{i}", i) for i in range(200)]
+    rows += [(None, "you idiot again", 200), (None, "fine day again", 202), (1, "fine day here", 204), (0, "you idiot here", 205)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id long")
+    kept = toxicity.drop_toxic(docs, spark.createDataFrame([(i, i % 2) for i in range(2, 200)], "doc_id long, toxic int"))
+    assert kept.columns == docs.columns
+    assert sorted(r.id for r in kept.collect()) == [*range(0, 200, 2), 202, 204]
+
+
 def test_toxicity_never_reads_held_out_labels(spark):
     words = ["fine day", "you idiot"]
     docs = spark.createDataFrame([(i, f"{words[i % 2]} number{i}", None) for i in range(200)] + [(None, "x", 1), (7, None, 1)],
