@@ -2,8 +2,10 @@
 
 1. Equal texts form a group. Capacity is a shard's equal part of all bytes, tokens and rows.
 2. A group of at least ``1 / FINE`` of a capacity is an item of its own; there are at most 3 * shards * FINE of them.
-   A group beyond a whole capacity fits no shard and is split by a hash of the id into parts of about an eighth. All smaller groups are hashed, whole, into ``BUNDLES`` items. So the driver gets a table of
-   bounded size whatever the input holds, and every row is in exactly one item.
+   A group beyond a whole capacity fits no shard and is split by a hash of the id into parts of about an eighth; its
+   rows of one null or repeated id, if they come to ``1 / FINE`` of a capacity themselves, by their row numbers. All
+   smaller groups are hashed, whole, into ``BUNDLES`` items. So the driver gets a table of bounded size whatever the
+   input holds, and every row is in exactly one item.
 3. Items are placed largest first, each where the dot product of its vector with the residual capacity is highest.
    Moves of single items from the fullest to the emptiest shard then level the bytes.
 4. Slots are ranks inside a shard, counted in hash buckets, so no task sorts a whole shard.
@@ -79,7 +81,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id: str = "doc_id", text: str =
     rows = stage(docs.select(
         F.col(id).cast("long").alias("id"), (F.octet_length(body) + OVERHEAD).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"), F.regexp_count(body, F.lit(r"\S+")).cast("long").alias("n_tokens"),
-        F.md5(body.cast("binary")).alias("text_key")), "shard-rows")
+        F.md5(body.cast("binary")).alias("text_key"), F.monotonically_increasing_id().alias("row")), "shard-rows")
     total = rows.agg(F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count("*").alias("r")).first()
     capacity = [max(total[c] or 0, 1) / shards for c in "btr"]
 
@@ -88,10 +90,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, id: str = "doc_id", text: str =
     large = groups.withColumn("part", part).filter(F.col("part") >= 1 / FINE).select(
         "text_key", F.when(F.col("part") > 1, F.ceil(8 * F.col("part"))).otherwise(1).cast("int").alias("parts"))
     large = stage(large, "shard-large-groups")  # at most 3 * shards * FINE rows
-    piece = F.pmod(F.xxhash64("id", "size"), F.col("parts"))
+    split = rows.join(F.broadcast(large.filter("parts > 1")), "text_key").groupBy("text_key", "id").agg(
+        F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count("*").alias("r"))
+    heavy = split.filter("r > 1").filter(part >= 1 / FINE).select("text_key", F.col("id").alias("heavy_id"), F.lit(True).alias("heavy"))
+    heavy = stage(heavy, "shard-heavy-ids")  # at most 3 * shards * FINE rows
+    piece = F.pmod(F.when(F.col("heavy"), F.xxhash64("row")).otherwise(F.xxhash64("id", "size")), F.col("parts"))
     item = F.when(F.col("parts").isNotNull(), F.concat_ws(":", "text_key", piece)).otherwise(
         F.concat_ws(":", F.lit("bundle"), F.pmod(F.xxhash64("text_key"), F.lit(BUNDLES))))
-    named = rows.join(F.broadcast(large), "text_key", "left").withColumn("item", item)
+    same = (rows["text_key"] == heavy["text_key"]) & rows["id"].eqNullSafe(heavy["heavy_id"])
+    named = rows.join(F.broadcast(heavy), same, "left").drop(heavy["text_key"]).join(
+        F.broadcast(large), "text_key", "left").withColumn("item", item).drop("row", "heavy", "heavy_id")
 
     items = named.groupBy("item").agg(F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count("*").alias("r"))
     items = sorted(items.collect(), key=lambda x: x["item"])

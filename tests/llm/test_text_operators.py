@@ -153,6 +153,19 @@ def test_shards_are_balanced_whole_and_gapless(spark, monkeypatch):
     assert sharding.shard_digest(table(spark, []).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_copies_under_one_id_are_dealt_over_shards(spark, hot):
+    rows = [(hot, "copy text")] * 3000 + [(k, f"text number {k}") for k in range(100, 2100)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    load, slots = np.zeros(24), {}
+    for r in got:
+        load[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert load.max() - load.min() <= 0.02 * load.mean()
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # toxicity
 
 def test_toxicity_on_held_out_rows(spark):
