@@ -6,8 +6,9 @@ never the documents, and plans patterns (a multiset of lengths that share a sequ
 * Best-fit decreasing over the histogram is the first incumbent.
 * Bin completion takes the largest length left, searches the undominated fillings of the rest of the sequence
   depth first, larger lengths first, pruning by the waste of the best filling so far (the best-fit filling at the
-  start), and uses the filling as often as the counts allow. Descents that deviate once from the first choice follow
-  until the bound ceil(tokens / capacity) is met or ``DESCENTS`` are done; the best solution stays.
+  start), and uses the filling as often as the counts allow. Branches follow, fewest deviations first: where a descent
+  first wastes, and up to ``BACK`` steps before, each of up to ``WIDTH`` fillings is taken. They end when the bound
+  ceil(tokens / capacity) is met or ``BRANCH_NODES`` search nodes or ``BRANCHES`` descents are spent; the best solution stays.
 
 The documents then find their place by their rank among the pieces of the same length. Ranks are counted in hash
 buckets, so a length that a third of all pieces share is ranked by many tasks.
@@ -16,6 +17,7 @@ buckets, so a length that a third of all pieces share is ranked by many tasks.
 from __future__ import annotations
 
 import bisect
+import heapq
 import math
 import zlib
 from array import array
@@ -31,8 +33,11 @@ from telemetra.llm.textcols import row_slices
 
 CAPACITY = 4096
 END_ID = 1
-DESCENTS = 6        # deviating descents after the first
 NODES = 3000        # search nodes for one filling
+BRANCH_NODES = 4_000_000  # search nodes for all descents after the first
+BRANCHES = 2000     # most descents after the first, which bounds the driver's memory
+WIDTH = 4           # most fillings tried at one step
+BACK = 4            # steps before the first waste that are branched at
 BUCKET_ROWS = 100_000
 MEMO = 1 << 18      # chunks, and words, of one generation of a task's memory
 
@@ -137,10 +142,11 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[Pat
     return [g for groups in open_.values() for g in groups]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], rest: int, nodes: int, want: int) -> list[tuple[int, Pattern]]:
+def fillings(counts: dict[int, int], lengths: list[int], rest: int, nodes: int, want: int,
+             spent: list[int] | None = None) -> list[tuple[int, Pattern]]:
     """Up to ``want`` undominated fillings of ``rest``, least waste first, by depth-first search with larger lengths
     first. ``lengths`` are ascending. Taking b after passing over a longer a is dominated unless the waste ends below
-    a - b, since a would fit in b's place."""
+    a - b, since a would fit in b's place. The nodes used are added to ``spent``."""
     best: list[tuple[int, Pattern]] = []
     budget = [nodes]
 
@@ -167,53 +173,82 @@ def fillings(counts: dict[int, int], lengths: list[int], rest: int, nodes: int,
                 del best[want:]
 
     search(rest, len(lengths), rest + 1, [])
+    if spent is not None:
+        spent[0] += nodes - budget[0]
     return best
 
 
-def bin_completion(counts: dict[int, int], capacity: int, deviate_at: int = -1, most: int | None = None,
-                   nodes: int = NODES) -> list[tuple[Pattern, int]] | None:
-    """One descent of bin completion; at step ``deviate_at`` the second filling is used. None if the waste shows
-    that no fewer than ``most`` sequences come out."""
-    left = dict(counts)
-    lengths = sorted(left)
+def _waste(pattern: Pattern, capacity: int) -> int:
+    return capacity - sum(length * k for length, k in pattern)
+
+
+def descend(counts: dict[int, int], capacity: int, prefix: list[tuple[Pattern, int]], choice: int, most: int | None,
+            nodes: int, spent: list[int], limit: float = math.inf) -> tuple[list[tuple[Pattern, int]], bool]:
+    """One descent of bin completion that starts with ``prefix`` and takes the ``choice``-th filling next: the plan, and
+    whether it is whole. It is cut short if the choice does not exist, if the waste shows that no fewer than ``most``
+    sequences come out, or if ``spent`` reaches ``limit``."""
+    left, plan = dict(counts), list(prefix)
     tokens = sum(k * v for k, v in left.items())
-    allowed = None if most is None else (most - 1) * capacity - tokens
-    plan: list[tuple[Pattern, int]] = []
-    step = 0
+    allowed = math.inf if most is None else (most - 1) * capacity - tokens
+    for pattern, times in prefix:
+        allowed -= _waste(pattern, capacity) * times
+        for length, k in pattern:
+            left[length] -= k * times
+    lengths = sorted(length for length, n in left.items() if n)
     while lengths:
+        if spent[0] >= limit:
+            return plan, False
         top = lengths[-1]
         left[top] -= 1
-        found = fillings(left, lengths, capacity - top, nodes, 2 if step == deviate_at else 1) or [(capacity - top, [])]
+        found = fillings(left, lengths, capacity - top, nodes, choice + 1, spent) or [(capacity - top, [])]
         left[top] += 1
-        waste, taken = found[min(len(found) - 1, int(step == deviate_at))]
+        if choice >= len(found):
+            return plan, False
+        waste, taken = found[choice]
+        choice = 0
         use: dict[int, int] = {top: 1}
         for length, k in taken:
             use[length] = use.get(length, 0) + k
         times = min(left[length] // k for length, k in use.items())
         plan.append((list(use.items()), times))
-        if allowed is not None:
-            allowed -= waste * times
-            if allowed < 0 and sum(left[x] * x for x in lengths) > times * (capacity - waste):
-                return None
+        allowed -= waste * times
+        if allowed < 0:
+            return plan, False
         for length, k in use.items():
             left[length] -= k * times
             if not left[length]:
                 del lengths[bisect.bisect_left(lengths, length)]
-        step += 1
-    return plan
+    return plan, True
+
+
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+    """The first descent of bin completion."""
+    return descend(counts, capacity, [], 0, None, nodes, [0])[0]
 
 
-def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, descents: int = DESCENTS) -> list[tuple[Pattern, int]]:
+def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = BRANCH_NODES) -> list[tuple[Pattern, int]]:
     """Patterns with multiplicities that use every counted length."""
     size = lambda plan: sum(n for _, n in plan)
     bound = math.ceil(sum(k * v for k, v in counts.items()) / capacity)
     best = best_fit_decreasing(counts, capacity)
-    for deviate in range(-1, descents):
-        if size(best) <= bound:
-            break
-        plan = bin_completion(counts, capacity, deviate, None if deviate < 0 else size(best))
-        if plan is not None and size(plan) < size(best):
+    branches: list[tuple[int, int, list[tuple[Pattern, int]], int, int]] = [(0, 0, [], 0, 0)]
+    spent, made, descents = [0], 0, 0
+    while branches and size(best) > bound and spent[0] < nodes and descents <= BRANCHES:
+        descents += 1
+        deviations, _, prefix, step, choice = heapq.heappop(branches)
+        prefix = prefix[:step]
+        limit = nodes if deviations else math.inf
+        plan, whole = descend(counts, capacity, prefix, choice, size(best) if deviations else None, NODES, spent, limit)
+        if not deviations:
+            spent[0] = 0
+        if whole and size(plan) < size(best):
             best = plan
+        start = len(prefix) + (deviations > 0)  # the other choices at this step wait in the queue already
+        first = next((k for k in range(start, len(plan)) if _waste(plan[k][0], capacity)), start - 1)
+        for step in range(first, max(start, first - BACK) - 1, -1):
+            for other in range(1, WIDTH):
+                made += 1
+                heapq.heappush(branches, (deviations + 1, made, plan, step, other))
     return best
 
 

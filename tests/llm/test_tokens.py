@@ -123,6 +123,18 @@ def test_bin_completion_uses_all_lengths(seed):
     assert sum(n for _, n in plan) <= sum(n for _, n in first)
 
 
+def test_branching_reaches_the_bound():
+    counts = {13: 1, 15: 3, 18: 2, 19: 1, 20: 1, 24: 1, 26: 1, 28: 1, 32: 3, 33: 2, 34: 2, 35: 1, 38: 1, 41: 1, 45: 1}
+    assert sum(n for _, n in packing.best_fit_decreasing(counts, 100)) == 7
+    plan = packing.plan_packing(counts, 100)
+    assert sum(n for _, n in plan) == 6 == sum(k * v for k, v in counts.items()) / 100
+    used: Counter = Counter()
+    for pattern, times in plan:
+        for a, k in pattern:
+            used[a] += k * times
+    assert used == counts
+
+
 def test_bin_completion_beats_best_fit():
     counts = {44: 2, 36: 2, 30: 2, 26: 2, 24: 2, 20: 2, 10: 2, 6: 2, 4: 2}  # two full bins of 100 exist twice over
     assert sum(n for _, n in packing.plan_packing(counts, 100)) == 4
