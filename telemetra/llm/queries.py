@@ -9,14 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.llm import (
+    alignment,
     bpe_transducer,
     embedding_forest,
     license_scan,
     ngram_join,
     packing,
+    pii,
     quality,
     secret_scan,
     sharding,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -66,6 +69,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(_documents(spark, sf_dir))
+
+
+def op12_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_alignment(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
@@ -77,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_pii": op11_pii,
+    "op12_cross_alignment": op12_cross_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
