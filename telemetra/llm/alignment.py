@@ -3,7 +3,7 @@
 Two tokenizers A and B cut the same bytes. Every place where both have a token end closes a group; an A and a B
 token whose byte ranges overlap are linked. Postings are kept per pair of ids:
 
-1. A task encodes its rows and writes, per pair and block of ``BLOCK`` consecutive rows, the rows that hold the pair as
+1. A task encodes its rows, each distinct piece between two blanks once, and writes, per pair and block of ``BLOCK`` consecutive rows, the rows that hold the pair as
    compressed bitmaps: plane 0 says that a row holds it, plane k >= 1 is bit k - 1 of (links - 1) in that row. A bitmap is
    a list of 16-bit places, or 8192 bytes where that is shorter.
 2. Bitmaps of one (pair, plane, block) are OR-merged and popcounted: plane 0 gives document counts, plane 0 plus the
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,15 @@ from telemetra.llm.textcols import row_slices
 BLOCK_BITS = 16
 BLOCK = 1 << BLOCK_BITS
 LINKS = 3_000_000       # links a task holds before it writes their bitmaps
-LONG_TEXT = 1 << 20     # longer texts are encoded in parts
+LONG_TEXT = 1 << 20     # longer texts are walked in parts of this many characters or a little more
+KNOWN = 6 << 20         # bytes of pieces whose alignment a task remembers
 B_BITS = 16             # a pair is a * 2 ** B_BITS + b
 
 _BITMAP = BLOCK // 8
-# A blank between these characters begins a token in both tokenizers (see ``Pair``), so a text may be cut before it.
-_CUT = re.compile(r"(?<=[A-Za-z0-9,.;]) (?=[A-Za-z0-9])")
+# A single blank between two of these characters begins a token in both tokenizers: no white space, whatever the
+# Unicode version, and no sign that sentencepiece maps to a blank.
+_PLAIN = "[!-~\u00a1-\u024f\u0370-\u167f\u1681-\u180d\u180f-\u1fff\u3001-\ud7ff]"
+_CUT = re.compile(f"(?<={_PLAIN}) (?={_PLAIN})")
 
 _FOUND = pa.schema([
     ("row", pa.int64()), ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -54,7 +58,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers of a task and the bytes of their tokens."""
+    """Both tokenizers of a task, the bytes of their tokens, and the alignments of the pieces last seen.
+
+    A text is cut before single blanks, where both have a token end: A's pre-tokens never hold a blank behind another
+    character, and neither does a piece of B (``cut`` checks its vocabulary). So each piece between two cuts is encoded
+    and aligned by itself, once for all its places.
+    """
 
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,11 +83,22 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
-        # Where a piece holds a blank behind another character, B may merge across the cuts.
         self.cut = not any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces)
+        self.len_a = np.array(list(map(len, self.a_bytes)), np.int64)
+        self.len_b = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.shown = shown_ids(max(len(pieces), len(self.a_bytes)))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.size = 0
+        self.groups: list[str] = []
+        # A row a piece: tokens of A and of B, groups, links, whether the tokens spell it, place of its links.
+        self.facts = np.empty((0, 6), np.int64)
+        self.pairs = np.empty(0, np.int64)
 
     def parts(self, text: str) -> list[str]:
-        """A text, or parts of a long one; each but the first stands behind a blank."""
+        """A text, or parts of a long one."""
         out, at = [], 0
         while self.cut and len(text) - at > LONG_TEXT:
             place = _CUT.search(text, at + LONG_TEXT)
@@ -88,24 +108,55 @@ class Pair:
             at = place.end()
         return [*out, text[at:]]
 
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of A and of B for every text and its bytes with the leading blank; none of all where the tokens of
-        one do not spell the text."""
-        parts = [self.parts(t) if t else [] for t in texts]
-        flat = [p for ps in parts for p in ps]
-        in_a = iter(self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False))
-        in_b = iter(self.b.encode(flat, num_threads=1) if flat else [])
-        ids_a, ids_b, sizes = [], [], np.zeros(len(texts), np.int64)
-        for k, (text, ps) in enumerate(zip(texts, parts)):
-            a = [i for _ in ps for i in next(in_a).ids]
-            b = [i for _ in ps for i in next(in_b)]
-            body = b" " + text.encode() if text else b""
-            if not (b"".join(map(self.a_bytes.__getitem__, a)) == body == b"".join(map(self.b_bytes.__getitem__, b))):
-                a, b, body = [], [], b""
-            ids_a.append(a)
-            ids_b.append(b)
-            sizes[k] = len(body)
-        return ids_a, ids_b, sizes
+    def _learn(self, pieces: list[str]) -> None:
+        ids_a = [x.ids for x in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        ids_b = self.b.encode(pieces, num_threads=1)
+        bodies = [b" " + p.encode() for p in pieces]
+        spelt = self._spell(ids_a, ids_b, bodies)
+        if not spelt.all():
+            ids_a, ids_b, bodies = ([x if good else x[:0] for x, good in zip(side, spelt)] for side in (ids_a, ids_b, bodies))
+        n_a, n_b, sizes = (np.array(list(map(len, side)), np.int64) for side in (ids_a, ids_b, bodies))
+        groups, n_groups, piece, pairs = align(ids_a, ids_b, n_a + n_b, sizes, self.len_a, self.len_b, self.shown)
+        links = np.bincount(piece, minlength=len(pieces))
+        self.known.update(zip(pieces, range(len(self.groups), len(self.groups) + len(pieces))))
+        self.size += int(sizes.sum())
+        self.groups += groups
+        self.facts = np.concatenate([self.facts, np.column_stack(
+            [n_a, n_b, n_groups, links, spelt, len(self.pairs) + np.cumsum(links) - links])])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+    def _spell(self, ids_a: list[list[int]], ids_b: list[list[int]], bodies: list[bytes]) -> np.ndarray:
+        """Whether the tokens of A and the tokens of B spell each piece."""
+        good = np.ones(len(bodies), bool)
+        for ids, table in ((ids_a, self.a_bytes), (ids_b, self.b_bytes)):
+            spelt = list(map(b"".join, (map(table.__getitem__, x) for x in ids)))
+            if spelt != bodies:
+                good &= [x == y for x, y in zip(spelt, bodies)]
+        return good
+
+    def measure(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Of each text (tokens of A, of B, groups, links, spelt) and its group list; then text and pair of every link.
+        A text that its tokens do not spell has none of them."""
+        if self.size > KNOWN:
+            self.forget()
+        cut = [(_CUT.split(t) if self.cut else [t]) if t else [] for t in texts]
+        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in self.known))
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64)
+        text = np.repeat(np.arange(len(texts)), list(map(len, cut)))
+        facts = np.zeros((len(texts), 5), np.int64)
+        np.add.at(facts, text, self.facts[at, :5])
+        facts[:, 4] = facts[:, 4] == list(map(len, cut))
+        facts[facts[:, 4] == 0, :4] = 0
+        good = facts[text, 4] == 1
+        at, text = at[good], text[good]
+        links, place = self.facts[at, 3], self.facts[at, 5]
+        pairs = self.pairs[np.repeat(place - np.cumsum(links) + links, links) + np.arange(links.sum())]
+        first = [0, *np.cumsum(np.bincount(text, minlength=len(texts))).tolist()]
+        listed = list(map(self.groups.__getitem__, at.tolist()))
+        groups = [";".join(listed[s:e]) for s, e in zip(first, first[1:])]
+        return facts, groups, np.repeat(text, links), pairs
 
 
 def shown_ids(n: int) -> np.ndarray:
@@ -113,12 +164,13 @@ def shown_ids(n: int) -> np.ndarray:
     return np.array([f"{i}{sign}" for sign in ",|;" for i in range(n)], dtype=object)
 
 
-def align(ids_a: list[list[int]], ids_b: list[list[int]], sizes: np.ndarray, len_a: np.ndarray, len_b: np.ndarray,
-          shown: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text its group list and number of groups; then text and pair of every link. Texts stand behind one
-    another in one run of bytes: their ends are ends in both tokenizers, so no group or link crosses them."""
-    a = np.array([i for x in ids_a for i in x], np.int64)
-    b = np.array([i for x in ids_b for i in x], np.int64)
+def align(ids_a: list[list[int]], ids_b: list[list[int]], counts: np.ndarray, sizes: np.ndarray, len_a: np.ndarray,
+          len_b: np.ndarray, shown: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text its group list and number of groups; then text and pair of every link. ``counts`` are the texts'
+    tokens of both kinds together, ``sizes`` their bytes, 0 for a text without tokens. Texts stand behind one another
+    in one run of bytes: their ends are ends in both tokenizers, so no group or link crosses them."""
+    a = np.fromiter(chain.from_iterable(ids_a), np.int64)
+    b = np.fromiter(chain.from_iterable(ids_b), np.int64)
     if not len(a):
         none = np.empty(0, np.int64)
         return [""] * len(sizes), np.zeros(len(sizes), np.int64), none, none
@@ -133,8 +185,8 @@ def align(ids_a: list[list[int]], ids_b: list[list[int]], sizes: np.ndarray, len
     last = np.append(side[1:] != side[:-1], True)
     sign = np.where(last, 1 + (side & 1), 0)
     listed = shown[sign * (len(shown) // 3) + np.concatenate([a, b])[order]].tolist()
-    first = np.concatenate([[0], np.cumsum([len(x) + len(y) for x, y in zip(ids_a, ids_b)])])
-    groups = ["".join(listed[s:e])[:-1] for s, e in zip(first[:-1], first[1:])]
+    first = [0, *np.cumsum(counts).tolist()]
+    groups = ["".join(listed[s:e])[:-1] for s, e in zip(first, first[1:])]
     n_groups = np.bincount(np.searchsorted(ends, cuts), minlength=len(sizes))
     return groups, n_groups, np.searchsorted(ends, every), pairs
 
@@ -154,9 +206,8 @@ def unpack_bits(bits: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
 
 
-def postings(keys: np.ndarray, block: int):
-    """Bitmap rows of one block from its links, each given as pair * BLOCK + place."""
-    keys, links = np.unique(keys, return_counts=True)
+def postings(keys: np.ndarray, links: np.ndarray, block: int):
+    """Bitmap rows of one block from distinct ascending keys pair * BLOCK + place and their numbers of links."""
     pairs, places, more = keys >> BLOCK_BITS, (keys & (BLOCK - 1)).astype("<u2"), links - 1
     for plane in range(1 + int(more.max()).bit_length()):
         at = np.arange(len(keys)) if plane == 0 else np.flatnonzero(more >> (plane - 1) & 1)
@@ -180,32 +231,59 @@ def _rows(n: int, **given: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(n, f.type)) for f in _FOUND], schema=_FOUND)
 
 
+class _Held:
+    """Links of rows of one block, equal ones added up. A row's links always leave together, so that the bitmaps of two
+    fragments never hold the same row."""
+
+    def __init__(self):
+        self.block, self.parts, self.size = None, [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append((keys, np.ones(len(keys), np.int64)))
+        self.size += len(keys)
+        if self.size > 2 * LINKS:
+            self.parts = [self.summed()]
+            self.size = len(self.parts[0][0])
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, links = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[heads], np.add.reduceat(links[order], heads)
+
+    def leave(self):
+        if self.size:
+            yield from postings(*self.summed(), self.block)
+        self.parts, self.size = [], 0
+
+
 def _scan(a_json, b_model):
     def run(batches):
-        pair = Pair(a_json.value, b_model.value)
-        len_a = np.array(list(map(len, pair.a_bytes)), np.int64)
-        len_b = np.array(list(map(len, pair.b_bytes)), np.int64)
-        shown = shown_ids(max(len(len_a), len(len_b)))
-        held: list[np.ndarray] = []
-        block = None
+        pair, held = Pair(a_json.value, b_model.value), _Held()
         for batch in row_slices(batches):
-            ids_a, ids_b, sizes = pair.encode(batch.column("text").to_pylist())
-            groups, n_groups, text, pairs = align(ids_a, ids_b, sizes, len_a, len_b, shown)
-            n_links = np.bincount(text, minlength=len(sizes))
-            yield _rows(len(sizes), row=batch.column("row"), id=batch.column("id"),
-                        n_a=pa.array(list(map(len, ids_a)), pa.int64()), n_b=pa.array(list(map(len, ids_b)), pa.int64()),
-                        n_groups=pa.array(n_groups, pa.int64()), n_links=pa.array(n_links, pa.int64()),
-                        groups=pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]))
-            row = batch.column("row").to_numpy()[text]
-            cuts = np.append(0, np.flatnonzero(row[1:] >> BLOCK_BITS != row[:-1] >> BLOCK_BITS) + 1) if len(row) else []
-            for s, e in zip(cuts, [*cuts[1:], len(row)]):
-                if held and (block != row[s] >> BLOCK_BITS or sum(map(len, held)) > LINKS):
-                    yield from postings(np.concatenate(held), block)
-                    held.clear()
-                block = int(row[s] >> BLOCK_BITS)
-                held.append((pairs[s:e] << BLOCK_BITS) | (row[s:e] & (BLOCK - 1)))
-        if held:
-            yield from postings(np.concatenate(held), block)
+            rows, texts = batch.column("row").to_numpy(), batch.column("text").to_pylist()
+            long = len(texts) == 1 and len(texts[0] or "") > LONG_TEXT
+            parts = pair.parts(texts[0]) if long else []
+            if long and not all(pair.measure([p])[0][0, 4] for p in parts):
+                parts, texts = [], [None]
+            facts, digests = np.zeros((len(texts), 5), np.int64), [hashlib.sha256() for _ in texts]
+            for k, step in enumerate([p] for p in parts) if len(parts) > 1 else [(0, texts)]:
+                found, groups, text, pairs = pair.measure(step)
+                facts += found
+                for digest, g in zip(digests, groups):
+                    digest.update((";" + g if k else g).encode())
+                row = rows[text]
+                cuts = np.append(0, np.flatnonzero(row[1:] >> BLOCK_BITS != row[:-1] >> BLOCK_BITS) + 1) if len(row) else []
+                for s, e in zip(cuts, [*cuts[1:], len(row)]):
+                    if held.block != row[s] >> BLOCK_BITS or (k == 0 and held.size > LINKS):
+                        yield from held.leave()
+                    held.block = int(row[s] >> BLOCK_BITS)
+                    held.add((pairs[s:e] << BLOCK_BITS) | (row[s:e] & (BLOCK - 1)))
+            counts = dict(zip(("n_a", "n_b", "n_groups", "n_links"), map(pa.array, facts[:, :4].T.copy())))
+            yield _rows(len(texts), row=batch.column("row"), id=batch.column("id"), **counts,
+                        groups=pa.array([d.hexdigest() if n else "" for d, n in zip(digests, facts[:, 2])], pa.string()))
+        yield from held.leave()
     return run
 
 
@@ -313,8 +391,7 @@ def cross_alignment(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id
     Per text: (id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256). Per pair: see ``pair_counts``.
     Null and empty texts, and texts that the tokens of A or B do not spell, have no tokens: zeros and an empty digest.
     Repeated rows and null ids count each; an empty table gives empty ones; further columns are ignored. Texts over
-    ``LONG_TEXT`` characters are encoded in parts, cut before blanks where neither tokenizer merges; a text without
-    such a blank is encoded in one piece, however long.
+    ``LONG_TEXT`` characters are walked in parts; a stretch without a blank to cut at is encoded in one piece.
     """
     texts, index = pair_index(docs, a_path, b_path, id, text)
     pairs = stage(pair_counts(index), "alignment-pairs")

@@ -60,7 +60,7 @@ TEXTS = [None, "", " ", "a", "the cat, the cat; the  cats\n\n\tof Zürich 12345"
          "日本語 👩‍👩‍👧 é ﬁ", "the the the the the the the " * 9, "  leading", "trailing  ", "'s 've n't It's", "the cat, the cat; the  cats"]
 
 
-@pytest.mark.parametrize("limits", [{}, {"LONG_TEXT": 8, "LINKS": 1}])
+@pytest.mark.parametrize("limits", [{}, {"LONG_TEXT": 8, "LINKS": 1, "KNOWN": 40}])
 def test_equals_comparing_all_ranges(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(alignment, name, value)
