@@ -7,14 +7,20 @@
    bounded); a task resolves them on the spot and writes only the rarer ones, which a shuffle join resolves. So a
    frequent pre-token is never a shuffle key, and every pre-token counts.
 
-Splitting. A text is cut before each blank first; if no blank stands beside other white space, the pre-tokenizer's
-pattern never matches across such a cut, so the pattern runs once per distinct chunk. Other texts take the pattern
-over their whole length. The special string of the vocabulary counts one token wherever it stands.
+Splitting. A long text is walked in parts that end before a single blank between two printable ASCII characters, where
+the pre-tokenizer's pattern never matches across. A part is cut before each blank; if no blank stands beside other
+white space, the pattern never matches across such a cut either, so it runs once per distinct chunk. Other parts take
+it over their whole length. The pattern itself is used on characters below U+0250 only, whose classes no Unicode
+version changes; chunks with others are split by the tokenizers library. The special string of the vocabulary counts
+one token wherever it stands.
+
+Everything a task holds between rows is bounded in bytes (``HELD``), whatever the length of its words.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -28,7 +34,10 @@ from telemetra.llm.textcols import row_slices
 LIMIT = 512
 HEAD = 1 << 18
 HEAD_BYTES = 48
-FLUSH = 250_000     # distinct chunks a task holds before it hands its counts on
+HELD = 24 << 20     # bytes of distinct chunks or pre-tokens that a task holds, with ENTRY more for each
+ENTRY = 120
+PART = 1 << 20      # bytes of a long text that are split at a time
+ROWS = 1 << 15      # entries handed on at a time
 SPECIAL = b"<|endoftext|>"
 
 # Fixed value: the pre-tokenizer's pattern, with white space as the Unicode property.
@@ -36,43 +45,73 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _SPLIT = regex.compile(PATTERN)
 _BESIDE = regex.compile(r" \p{White_Space}|\p{White_Space} ")
-
-
-def pre_tokens(chunk: bytes) -> list[bytes]:
-    return [p.encode() for p in _SPLIT.findall(chunk.decode())]
-
-
-def chunks(text: bytes) -> tuple[list[bytes], int]:
-    """Parts of a text that can be split into pre-tokens one by one, and the number of special strings between."""
-    parts = text.split(SPECIAL)
-    out: list[bytes] = []
-    for part in parts:
-        if b"\0" in part or _BESIDE.search(part.decode()):
-            out += pre_tokens(part)
-        elif part:
-            out += part.replace(b" ", b"\0 ").split(b"\0")
-    return out, len(parts) - 1
+_OTHER = re.compile("[^\x00-\u024f]")
+_CUT = re.compile(rb"(?<=[!-~]) (?=[!-~])")
+
+
+class Splitter:
+    """Pre-tokens of a text, as the tokenizers library splits it."""
+
+    def __init__(self):
+        from tokenizers import pre_tokenizers
+        self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def pre_tokens(self, chunk: bytes) -> list[bytes]:
+        if chunk.isascii():
+            return [p.encode() for p in _SPLIT.findall(chunk.decode())]
+        text = chunk.decode()
+        if _OTHER.search(text):
+            return [text[a:b].encode() for _, (a, b) in self.library.pre_tokenize_str(text)]
+        return [p.encode() for p in _SPLIT.findall(text)]
+
+    def chunks(self, text: bytes) -> tuple[list[bytes], int]:
+        """Parts of a text that can be split into pre-tokens one by one, and the number of special strings between."""
+        parts = text.split(SPECIAL)
+        out: list[bytes] = []
+        for part in parts:
+            if b"\0" in part or _BESIDE.search(part.decode()):
+                out += self.pre_tokens(part)
+            elif part:
+                out += part.replace(b" ", b"\0 ").split(b"\0")
+        return out, len(parts) - 1
+
+
+def text_parts(text: bytes):
+    """A text, or parts of a long one, each but the first with the blank it was cut before."""
+    at = 0
+    while len(text) - at > PART and (cut := _CUT.search(text, at + PART)):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 def _frequencies(batches):
-    def rows(counts):
+    split = Splitter()
+
+    def rows():
+        # Entries leave one table before they enter the next, so the two together stay within the bound.
         total: Counter = Counter()
-        for chunk, n in counts.items():
-            for p in pre_tokens(chunk):
+        while counts:
+            chunk, n = counts.popitem()
+            for p in split.pre_tokens(chunk):
                 total[p] += n
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["pre", "n"])
+        while total:
+            some = [total.popitem() for _ in range(min(ROWS, len(total)))]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())],
+                                             names=["pre", "n"])
 
     counts: Counter = Counter()
-    for batch in row_slices(batches):
+    added = 0
+    for batch in row_slices(batches, limit=PART):
         for text in batch.column("text").cast(pa.binary()).to_pylist():
-            if text:
-                counts.update(chunks(text)[0])
-        if len(counts) > FLUSH:
-            yield rows(counts)
-            counts.clear()
-    if counts:
-        yield rows(counts)
+            for part in text_parts(text or b""):
+                counts.update(split.chunks(part)[0])
+                added += len(part)
+                if added > PART:
+                    added = 0
+                    if ENTRY * len(counts) + sum(map(len, counts)) > HELD:
+                        yield from rows()
+    yield from rows()
 
 
 def _pieces(tokenizer):
@@ -83,7 +122,7 @@ def _pieces(tokenizer):
         library = Tokenizer.from_str(tokenizer.value)
         library.no_truncation()
         library.no_padding()
-        for batch in batches:
+        for batch in row_slices(batches, "pre", PART):
             words = [p.decode() for p in batch.column("pre").to_pylist()]
             coded = library.encode_batch_fast(words, add_special_tokens=False)
             yield pa.RecordBatch.from_arrays(
@@ -122,38 +161,47 @@ def head_table(pieces: DataFrame, most: int = HEAD) -> tuple[bytes, int]:
 
 def _resolve(head):
     def run(batches):
+        split = Splitter()
         table = pa.ipc.open_stream(head.value).read_all()
         known = dict(zip(table["pre"].to_pylist(), table["pieces"].to_pylist()))
+        del table
         memo: dict[bytes, int | tuple] = {}
+        held = 0
 
         def look(chunk):
             total, rare = 0, []
-            for p in pre_tokens(chunk):
+            for p in split.pre_tokens(chunk):
                 if p in known:
                     total += known[p]
                 else:
                     rare.append(p)
             return (total, rare) if rare else total
 
-        for batch in row_slices(batches):
+        for batch in row_slices(batches, limit=PART):
             totals, rare, sizes = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
-                parts, total = chunks(text or b"")
-                tail: list[bytes] = []
-                for chunk in parts:
-                    got = memo.get(chunk)
-                    if got is None:
-                        got = memo[chunk] = look(chunk)
-                    if got.__class__ is int:
-                        total += got
-                    else:
-                        total += got[0]
-                        tail += got[1]
+                total, tail = 0, Counter()
+                for part in text_parts(text or b""):
+                    parts, special = split.chunks(part)
+                    total += special
+                    for chunk in parts:
+                        got = memo.get(chunk)
+                        if got is None:
+                            got = look(chunk)
+                            if len(chunk) < 256:  # a longer one hardly comes twice
+                                memo[chunk] = got
+                                held += ENTRY + len(chunk)
+                        if got.__class__ is int:
+                            total += got
+                        else:
+                            total += got[0]
+                            tail.update(got[1])
+                    if held > HELD:
+                        memo.clear()
+                        held = 0
                 totals.append(total)
                 sizes.append(len(text or b""))
-                rare.append([{"pre": p, "n": n} for p, n in Counter(tail).items()])
-            if len(memo) > FLUSH:
-                memo.clear()
+                rare.append([{"pre": p, "n": n} for p, n in tail.items()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()),
                  pa.array(rare, pa.list_(pa.struct([("pre", pa.binary()), ("n", pa.int64())])))],

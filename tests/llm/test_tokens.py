@@ -71,6 +71,32 @@ def test_token_counts(docs, monkeypatch, head):
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 512), repr(t)[:80]
 
 
+def test_pre_tokens_of_every_character():
+    """Letters and digits are told apart as the library does, whatever Unicode version it knows."""
+    library = Tokenizer.from_file(BYTE_BPE)
+    split = token_counts.Splitter()
+    wrong = []
+    for c in map(chr, range(1, 0x30000)):
+        if "\ud800" <= c <= "\udfff":
+            continue
+        text = f"{c}'s a{c}1 {c}b {c} {c}{c}  {c}\n"
+        want = [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+        got = [p.decode() for chunk in split.chunks(text.encode())[0] for p in split.pre_tokens(chunk)]
+        if got != want:
+            wrong.append(hex(ord(c)))
+    assert not wrong
+
+
+def test_token_counts_with_small_bounds(spark, monkeypatch):
+    for name, value in {"HELD": 2000, "PART": 64, "ROWS": 3}.items():
+        monkeypatch.setattr(token_counts, name, value)
+    library = Tokenizer.from_file(BYTE_BPE)
+    rows = texts(80, seed=4) + ["౜'s", "word " * 500 + "中文 \u3000 x<|endoftext|> y z" * 30, "a" * 5000]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = by_id(token_counts.token_counts(docs, BYTE_BPE))
+    assert [got[i].n_tokens for i in range(len(rows))] == [len(library.encode(t or "", add_special_tokens=False).ids) for t in rows]
+
+
 def test_packing_places_every_piece(docs):
     library = Tokenizer.from_file(WORD_BPE)
     rows = packing.pack(docs, WORD_BPE).collect()
