@@ -37,8 +37,10 @@ PATTERNS = {
     "hex": re.compile(rb"[0-9a-f]+"),
     "github": re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
     "npm": re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
-    "jwt": re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    "jwt": re.compile(rb"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"),
 }
+# Where a match fails, so it does at every later place of the same run: each run is read once by its first place.
+_RUN = {"jwt": re.compile(rb"[A-Za-z0-9_-]++")}
 _HEX = bytes(ord("h") if chr(b) in "0123456789abcdef" else 0x20 for b in range(256))
 _BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -61,9 +63,10 @@ def _valid(kind: str, match: re.Match) -> bool:
     if kind == "jwt":
         head = token.split(b".")[0]
         try:
-            return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
-        except (ValueError, TypeError):
+            header = json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
+        except (ValueError, RecursionError):  # no JSON, or nested deeper than any header
             return False
+        return isinstance(header, dict) and "alg" in header
     body = token[4:]
     return crc_base62(body[:-6]) == body[-6:]
 
@@ -97,10 +100,14 @@ def find_secrets(text: bytes, automaton) -> list[tuple[str, int, int]]:
     for kind, starts in _starts(text, automaton).items():
         done, pattern = 0, PATTERNS[kind]
         for start in sorted(starts):
-            if start >= done and (match := pattern.match(text, start)):
+            if start < done:
+                continue
+            if match := pattern.match(text, start):
                 done = match.end()
                 if _valid(kind, match):
                     found.append((kind, start, done))
+            elif kind in _RUN:
+                done = _RUN[kind].match(text, start).end()
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -130,7 +137,8 @@ def secret_scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     """(id, spans array<struct<kind, start, end>>), one row per row of ``docs``, spans by start, then kind as listed.
 
     Null and empty texts have no spans; repeated rows and null ids keep their rows; an empty table gives an empty
-    one; further columns are ignored. Texts of any length are scanned whole.
+    one; further columns are ignored. Texts and tokens of any length are scanned whole, in linear time; a token whose
+    header is nested too deep to be read is no token.
     """
     return docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
         _scan, "id long, spans array<struct<kind: string, start: long, end: long>>").withColumnRenamed("id", id)

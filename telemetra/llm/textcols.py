@@ -42,46 +42,61 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _slice_words(lower: np.ndarray, breaks: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, ...]:
-    """Starts, hashes and prefix hashes of the words of one slice; ``breaks`` are row starts inside it."""
+def _slice_words(lower: np.ndarray, breaks: np.ndarray, prefixes: tuple[int, ...], before: int) -> tuple[np.ndarray, ...]:
+    """Starts, lengths, sums and prefix sums of the words of one slice; ``breaks`` are row starts inside it. The slice's
+    first word has ``before`` bytes in slices before; its length counts them, its sums do not."""
     inside = lower != 0
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     first[breaks] = inside[breaks]
     body = np.flatnonzero(inside)
     if not len(body):
-        return np.empty(0, np.int64), *(np.empty(0, np.uint64) for _ in (0, *prefixes))
+        return np.empty(0, np.int64), np.empty(0, np.int64), *(np.empty(0, np.uint64) for _ in (0, *prefixes))
     heads = np.flatnonzero(first[body])
     lengths = np.diff(np.append(heads, len(body)))
     place = np.arange(len(body)) - np.repeat(heads, lengths)
+    if before:
+        place[:lengths[0]] += before
+        lengths[0] += before
     far = place >> 6
     parts = _POSITION[place & 63, lower[body]]
     if lengths.max() > 64:
         parts = parts * (2 * far + 1).astype(np.uint64)
-    whole = mix(np.add.reduceat(parts, heads) + lengths.astype(np.uint64))
-    begins = [mix(np.add.reduceat(np.where(place < p, parts, np.uint64(0)), heads) + np.uint64((p << 40) + 1))
-              for p in prefixes]
-    return body[heads], whole, *begins
+    begins = [np.add.reduceat(np.where(place < p, parts, np.uint64(0)), heads) for p in prefixes]
+    return body[heads], lengths, np.add.reduceat(parts, heads), *begins
 
 
 def word_hashes(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """All words of the column in order: (hash of every word, index of each row's first word and one more at the
-    end), then for each of ``prefixes`` the hash of every word's first so many bytes."""
+    end), then for each of ``prefixes`` the hash of every word's first so many bytes.
+
+    A word's hash is made from a sum over its bytes, so a word longer than a slice is summed slice by slice.
+    """
     data, offsets = text_bytes(texts)
-    found, at = [], 0
+    found, at, open_word = [], 0, None
     while at < len(data):
         to = min(at + SLICE, len(data))
-        while to < len(data) and _LOWER[data[to - 1]] and to - at < 64 * SLICE:
+        while to < len(data) and _LOWER[data[to - 1]] and to - at < 2 * SLICE:
             gap = np.flatnonzero(_LOWER[data[to:to + 4096]] == 0)
             to = to + int(gap[0]) + 1 if len(gap) else min(to + 4096, len(data))
         row = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, to)] - at
-        starts, *rest = _slice_words(_LOWER[data[at:to]], row, prefixes)
-        found.append((starts + at, *rest))
+        starts, lengths, *sums = _slice_words(_LOWER[data[at:to]], row, prefixes, int(open_word[1]) if open_word else 0)
+        starts += at
+        if open_word:
+            starts[0] = open_word[0]
+            for s, more in zip(sums, open_word[2]):
+                s[0] += more
+        # A word that runs on behind the slice, inside its row, waits for the rest.
+        runs_on = to < len(data) and _LOWER[data[to - 1]] and _LOWER[data[to]] and offsets[np.searchsorted(offsets, to)] != to
+        open_word = (starts[-1], lengths[-1], [s[-1] for s in sums]) if runs_on else None
+        n = len(starts) - 1 if runs_on else len(starts)
+        found.append((starts[:n], lengths[:n], *(s[:n] for s in sums)))
         at = to
     if not found:
         return (np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), *(np.empty(0, np.uint64) for _ in prefixes))
-    starts, whole, *begins = (np.concatenate(x) for x in zip(*found))
-    return whole, np.searchsorted(starts, offsets), *begins
+    starts, lengths, whole, *begins = (np.concatenate(x) for x in zip(*found))
+    begins = [mix(b + np.uint64((p << 40) + 1)) for p, b in zip(prefixes, begins)]
+    return mix(whole + lengths.astype(np.uint64)), np.searchsorted(starts, offsets), *begins
 
 
 def hash_word(word: str) -> int:

@@ -1,14 +1,17 @@
+import base64
 import hashlib
 import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from telemetra.llm import license_scan, quality, secret_scan, sharding, toxicity
+from telemetra.llm import license_scan, quality, secret_scan, sharding, textcols, toxicity
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -52,6 +55,20 @@ def test_quality_plan_is_native(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
 
 
+# words
+
+def test_words_longer_than_slices(monkeypatch):
+    rng = random.Random(8)
+    texts = [None, "", "a" * 700, "ab " * 90, "é" * 333 + " x", "end"] + [
+        "".join(rng.choice("abcé 0") for _ in range(rng.randint(0, 400))) for _ in range(40)] + ["b" * 500, "b" * 500 + "c"]
+    whole = textcols.word_hashes(pa.array(texts, pa.string()), (2, 100))
+    for size in (16, 64, 100):
+        monkeypatch.setattr(textcols, "SLICE", size)
+        parts = textcols.word_hashes(pa.array(texts, pa.string()), (2, 100))
+        assert all((x == y).all() for x, y in zip(whole, parts))
+    assert len(whole[0]) == sum(len(re.findall("[0-9a-z\x80-\U0010ffff]+", t or "")) for t in texts)
+
+
 # secrets
 
 BASE = {"assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
@@ -59,6 +76,23 @@ BASE = {"assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x2
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 
+def test_deep_headers_and_long_runs_are_harmless(spark):
+    deep = base64.urlsafe_b64encode(b'{"a":' + b"[" * 10_000).rstrip(b"=").decode()
+    good = base64.urlsafe_b64encode(b'{"alg":"HS256"}').rstrip(b"=").decode()
+    word = base64.urlsafe_b64encode(b'"algorithm"').rstrip(b"=").decode()
+    texts = [f"{deep}.x.y", f"{good}.x.y {deep}.x.y", "eyJ" * 350_000, "eyJ" * 1000 + f".a {good}.b.c", f"eyJ{word}.a.b", "eyJ.eyJ." * 100_000]
+    automaton = secret_scan.build_automaton()
+    began = time.monotonic()
+    found = [[s for s in secret_scan.find_secrets(t.encode(), automaton) if s[0] == "jwt"] for t in texts]
+    assert time.monotonic() - began < 2
+    end = len(good) + 4
+    assert found[:5] == [[], [("jwt", 0, end)], [], [("jwt", 3003, 3003 + end)], []]
+    docs = table(spark, texts)
+    assert secret_scan.secret_digest(docs).count() == len(texts)
+    kept = {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()}
+    assert kept[0] == texts[0] and kept[1] == f"[SECRET] {deep}.x.y"
+
+
 def base_spans(text):
     found = [(m.start(), list(BASE).index(kind), f"{kind}:{m.start()}:{m.end()}") for kind, p in BASE.items()
              for m in p.finditer(text) if len(m[2] if kind == "assign" else m[0]) >= LEAST[kind]]
