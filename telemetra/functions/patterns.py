@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Punctuation removed from a search value (fixed values). The older metadata
-# routes removed the first three only.
+from telemetra.functions.text import strip_ws
+
+# Characters removed from a search value. The older metadata routes removed the first three only.
 PATTERN_DROP = "-(),"
 PATTERN_DROP_BASIC = "-()"
 
 
+def make_pattern_col(c: Column, drop: str = PATTERN_DROP) -> Column:
+    """LIKE pattern of a search value: outer blanks trimmed, lower case, without the dropped characters, in ``%``."""
+    return F.concat(F.lit("%"), F.translate(F.lower(strip_ws(c)), drop, ""), F.lit("%"))
+
+
 def make_pattern(value: str, drop: str = PATTERN_DROP) -> str:
-    """LIKE pattern that finds ``value`` anywhere, without regard to case, outer blanks or the dropped punctuation."""
-    wanted = value.lower().strip().translate(str.maketrans("", "", drop))
-    return "%".join(("", wanted, ""))
+    """``make_pattern_col`` of a value known when the query is built."""
+    kept = [ch for ch in value.strip().lower() if ch not in drop]
+    return "%" + "".join(kept) + "%"
 
 
 def make_pattern_basic(value: str) -> str:
@@ -22,12 +28,6 @@ def make_pattern_basic(value: str) -> str:
     return make_pattern(value, PATTERN_DROP_BASIC)
 
 
-def make_pattern_col(c: Column, drop: str = PATTERN_DROP) -> Column:
-    """``make_pattern`` as a column expression, for patterns stored in a table."""
-    from telemetra.functions.text import strip_ws
-    return F.concat(F.lit("%"), F.translate(F.lower(strip_ws(c)), drop, ""), F.lit("%"))
-
-
 def like_literal(pattern: str) -> str:
     """Make a LIKE pattern safe for Spark with the escaping rules of the SQL database.
 

@@ -1,7 +1,8 @@
 """Folder ingest: CSV files -> readings, quarantine, failure lists, audit, ledger.
 
-The per-file header table and the parsed rows are staged once each in the checkpoint folder (lineage cuts that survive
-executor loss); every sink reads the staged rows, and the stages go when the ledger is written. Sink order is readings
+The raw text is scanned once and staged as lines; the per-file header table and the parsed rows are made from them and
+staged once each in the checkpoint folder (lineage cuts that survive executor loss). Every sink reads the staged rows,
+and the stages go when the ledger is written. Sink order is readings
 -> quarantine/failures -> audit -> ledger: the ledger commits a file's rows of this run, so a crash at any place leaves
 nothing to be seen but readings, which a repeated run finds by their ``uuid``.
 """
@@ -21,11 +22,12 @@ from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, t
 from telemetra.session import remove_path, scratch_path
 from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, hidden_logger_files, list_logger_files,
                                      scan_logger_files)
+from telemetra.sources.records import records
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
 
 
-class _Stages:
+class Stages:
     """Staged tables of one run."""
 
     def __init__(self, spark: SparkSession):
@@ -62,7 +64,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
     """
     run_id = run_id or _uuid.uuid4().hex
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    stages = _Stages(spark)
+    stages = Stages(spark)
     headers = file_headers(clean_lines(lines))
     if candidates is not None:
         headers = headers.join(candidates.select("file_path"), "file_path", "left_semi")
@@ -85,7 +87,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
     if candidates is not None:
         empty = candidates.join(headers.select("file_path"), "file_path", "left_anti")
         per_file = per_file.unionByName(_error_rows(empty, EMPTY_FILE_ERROR))
-    results = _Stages(spark).write(per_file.withColumn("run_id", run).withColumn("timestamp", ts), "per-file")
+    results = Stages(spark).write(per_file.withColumn("run_id", run).withColumn("timestamp", ts), "per-file")
     store.append_run_table(AUDIT, results.filter("audited").select(
         "file_name", "record_count", "success_count", "fail_count", "error", "timestamp", "run_id"))
 
@@ -100,20 +102,22 @@ def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: st
     """Ingest every CSV file of ``src_dir`` not yet in the ledger; returns the run summary.
 
     Files are skipped by base name, as the ledger keys them. The folder is
-    read as a whole, without files older than the oldest new one; the header
-    table holds the new files only and the join with it drops the lines of
-    all others. No list of paths passes through the driver. A file whose name
-    hides it from the reader is reported as an error.
+    read once, without files older than the oldest new one; lines of files
+    that are not new are dropped at the scan. No list of paths passes through
+    the driver. A quoted cell may hold line breaks. A file whose name hides
+    it from the reader is reported as an error.
     """
     store = TableStore(spark, table_dir)
-    stages = _Stages(spark)
+    stages = Stages(spark)
     files = list_logger_files(spark, src_dir, glob)
     todo = stages.write(unprocessed_files(files, store.ledger()).select("file_path", "file_name", "modified"), "todo")
     oldest = todo.agg(F.min("modified").cast("string")).first()[0]
     hidden = spark.createDataFrame([(n, n) for n in hidden_logger_files(spark, src_dir)], "file_path string, file_name string")
     per_file = _error_rows(hidden, HIDDEN_FILE_ERROR).select(*AUDIT_COLUMNS)
     if oldest is not None:
-        lines = scan_logger_files(spark, src_dir, glob, oldest)
+        scanned = scan_logger_files(spark, src_dir, glob, oldest)
+        wanted = scanned.join(todo.select("file_path"), "file_path", "left_semi")
+        lines = records(wanted, stages.write)
         per_file = per_file.unionByName(ingest_lines(
             spark, lines, store, mode=mode, run_id=run_id, now=now, candidates=todo).select(*AUDIT_COLUMNS))
     stages.clear()

@@ -1,4 +1,4 @@
-"""Logger CSV folders -> line DataFrames.
+"""Logger CSV folders -> line DataFrames (S1, S2, C14); ``sources.records`` numbers and joins them.
 
 A file has one identity, taken from Spark's file metadata and decoded: its path, and its base name for the ledger.
 Folders are read as folders, never as a list of paths, so no character of a file name has a meaning.
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetra.functions.text import clean_bytes
+
 CSV_GLOB = "*.[cC][sS][vV]"
 HIDDEN_FILE_ERROR = "name starts with _ or . and is hidden from the reader"
 
@@ -48,27 +50,21 @@ def hidden_logger_files(spark: SparkSession, src_dir: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.globStatus(pattern) or [])
 
 
-def line_key(block_start: Column, rid: Column) -> Column:
-    """Place of a line in its file: increasing in file order, not consecutive.
+def as_lines(text: DataFrame) -> DataFrame:
+    """(file_path, file_name, block, rid, line) of a text scan, batch or micro-batch, with bytes cleaned.
 
-    Within a task the lower 33 bits of ``rid`` (``monotonically_increasing_id``) count the rows. A task holds no
-    more lines than a full split has bytes, plus one, and only a file's last split is not full; so twice the
-    split's first byte plus that count grows along the file, without a second look at the lines.
+    ``block`` is the first byte of the line's split; ``rid`` counts the rows of a task, so it counts the lines of a split
+    from some first value on. Both hold for one scan only: see ``sources.records``.
     """
-    return 2 * block_start + rid.bitwiseAND(F.lit((1 << 33) - 1))
-
-
-def as_lines(text: DataFrame) -> DataFrame:
-    """(file_path, file_name, line_no, line) of a text scan, batch or micro-batch."""
     return text.select(
         decoded(F.col("_metadata.file_path")).alias("file_path"),
         decoded(F.col("_metadata.file_name")).alias("file_name"),
-        line_key(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("line_no"),
-        F.col("value").alias("line"))
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("rid"),
+        clean_bytes(F.col("value")).alias("line"))
 
 
 def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None) -> DataFrame:
-    """Lines of the folder's CSV files: (file_path, file_name, line_no, line) (S1; S2 happens in parsing).
+    """Lines of the folder's CSV files, see ``as_lines``.
 
     ``modified_from`` leaves out files last changed before that time; the
     reader prunes them from its listing.

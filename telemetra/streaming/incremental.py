@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.operators.store import TableStore
 from telemetra.sources.files import CSV_GLOB, as_lines, literal_path
+from telemetra.sources.records import records
 
 # A hundred thousand years: no file is too old, whatever clock its logger had. The ledger prevents repeats.
 NO_AGE_LIMIT = "36500000d"
@@ -31,12 +32,13 @@ def ingest_stream(spark: SparkSession, src_dir: str, table_dir: str, checkpoint:
               .load(literal_path(src_dir)))
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        from telemetra.plans.ingest import ingest_lines
+        from telemetra.plans.ingest import Stages, ingest_lines
 
-        lines = as_lines(df)
-        files = lines.select("file_path", "file_name").distinct()
-        files = files.join(store.ledger().select("file_name"), "file_name", "left_anti")
-        ingest_lines(spark, lines, store, mode=mode, candidates=files)
+        stages = Stages(spark)
+        new = as_lines(df).join(store.ledger().select("file_name"), "file_name", "left_anti")
+        lines = records(new, stages.write)  # the batch's files are read here, once
+        ingest_lines(spark, lines, store, mode=mode, candidates=lines.select("file_path", "file_name").distinct())
+        stages.clear()
 
     writer = (stream.select("value", "_metadata").writeStream.foreachBatch(_batch)
               .option("checkpointLocation", checkpoint))
