@@ -20,6 +20,7 @@ from telemetra.plans import stations as plans
 from telemetra.schema import AWS_EXTRA_FIELDS, BASE_FIELDS
 from telemetra.sources import fixtures as fx
 from telemetra.sources.fixtures import duck_with
+from telemetra.sources.records import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -656,6 +657,24 @@ def q_tokenize_rows(spark, sf_dir):
         "file_name", "line_no", F.size("tokens").cast("bigint").alias("n_cells"))
 
 
+@register("tokenize_multiline", duck_with("raw_lines") + """, sized AS (
+SELECT *, CASE WHEN line_no%11=0 THEN 2 WHEN line_no%7=0 THEN 3 ELSE 1 END AS parts FROM raw_lines)
+SELECT file_name, CAST(sum(parts) OVER (PARTITION BY file_name ORDER BY line_no) - parts AS BIGINT) AS line_no,
+  split_part(line, ',', 1) AS first_cell,
+  CASE WHEN line_no%11=0 THEN '1'||chr(10)||'2, "3"' WHEN line_no%7=0 THEN 'a'||chr(10)||chr(10)||'b'
+       ELSE split_part(line, ',', 3) END AS third_cell,
+  CAST(CASE WHEN line_no%11=0 THEN 3 WHEN line_no%7=0 THEN 4 WHEN line_no%59=0 THEN 4 ELSE 3 END AS BIGINT) AS n_cells
+FROM sized""")
+def q_tokenize_multiline(spark, sf_dir):
+    """Records over several lines, from lines of splits (S3)."""
+    from telemetra.plans.ingest import Stages
+
+    rows = records(fx.physical_lines(spark, sf_dir), Stages(spark).write)
+    cells = rows.select("file_name", "line_no", text.tokenize(F.col("line")).alias("cells"))
+    return cells.select("file_name", "line_no", F.col("cells")[0].alias("first_cell"), F.col("cells")[2].alias("third_cell"),
+                        F.size("cells").cast("bigint").alias("n_cells"))
+
+
 def _d_shown(x: str) -> str:
     """One cell of the historic list text; the fixtures hold no control characters."""
     x = f"replace({x}, '\\', '\\\\')"

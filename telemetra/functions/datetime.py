@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.text import strip_ws
 
-_CLOCK = r"(\d{2}:\d{2})(:\d{2})?"
-# Day-first with a two- and a four-digit year, and year-first, each rewritten to year-first text.
-_SHAPES = [(rf"^(\d{{2}})-(\d{{2}})-(\d{{2}}) {_CLOCK}$", "20$3-$2-$1 $4$5"),
-           (rf"^(\d{{2}})-(\d{{2}})-(\d{{4}}) {_CLOCK}$", "$3-$2-$1 $4$5"),
-           (rf"^(\d{{4}})-(\d{{2}})-(\d{{2}}) {_CLOCK}$", "$1-$2-$3 $4$5")]
+# Day-first dates with a two- and a four-digit year are rewritten to year-first text, clocks without seconds get them.
+_REWRITES = [(r"^(\d{2})-(\d{2})-(\d{2}) ", "20$3-$2-$1 "), (r"^(\d{2})-(\d{2})-(\d{4}) ", "$3-$2-$1 "), (r"^(.{16})$", "$1:00")]
+_CLOCK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def parse_datetime(c: Column) -> Column:
@@ -25,8 +23,9 @@ def parse_datetime(c: Column) -> Column:
     text is a wall clock without zone: no session zone takes part.
     """
     x = F.translate(strip_ws(c), "/", "-")
-    text = F.coalesce(*[F.when(x.rlike(shape), F.regexp_replace(x, shape, to)) for shape, to in _SHAPES])
-    return F.when(F.length(text) == 16, F.concat(text, F.lit(":00"))).otherwise(text).try_cast("timestamp_ntz")
+    for shape, to in _REWRITES:
+        x = F.regexp_replace(x, shape, to)
+    return F.regexp_extract(x, _CLOCK, 0).try_cast("timestamp_ntz")
 
 
 def obs_date(ts: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemetra.functions.datetime import obs_date, parse_datetime
@@ -141,6 +141,21 @@ def messy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("file_path", "file_name", "line_no", messy.alias("line"))
 
 
+def physical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_lines`` as a scan delivers them: some records have a quoted cell with line breaks and so are several lines.
+    Splits hold a few hundred lines and cut records anywhere."""
+    r = raw_lines(spark, sf_dir)
+    n = F.col("line_no")
+    stem = F.concat(F.split_part("line", F.lit(","), F.lit(1)), F.lit(","), F.split_part("line", F.lit(","), F.lit(2)))
+    record = (F.when(n % 11 == 0, F.concat(stem, F.lit(',"1\n2, ""3"""')))
+              .when(n % 7 == 0, F.concat(stem, F.lit(',"a\n\nb",5" x'))).otherwise(F.col("line")))
+    parts = r.select("file_path", "file_name", "line_no", F.posexplode(F.split(record, "\n")).alias("part", "line"))
+    block = F.floor((F.col("line_no") * 3 + F.col("part")) / 500)
+    order = Window.partitionBy("file_path", "block").orderBy("line_no", "part")
+    return parts.withColumn("block", block).select(
+        "file_path", "file_name", "block", (F.row_number().over(order) + 10 * F.col("block")).cast("bigint").alias("rid"), "line")
+
+
 # Header text per file kind (day of month % 3): aliases with "&", blanks and
 # case; split Date/Time; the dotted pressure name and an unknown column.
 HEADER_KINDS = ["Station ID,Date & Time,WL", "STNID,Date,Time,Batt", "Station,DateTimeStamp,At.pressure,Unknown Col"]
