@@ -13,14 +13,17 @@ The ledger entry of a file is written last and commits the run's rows of that
 file: run tables are read through it, so what a crashed run left behind is
 never seen, and the run that repeats its files replaces it. Readings are
 appended through an anti-join on ``uuid``, so a repeated run changes nothing.
-Rewrites (delete/update) go through a staged copy in the checkpoint folder,
-never overwriting a path while reading it. A table that was never written is
-an empty frame of its schema.
+Rewrites (delete/update) go through a staged copy under ``rewrites/`` with an
+intent written last: from then on the rewrite counts as decided, each of its
+steps may be repeated, and the next change of the readings completes what a
+crash left. A table that was never written is an empty frame of its schema.
+Summaries of the readings are kept beside them, see ``operators.summaries``.
 """
 
 from __future__ import annotations
 
 import os
+import uuid as _uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ from telemetra.functions.validate import SENTINEL_DATETIMES
 from telemetra import schema
 from telemetra.functions.ids import prefix_station_id
 from telemetra.functions.text import strip_ws
+from telemetra.operators.summaries import Summaries, on_days
 from telemetra.schema import CANONICAL, MEASUREMENTS, VALUE_SUFFIX
 from telemetra.session import remove_path, scratch_path
 
@@ -122,6 +126,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.summaries = Summaries(self)
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -156,28 +161,27 @@ class TableStore:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id").parquet(self.path(name)))
 
-    def append_readings(self, batch: DataFrame, moved: bool = False) -> None:
+    def append_readings(self, batch: DataFrame) -> None:
         """Insert typed readings, ignoring uuids already stored (K1).
 
         Same uuid means same raw cells, hence the same DateTime and obs_date,
         so only the batch's date partitions need checking. That holds unless
         a cell contains the joiner ``|`` (two rows could then share a key text
-        across dates): a batch with such a row is checked against the whole
-        uuid column.
-        ``moved`` rows come from other days of the table and are checked
-        against their new days only. ``batch`` should be a staged (materialised) DataFrame: it is read
+        across dates): such rows are checked against the whole uuid column.
+        ``batch`` should be a staged (materialised) DataFrame: it is read
         twice, once for its dates and once for the insert.
         """
+        self.recover()
         existing = self.stored(READINGS)
-        piped = F.lit(False) if moved else _has_pipe(batch.columns)
-        days = batch.groupBy("obs_date").agg(F.max(piped).alias("piped")).collect()  # bounded: days in the batch
-        if not any(d["piped"] for d in days):
-            day_vals = [d["obs_date"] for d in days if d["obs_date"] is not None]
-            in_days = F.col("obs_date").isin(*day_vals) if day_vals else F.lit(False)
-            if any(d["obs_date"] is None for d in days):
-                in_days = in_days | F.col("obs_date").isNull()
-            existing = existing.filter(in_days)
-        self._write_days(rows_to_insert(batch, existing), "append", self.path(READINGS))
+        days = batch.groupBy("obs_date").agg(F.max(_has_pipe(batch.columns)).alias("piped")).collect()  # bounded: days
+        same_day = existing.filter(on_days([d["obs_date"] for d in days]))
+        self.summaries.intend([d["obs_date"] for d in days])
+        rows = rows_to_insert(batch, same_day)
+        if any(d["piped"] for d in days):
+            piped = _has_pipe(batch.columns)
+            rows = rows.filter(~piped).unionByName(rows_to_insert(rows.filter(piped), existing))
+        self._write_days(rows, "append", self.path(READINGS))
+        self.summaries.finish()
 
     @staticmethod
     def _write_days(rows: DataFrame, mode: str, path: str) -> None:
@@ -197,32 +201,60 @@ class TableStore:
         """Rewrite the readings partitions holding rows that match ``affected`` (K4/K5 on stored data).
 
         The affected days are collected (bounded by the number of days). Their
-        rows go through ``transform``, are staged in the checkpoint folder, and
-        the staged copy overwrites those partitions (dynamic overwrite); days
-        whose partition became empty are then removed.
+        rows go through ``transform`` and are staged; then the intent is
+        written, and the staged copy takes the place of those partitions.
         """
+        self.recover()
         current = self.stored(READINGS)
         days = [r[0] for r in current.filter(affected).select("obs_date").distinct().collect()]
         if not days:
             return
-        vals = [d for d in days if d is not None]
-        in_days = F.col("obs_date").isin(*vals) if vals else F.lit(False)
-        if None in days:
-            in_days = in_days | F.col("obs_date").isNull()
-        staged_path = scratch_path(self.spark, "rewrite")
-        self._write_days(transform(current.filter(in_days)), "overwrite", staged_path)
-        if has_data(self.spark, staged_path):
-            staged = self.spark.read.schema(schema.READINGS).parquet(staged_path)
-            stay = F.coalesce(in_days, F.lit(False))
-            # Rows that now belong to other days go there first; a repeated rewrite finds them by their uuid.
-            self.append_readings(staged.filter(~stay), moved=True)
-            kept = {r[0] for r in staged.filter(stay).select("obs_date").distinct().collect()}
-            if kept:
-                self._write_days(staged.filter(stay), "overwrite", self.path(READINGS))
-        else:
-            kept = set()
+        folder = self.path(os.path.join("rewrites", _uuid.uuid4().hex[:12]))
+        self._write_days(transform(current.filter(on_days(days))), "overwrite", folder + "/rows")
+        changed = current.filter(affected).select("uuid", "StationID")
+        staged = self._staged(folder)
+        after = staged.join(changed.select("uuid"), "uuid", "left_semi").select("StationID")
+        changed.select("StationID").union(after).distinct().write.parquet(folder + "/stations")
+        self.spark.createDataFrame([(d,) for d in days], "obs_date date").write.parquet(folder + "/intent")
+        self._complete(folder)
+
+    def _staged(self, folder: str) -> DataFrame:
+        if not has_data(self.spark, folder + "/rows"):
+            return self.spark.createDataFrame([], schema.READINGS)
+        return self.spark.read.schema(schema.READINGS).parquet(folder + "/rows")
+
+    def _complete(self, folder: str) -> None:
+        """The steps of a decided rewrite; all of them may be repeated."""
+        staged = self._staged(folder)
+        days = [r[0] for r in self.spark.read.parquet(folder + "/intent").collect()]
+        moved = staged.filter(~on_days(days))
+        new_days = [r[0] for r in moved.select("obs_date").distinct().collect()]
+        self.summaries.intend([*days, *new_days], self.spark.read.parquet(folder + "/stations"))
+        # Rows that now belong to other days go there first; a repetition finds them by their uuid.
+        if new_days:
+            there = self.stored(READINGS).filter(on_days(new_days))
+            self._write_days(rows_to_insert(moved, there), "append", self.path(READINGS))
+        stay = staged.filter(on_days(days))
+        kept = {r[0] for r in stay.select("obs_date").distinct().collect()}
+        if kept:
+            self._write_days(stay, "overwrite", self.path(READINGS))
         self._drop_partitions([d for d in days if d not in kept])
-        remove_path(self.spark, staged_path)
+        self.summaries.finish()
+        remove_path(self.spark, folder)
+
+    def recover(self) -> None:
+        """Complete decided rewrites that a crash interrupted; undecided ones have changed nothing and go."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path("rewrites"))
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return
+        for status in files.listStatus(root):
+            folder = os.path.join(self.path("rewrites"), status.getPath().getName())
+            if files.exists(jvm.org.apache.hadoop.fs.Path(folder + "/intent/_SUCCESS")):
+                self._complete(folder)
+            else:
+                remove_path(self.spark, folder)
 
     def delete_sentinel_readings(self, values: list[str] = SENTINEL_DATETIMES) -> None:
         """Stored-table form of the sentinel DELETE (K4): only partitions holding them change."""

@@ -15,6 +15,7 @@ from telemetra.operators.filters import date_range_predicate, filter_stations, s
 from telemetra.operators.joins import join_station_readings, semi_join_stations
 from telemetra.operators.projections import (READING_COLUMNS, payload_by_type, project_basin_reading,
                                              project_metadata, project_station_reading)
+from telemetra.operators.summaries import on_days, page_days
 from telemetra.operators.windows import latest_n
 from telemetra.schema import DEFAULT_PAGE_SIZE, MAX_LATEST, MAX_PAGE_SIZE
 
@@ -116,6 +117,47 @@ def count_readings(readings: DataFrame, stations: DataFrame, **filters) -> DataF
     return joined.agg(F.count(F.lit(1)).alias("total"))
 
 
+def count_readings_kept(store, stations: DataFrame, **filters) -> DataFrame:
+    """``count_readings`` from the maintained day counts of a ``TableStore``: the readings are not read (A1)."""
+    start, end = filters.pop("start_date", None), filters.pop("end_date", None)
+    joined = _filtered_join(store.summaries.day_counts(), stations, start, end, "fuzzy", filters)
+    return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"))
+
+
+def station_readings_page_info_kept(store, stations: DataFrame, *, page=1, page_size=DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
+    """``station_readings_page_info`` from the maintained day counts (A3)."""
+    page, page_size = _check_page(page, page_size)
+    total = F.col("total")
+    return count_readings_kept(store, stations, **filters).select(
+        F.lit(page).cast("bigint").alias("page"), F.lit(page_size).cast("bigint").alias("page_size"),
+        total.alias("total_records"), F.floor((total + (page_size - 1)) / page_size).cast("bigint").alias("total_pages"))
+
+
+def latest_readings_kept(store, stations: DataFrame, **arguments) -> DataFrame:
+    """``latest_readings`` over the maintained newest rows of every station: the history is not read."""
+    if arguments.get("order", "time") != "time":
+        raise ValueError("the maintained rows are the newest by time")
+    return latest_readings(store.summaries.latest(), stations, **arguments)
+
+
+def station_readings_jump(store, stations: DataFrame, *, start_date=None, end_date=None, page=1,
+                          page_size=DEFAULT_PAGE_SIZE, **station_filters) -> DataFrame:
+    """``station_readings`` that jumps to its page: prefix sums over the maintained day counts, filters included, pick
+    the days that hold the page's rows, and only those days are read (O5, Q1).
+
+    Finding the days is a job of its own over the counts; their number is bounded by the page's rows.
+    """
+    page, page_size = _check_page(page, page_size)
+    offset = (page - 1) * page_size
+    joined = _filtered_join(store.summaries.day_counts(), stations, start_date, end_date, "fuzzy", station_filters)
+    days = page_days(joined.groupBy("obs_date").agg(F.sum("n").alias("n")), offset, page_size).collect()
+    readings = store.stored("readings").filter(on_days([d["obs_date"] for d in days]))
+    joined = join_station_readings(readings, filter_stations(stations, match="fuzzy", **station_filters))
+    out = (project_station_reading(joined, keep=["ts", "uuid"]).orderBy(*reading_order("time"))
+           .offset(offset - min((d["before"] for d in days), default=0)).limit(page_size))
+    return payload_by_type(out.drop("ts", "uuid"))
+
+
 def latest_readings(readings: DataFrame, stations: DataFrame, *, station_type=None, zone=None,
                     district=None, location=None, limit: int = 1, order: str = "time",
                     match: str = "fuzzy") -> DataFrame:
@@ -180,5 +222,6 @@ def basin_latest_readings(readings: DataFrame, stations: DataFrame, *, station_t
             .transform(project_basin_reading))
 
 
-__all__ = ["station_readings", "station_readings_after", "station_readings_page_info", "count_readings", "latest_readings",
+__all__ = ["station_readings", "station_readings_after", "station_readings_jump", "count_readings_kept",
+           "station_readings_page_info_kept", "latest_readings_kept", "station_readings_page_info", "count_readings", "latest_readings",
            "station_metadata", "basin_station_readings", "basin_latest_readings", "READING_COLUMNS"]
