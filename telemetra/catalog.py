@@ -18,6 +18,7 @@ from telemetra.functions import ids, patterns, text, validate
 from telemetra.operators import aggregates, filters, joins, projections, quality
 from telemetra.plans import stations as plans
 from telemetra.schema import AWS_EXTRA_FIELDS, BASE_FIELDS
+from telemetra.session import scratch_path
 from telemetra.sources import fixtures as fx
 from telemetra.sources.fixtures import duck_with
 from telemetra.sources.records import records
@@ -114,6 +115,25 @@ def q_station_page_cursor(spark, sf_dir):
     return plans.station_readings_after(r, s, after=("2024-01-20 12:00:00", "8"), zone="Asia", page_size=50)
 
 
+@register("station_page_jump", duck_with("readings", "stations") + f"""
+SELECT {_D_STATION}, {_d_readings(payload=True)} FROM readings d JOIN stations m ON m.id = d.StationID
+WHERE d.obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND lower(m.zone) ILIKE '%america%'
+ORDER BY d.ts DESC NULLS LAST, d.uuid LIMIT 50 OFFSET 950""")
+def q_station_page_jump(spark, sf_dir):
+    """A deep page that reads its own days only."""
+    return plans.station_readings_jump(_kept_table(spark, sf_dir), fx.stations(spark, sf_dir), **{**_PAGE, "page": 20})
+
+
+@register("page_metadata_maintained", duck_with("readings", "stations") + """
+SELECT CAST(2 AS BIGINT) AS page, CAST(50 AS BIGINT) AS page_size, CAST(count(*) AS BIGINT) AS total_records,
+       CAST((count(*) + 49) // 50 AS BIGINT) AS total_pages
+FROM readings d JOIN stations m ON m.id = d.StationID
+WHERE d.obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND lower(m.zone) ILIKE '%america%'""")
+def q_page_metadata_maintained(spark, sf_dir):
+    """The page envelope from the maintained day counts (A1, A3)."""
+    return plans.station_readings_page_info_kept(_kept_table(spark, sf_dir), fx.stations(spark, sf_dir), **_PAGE)
+
+
 @register("page_metadata", duck_with("readings", "stations") + """
 SELECT CAST(2 AS BIGINT) AS page, CAST(50 AS BIGINT) AS page_size, count(*) AS total_records,
        CAST((count(*) + 49) // 50 AS BIGINT) AS total_pages
@@ -191,6 +211,30 @@ def q_latest_n(spark, sf_dir):
     return plans.latest_readings(r, s, limit=3)
 
 
+def _kept_table(spark, sf_dir):
+    """A scratch table of all readings whose summaries were built after two thirds of them, late rows included."""
+    table = store.TableStore(spark, scratch_path(spark, "kept-table"))
+    rows = store.typed_readings(fx.readings(spark, sf_dir))
+    late = F.crc32(F.col("uuid").cast("binary")) % 3 == 0
+    table.append_readings(rows.filter(~late))
+    table.summaries.build()
+    table.append_readings(rows)
+    return table
+
+
+@register("latest_n_maintained", _d_latest(3))
+def q_latest_n_maintained(spark, sf_dir):
+    """Latest readings from the maintained newest rows of every station."""
+    return plans.latest_readings_kept(_kept_table(spark, sf_dir), fx.stations(spark, sf_dir), limit=3)
+
+
+@register("distinct_stations_maintained", duck_with("readings") + """SELECT count(DISTINCT StationID) AS stations FROM readings
+WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""")
+def q_distinct_stations_maintained(spark, sf_dir):
+    """Stations with a reading in a range of days, from the maintained day counts (A2)."""
+    return _kept_table(spark, sf_dir).summaries.distinct_stations("2024-01-05", "2024-01-12")
+
+
 @register("latest_1_per_station", _d_latest(1, "AND lower(m.\"type\") ILIKE '%aws%' AND lower(m.zone) ILIKE '%asia%'"))
 def q_latest_1(spark, sf_dir):
     r, s = _views(spark, sf_dir)
