@@ -25,6 +25,7 @@ from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, hidden_logger_
 from telemetra.sources.records import records
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
+MAX_NAMES = 5000    # so many new files are named to the reader; where there are more, it prunes by their times alone
 
 
 class Stages:
@@ -102,9 +103,9 @@ def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: st
     """Ingest every CSV file of ``src_dir`` not yet in the ledger; returns the run summary.
 
     Files are skipped by base name, as the ledger keys them. The folder is
-    read once, without files older than the oldest new one; lines of files
-    that are not new are dropped at the scan. No list of paths passes through
-    the driver. A quoted cell may hold line breaks. A file whose name hides
+    read once. Of up to ``MAX_NAMES`` new files the reader opens these alone;
+    of more, all files not older than the oldest new one, and lines of files
+    that are not new are dropped at the scan. A quoted cell may hold line breaks. A file whose name hides
     it from the reader is reported as an error.
     """
     store = TableStore(spark, table_dir)
@@ -115,7 +116,8 @@ def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: st
     hidden = spark.createDataFrame([(n, n) for n in hidden_logger_files(spark, src_dir)], "file_path string, file_name string")
     per_file = _error_rows(hidden, HIDDEN_FILE_ERROR).select(*AUDIT_COLUMNS)
     if oldest is not None:
-        scanned = scan_logger_files(spark, src_dir, glob, oldest)
+        named = [r[0] for r in todo.select("file_name").limit(MAX_NAMES + 1).collect()]
+        scanned = scan_logger_files(spark, src_dir, glob, oldest, named if len(named) <= MAX_NAMES else None)
         wanted = scanned.join(todo.select("file_path"), "file_path", "left_semi")
         lines = records(wanted, stages.write)
         per_file = per_file.unionByName(ingest_lines(

@@ -63,13 +63,16 @@ def as_lines(text: DataFrame) -> DataFrame:
         clean_bytes(F.col("value")).alias("line"))
 
 
-def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None) -> DataFrame:
+def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None,
+                      names: list[str] | None = None) -> DataFrame:
     """Lines of the folder's CSV files, see ``as_lines``.
 
-    ``modified_from`` leaves out files last changed before that time; the
-    reader prunes them from its listing.
+    ``modified_from`` leaves out files last changed before that time, ``names`` all files of other base names; the reader
+    prunes them from its listing, so they are not opened.
     """
     text = (spark.read.option("pathGlobFilter", glob).option("ignoreMissingFiles", "true").text(literal_path(src_dir)))
     if modified_from is not None:
         text = text.filter(F.col("_metadata.file_modification_time") >= F.lit(modified_from).cast("timestamp"))
+    if names is not None:
+        text = text.filter(decoded(F.col("_metadata.file_name")).isin(*names))
     return as_lines(text)

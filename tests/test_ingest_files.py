@@ -246,3 +246,17 @@ def test_staged_tables_are_removed(spark, tmp_path):
     ingest_folder(spark, src, tables, now=NOW).collect()
     assert {n.split("-")[0] for n in set(os.listdir(shared)) - before if not n[:8].isalnum() or "-" not in n} <= {"per"}
     assert not [n for n in set(os.listdir(shared)) - before if n.startswith(("headers", "parsed", "todo"))]
+
+
+def test_only_new_files_are_opened(spark, tmp_path):
+    from telemetra.sources.files import scan_logger_files
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    for k in range(6):
+        _write(src, f"f {k}.csv", ROW + "\n")
+    os.utime(os.path.join(src, "f 3.csv"), (0, 0))  # a late file with an old time
+    lines = scan_logger_files(spark, src, modified_from="1970-01-01 00:00:00", names=["f 3.csv", "f 5.csv"])
+    assert {r.file_name for r in lines.collect()} == {"f 3.csv", "f 5.csv"}
+    plan = lines._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 2

@@ -96,3 +96,32 @@ def test_stored_station_ids_get_their_prefix(spark, tmp_path):
     store.prefix_station_ids()
     assert {r.id for r in store.read("stations").collect()} == {"&" + i for i in before}
 
+
+
+def _scan_metric(df, name):
+    """Sum of a metric over the plan's scans, after running it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply(name).value() for i in range(leaves.size()))
+
+
+def test_a_station_query_skips_row_groups(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.concat(F.lit("&"), F.lpad(F.hex(F.col("id") % 400), 8, "0")).alias("StationID"),
+        F.concat(F.lpad((F.col("id") % 2 + 1).cast("string"), 2, "0"), F.lit("/01/24 10:00")).alias("DateTime"),
+        *[F.col("id").cast("string").alias(c) for c in CANONICAL[2:]])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.setInt("parquet.block.size", 100_000)
+    conf.setInt("parquet.page.size.row.check.min", 10)
+    conf.setInt("parquet.block.size.row.check.min", 10)
+    try:
+        TableStore(spark, str(tmp_path)).append_readings(typed_readings(rows.withColumn("uuid", F.md5(F.col("AT")))))
+    finally:
+        for name in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+            conf.unset(name)
+    stored = TableStore(spark, str(tmp_path)).read("readings")
+    one = stored.filter("StationID = '&0000000A'").select("uuid")
+    assert one.count() == 100
+    assert _scan_metric(one, "numOutputRows") < 10_000 < _scan_metric(stored.select("uuid"), "numOutputRows")
