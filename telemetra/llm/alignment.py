@@ -3,15 +3,16 @@
 Two tokenizers A and B cut the same bytes. Every place where both have a token end closes a group; an A and a B
 token whose byte ranges overlap are linked. Postings are kept per pair of ids:
 
-1. A task encodes its rows, each distinct piece between two blanks once, and writes, per pair and block of ``BLOCK`` consecutive rows, the rows that hold the pair as
-   compressed bitmaps: plane 0 says that a row holds it, plane k >= 1 is bit k - 1 of (links - 1) in that row. A bitmap is
-   a list of 16-bit places, or 8192 bytes where that is shorter.
-2. Bitmaps of one (pair, plane, block) are OR-merged and popcounted: plane 0 gives document counts, plane 0 plus the
-   weighted other planes link counts.
+1. A task encodes its rows, each distinct piece between two blanks once, and writes, per pair and block of ``BLOCK``
+   consecutive rows, compressed bitmaps of the rows that hold the pair: plane k holds the rows whose number of links of
+   the pair has bit k. A bitmap is a list of 16-bit places, or 8192 bytes where that is shorter. The planes OR-merged and
+   popcounted give the documents, each plane popcounted and weighted by 2 ** k the links.
+2. Documents and links of a pair are summed over its blocks.
 3. The postings carry the pair's score back: every row sums the counts of its links, a block at a time.
 
-No pair, however frequent, meets in one task: merging goes by (pair, block), counting by partial sums, and the sums
-of a block are dense arrays of its rows.
+No pair, however frequent, meets in one task: counting goes by partial sums, a pair's postings are joined to its score
+by a sort-merge join whose skewed partitions adaptive execution splits (scores have no size bound, so they are never
+broadcast), and the sums of a block are dense arrays of its rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.llm.staging import stage
@@ -31,9 +32,10 @@ from telemetra.llm.textcols import row_slices
 
 BLOCK_BITS = 16
 BLOCK = 1 << BLOCK_BITS
-LINKS = 3_000_000       # links a task holds before it writes their bitmaps
+LINKS = 2_000_000       # links a task holds before it writes their bitmaps
 LONG_TEXT = 1 << 20     # longer texts are walked in parts of this many characters or a little more
 KNOWN = 6 << 20         # bytes of pieces whose alignment a task remembers
+ENCODED = 1 << 13       # pieces encoded at a time
 B_BITS = 16             # a pair is a * 2 ** B_BITS + b
 
 _BITMAP = BLOCK // 8
@@ -44,10 +46,10 @@ _CUT = re.compile(f"(?<={_PLAIN}) (?={_PLAIN})")
 
 _FOUND = pa.schema([
     ("row", pa.int64()), ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-    ("n_links", pa.int64()), ("groups", pa.string()), ("pair", pa.int64()), ("plane", pa.int32()), ("block", pa.int64()),
-    ("bits", pa.binary())])
-_DDL = ("row long, id long, n_a long, n_b long, n_groups long, n_links long, groups string, pair long, plane int, "
-        "block long, bits binary")
+    ("n_links", pa.int64()), ("groups", pa.string()), ("pair", pa.int64()), ("block", pa.int64()),
+    ("planes", pa.list_(pa.binary())), ("docs", pa.int64())])
+_DDL = ("row long, id long, n_a long, n_b long, n_groups long, n_links long, groups string, pair long, block long, "
+        "planes array<binary>, docs long")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -109,7 +111,10 @@ class Pair:
         return [*out, text[at:]]
 
     def _learn(self, pieces: list[str]) -> None:
-        ids_a = [x.ids for x in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        ids_a = []
+        for at in range(0, len(pieces), ENCODED):  # the library's encodings weigh far more than their ids
+            some = [" " + p for p in pieces[at:at + ENCODED]]
+            ids_a += [x.ids for x in self.a.encode_batch_fast(some, add_special_tokens=False)]
         ids_b = self.b.encode(pieces, num_threads=1)
         bodies = [b" " + p.encode() for p in pieces]
         spelt = self._spell(ids_a, ids_b, bodies)
@@ -208,22 +213,30 @@ def unpack_bits(bits: bytes) -> np.ndarray:
 
 def postings(keys: np.ndarray, links: np.ndarray, block: int):
     """Bitmap rows of one block from distinct ascending keys pair * BLOCK + place and their numbers of links."""
-    pairs, places, more = keys >> BLOCK_BITS, (keys & (BLOCK - 1)).astype("<u2"), links - 1
-    for plane in range(1 + int(more.max()).bit_length()):
-        at = np.arange(len(keys)) if plane == 0 else np.flatnonzero(more >> (plane - 1) & 1)
-        heads = np.flatnonzero(np.append(True, pairs[at][1:] != pairs[at][:-1])) if len(at) else at
-        bounds = np.append(heads, len(at))
-        for k in range(0, len(heads), 1 << 16):
-            part = bounds[k:k + (1 << 16) + 1]
-            if 2 * np.diff(part).max() < _BITMAP:  # place lists alone: the buffer as it is
-                body = np.ascontiguousarray(places[at[part[0]:part[-1]]])
-                bits = pa.Array.from_buffers(pa.binary(), len(part) - 1, [
-                    None, pa.py_buffer((2 * (part - part[0])).astype(np.int32)), pa.py_buffer(body)])
-            else:
-                bits = pa.array([pack_bits(places[at[s:e]]) for s, e in zip(part[:-1], part[1:])], pa.binary())
-            n = len(part) - 1
-            yield _rows(n, pair=pa.array(pairs[at[part[:-1]]]), plane=pa.array(np.full(n, plane, np.int32)),
-                        block=pa.array(np.full(n, block, np.int64)), bits=bits)
+    pairs, places = keys >> BLOCK_BITS, (keys & (BLOCK - 1)).astype("<u2")
+    heads = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    for at in range(0, len(heads), 1 << 16):
+        first = heads[at:at + (1 << 16)]
+        low, high = first[0], heads[at + len(first)] if at + len(first) < len(heads) else len(keys)
+        here, times = places[low:high], links[low:high]
+        pair = np.repeat(np.arange(len(first)), np.diff(np.append(first, high)))  # so many as the OR of its planes has bits
+        depth = np.floor(np.log2(np.maximum.reduceat(times, first - low))).astype(np.int64) + 1
+        starts = np.append(0, np.cumsum(depth))     # planes of each pair
+        # Entries by pair, plane and place: one entry for every set bit.
+        bit = np.arange(int(depth.max()))[:, None]
+        plane, entry = np.nonzero((times >> bit) & 1)
+        slot = starts[pair[entry]] + plane
+        order = np.argsort(slot, kind="stable")
+        body = here[entry[order]]
+        bounds = np.searchsorted(slot[order], np.arange(starts[-1] + 1))
+        if 2 * np.diff(bounds).max() < _BITMAP:     # place lists alone: the buffer as it is
+            bits = pa.Array.from_buffers(pa.binary(), int(starts[-1]), [
+                None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(body))])
+        else:
+            bits = pa.array([pack_bits(body[s:e]) for s, e in zip(bounds[:-1], bounds[1:])], pa.binary())
+        yield _rows(len(first), pair=pa.array(pairs[first]), block=pa.array(np.full(len(first), block, np.int64)),
+                    planes=pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), bits),
+                    docs=pa.array(np.bincount(pair, minlength=len(first))))
 
 
 def _rows(n: int, **given: pa.Array) -> pa.RecordBatch:
@@ -287,48 +300,6 @@ def _scan(a_json, b_model):
     return run
 
 
-def _merge(batches):
-    """OR bitmaps of one (pair, plane, block), which stand in neighbouring rows, and count their bits."""
-    def counted(t: pa.Table) -> pa.RecordBatch:
-        bits = t["bits"].combine_chunks()
-        sizes = np.diff(np.frombuffer(bits.buffers()[1], np.int32)[bits.offset:bits.offset + len(bits) + 1])
-        n = sizes // 2
-        for k in np.flatnonzero(sizes == _BITMAP):
-            n[k] = len(unpack_bits(bits[k].as_py()))
-        return pa.RecordBatch.from_arrays(
-            [*(t[c].combine_chunks() for c in ("pair", "plane", "block", "bits")), pa.array(n, pa.int64())],
-            names=["pair", "plane", "block", "bits", "n"])
-
-    rest = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t
-        key = np.stack([t[c].to_numpy() for c in ("pair", "plane", "block")])
-        bounds = np.append(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))), t.num_rows)
-        rest = t.slice(bounds[-2])  # the next batch may go on with this key
-        if len(bounds) > 2:
-            yield counted(_united(t.slice(0, bounds[-2]), bounds[:-1]))
-    if rest is not None:
-        yield counted(_united(rest, np.array([0, rest.num_rows])))
-
-
-def _united(t: pa.Table, bounds: np.ndarray) -> pa.Table:
-    """One row for each run of rows between ``bounds``."""
-    several = np.flatnonzero(np.diff(bounds) > 1)
-    if not len(several):
-        return t
-    bits = t["bits"].take(pa.array(bounds[:-1])).to_pylist()
-    for k in several:
-        parts = [unpack_bits(x) for x in t["bits"].slice(bounds[k], bounds[k + 1] - bounds[k]).to_pylist()]
-        union = np.zeros(BLOCK, bool)
-        for p in parts:
-            union[p] = True
-        bits[k] = pack_bits(np.flatnonzero(union))
-    return t.take(pa.array(bounds[:-1])).set_column(t.schema.get_field_index("bits"), "bits", pa.array(bits, pa.binary()))
-
-
 def _returned(batches):
     """Sums of a block's rows from its scored bitmaps, which stand behind one another."""
     sums = np.zeros((2, BLOCK), np.int64)
@@ -340,25 +311,26 @@ def _returned(batches):
                                           names=["row", "n_best", "count_sum"])
 
     for batch in batches:
-        cols = (batch.column(c) for c in ("block", "plane", "bits", "n_links", "best"))
-        for k, plane, bits, links, best in zip(*(c.to_pylist() for c in cols)):
+        cols = (batch.column(c) for c in ("block", "planes", "n_links", "best"))
+        for k, planes, links, best in zip(*(c.to_pylist() for c in cols)):
             if k != block:
                 if block is not None:
                     yield rows()
                     sums[:] = 0
                 block = k
-            places = unpack_bits(bits)
-            times = 1 << max(plane - 1, 0)
-            sums[0, places] += times * links
-            if best:
-                sums[1, places] += times
+            for plane, bits in enumerate(planes):
+                places = unpack_bits(bits)
+                sums[0, places] += links << plane
+                if best:
+                    sums[1, places] += 1 << plane
     if block is not None:
         yield rows()
 
 
 def pair_index(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Staged: one row per row of ``docs`` (row, id, n_a, n_b, n_groups, n_links, groups), and the merged bitmaps
-    (pair, plane, block, bits, n). Tokenizer files travel as broadcasts (1 to 2 MB each)."""
+    """Staged: one row per row of ``docs`` (row, id, n_a, n_b, n_groups, n_links, groups), and the inverted bitmaps
+    (pair, block, planes, docs). A block of very long texts may have several rows of a pair, of different texts.
+    Tokenizer files travel as broadcasts (1 to 2 MB each)."""
     context = docs.sparkSession.sparkContext
     with open(a_path, encoding="utf-8") as f, open(b_path, "rb") as g:
         files = context.broadcast(f.read()), context.broadcast(g.read())
@@ -366,19 +338,22 @@ def pair_index(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", te
                          F.col(text).alias("text"))
     found = stage(source.mapInArrow(_scan(*files), _DDL), "alignment")
     # Two streams of one table: rows of texts have no pair, bitmaps have no row.
-    bitmaps = found.filter("pair IS NOT NULL").select("pair", "plane", "block", "bits")
-    merged = (bitmaps.repartition("pair", "block").sortWithinPartitions("pair", "plane", "block")
-              .mapInArrow(_merge, "pair long, plane int, block long, bits binary, n long"))
     return (found.filter("pair IS NULL").select("row", "id", "n_a", "n_b", "n_groups", "n_links", "groups"),
-            stage(merged, "alignment-index"))
+            found.filter("pair IS NOT NULL").select("pair", "block", "planes", "docs"))
+
+
+def bit_count(bits: Column) -> Column:
+    """Rows of one bitmap: a whole block's bits, or two bytes a row."""
+    return F.when(F.octet_length(bits) == _BITMAP, F.bitmap_count(bits)).otherwise(F.octet_length(bits) / 2).cast("long")
 
 
 def pair_counts(index: DataFrame) -> DataFrame:
     """(pair, a, b, n_docs, n_links, best): documents and links of every pair of ids; ``best`` marks the pairs with the
     most links of their B id, ties included."""
-    weighted = F.expr("shiftleft(1L, greatest(plane - 1, 0)) * n")
-    counts = index.groupBy("pair").agg(F.sum(F.when(F.col("plane") == 0, F.col("n"))).alias("n_docs"),
-                                       F.sum(weighted).alias("n_links"))
+    links = F.aggregate(F.transform("planes", lambda p, k: bit_count(p) * F.pow(F.lit(2), k).cast("long")),
+                        F.lit(0).cast("long"), lambda x, y: x + y)
+    counts = index.select("pair", "docs", links.alias("links")).groupBy("pair").agg(
+        F.sum("docs").alias("n_docs"), F.sum("links").alias("n_links"))
     counts = counts.select("pair", F.shiftright("pair", B_BITS).cast("int").alias("a"),
                            F.col("pair").bitwiseAND((1 << B_BITS) - 1).cast("int").alias("b"), "n_docs", "n_links")
     most = counts.groupBy("b").agg(F.max("n_links").alias("most"))
@@ -395,7 +370,8 @@ def cross_alignment(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id
     """
     texts, index = pair_index(docs, a_path, b_path, id, text)
     pairs = stage(pair_counts(index), "alignment-pairs")
-    scored = index.join(pairs.select("pair", "n_links", "best"), "pair").select("block", "plane", "bits", "n_links", "best")
+    scores = pairs.select("pair", "n_links", "best").hint("merge")
+    scored = index.select("pair", "block", "planes").join(scores, "pair").select("block", "planes", "n_links", "best")
     sums = scored.repartition("block").sortWithinPartitions("block").mapInArrow(_returned, "row long, n_best long, count_sum long")
     total = (texts.unionByName(sums, allowMissingColumns=True).groupBy("row").agg(
         *[F.max(c).alias(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links", "groups")],
