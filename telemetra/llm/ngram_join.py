@@ -16,10 +16,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from telemetra.llm.bloom import bloom_filter, bloom_hits
 from telemetra.llm.graph import connected_components
 from telemetra.llm.staging import stage
 from telemetra.llm.textcols import mix, row_slices, shingles, word_hashes
@@ -74,6 +76,17 @@ def _keyed(batches):
                                          names=[*batch.schema.names, *KEY])
 
 
+def _chosen(bloom):
+    """Like ``_keyed``, without the rows whose id and words no class in the filter has."""
+    def run(batches):
+        bits = np.frombuffer(bloom.value, np.uint64)
+        for batch in _keyed(batches):
+            batch = batch.filter(pc.is_valid(batch.column("k1")))
+            key = batch.column("k1").to_numpy() ^ batch.column("id").to_numpy()
+            yield batch.filter(pa.array(bloom_hits(bits, key.view(np.uint64))))
+    return run
+
+
 def _signatures(n: int, bands: int, rows: int):
     def run(batches):
         for batch in row_slices(batches):
@@ -202,8 +215,10 @@ def linked_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int
         F.ceil(F.count("*") / TILE_DOCS), F.ceil(F.sum("n_words") / TILE_GRAMS)).cast("int").alias("parts"))
     listed = groups.join(size, "component").withColumnRenamed("low_id", "id")
     # Several texts may share the class's smallest id, so the words are compared too; any row that agrees will do.
+    # Only the texts of these rows travel: a filter of fixed size over id and words keeps the others back.
+    chosen = docs.sparkSession.sparkContext.broadcast(bloom_filter(listed.select(F.col("k1").bitwiseXOR(F.col("id")).alias("key"))))
     sets = source.filter("id is not null").mapInArrow(
-        _keyed, "id long, text string, k1 long, k2 long, n_words long").filter("n_words is not null")
+        _chosen(chosen), "id long, text string, k1 long, k2 long, n_words long")
     sets = sets.join(listed, ["id", *KEY]).drop("id", *KEY).mapInArrow(
         _gram_sets(n), "class long, copies long, sig array<long>, component long, parts int, grams binary")
     sets = stage(sets, "ngram-sets").dropDuplicates(["class"])

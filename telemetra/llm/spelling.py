@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemetra.llm.bloom import bloom_filter, bloom_hits
 from telemetra.llm.staging import stage
 from telemetra.llm.textcols import row_slices
 
@@ -30,7 +31,6 @@ RATIO = 5
 DELETE_EVERY = 199
 HELD = 1 << 24          # characters of distinct words a task holds before it hands its counts on
 SYMBOLS = (4, 26)       # least and largest size of the reduced alphabet
-BLOOM_BITS = 26         # the filter has 2 ** 26 bits (8 MB)
 LETTERS = 1 << 18       # letters of reduced words expanded at a time
 
 _RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LENGTH},}}")
@@ -148,34 +148,6 @@ def _reduce(symbols: int):
     return run
 
 
-def bloom_slots(key):
-    """The two bits of a key: (64-bit slot, bit) each."""
-    mask = np.uint64((1 << BLOOM_BITS) - 1)
-    for shift in (0, 32):
-        bit = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(shift) & mask
-        yield (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
-
-
-def _bloom_rows(batches):
-    bits = np.zeros(1 << (BLOOM_BITS - 6), np.uint64)
-    for batch in batches:
-        for slot, bit in bloom_slots(batch.column("key").to_numpy().view(np.uint64)):
-            np.bitwise_or.at(bits, slot, np.uint64(1) << bit)
-    slot = np.flatnonzero(bits)
-    for at in range(0, len(slot), 1 << 16):
-        part = slot[at:at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(bits[part].view(np.int64))], names=["slot", "bits"])
-
-
-def bloom_filter(forms: DataFrame) -> bytes:
-    """A Bloom filter over the keys of ``forms``: at most 2 ** BLOOM_BITS / 8 bytes, however many there are."""
-    merged = forms.select("key").mapInArrow(_bloom_rows, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
-    table = merged.toArrow()
-    bits = np.zeros(1 << (BLOOM_BITS - 6), np.uint64)
-    bits[table["slot"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return bits.tobytes()
-
-
 def _neighbours(symbols: int, bloom):
     table = symbol_table(symbols)
 
@@ -184,9 +156,7 @@ def _neighbours(symbols: int, bloom):
         for batch in row_slices(batches, "word", LETTERS):
             reduced = Reduced(batch.column("word"), table)
             for word, key in reduced.neighbourhood(symbols):
-                hit = np.ones(len(key), bool)
-                for slot, bit in bloom_slots(key):
-                    hit &= (bits[slot] >> bit & np.uint64(1)).astype(bool)
+                hit = bloom_hits(bits, key)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[hit].view(np.int64)), pa.array(reduced.key[word[hit]].view(np.int64))],
                     names=["near_key", "key"])
