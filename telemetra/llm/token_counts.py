@@ -36,7 +36,7 @@ HEAD = 1 << 18
 HEAD_BYTES = 48
 HELD = 24 << 20     # bytes of distinct chunks or pre-tokens that a task holds, with ENTRY more for each
 ENTRY = 120
-PART = 1 << 20      # bytes of a long text that are split at a time
+PART = 1 << 21      # bytes of a long text that are split at a time
 ROWS = 1 << 15      # entries handed on at a time
 SPECIAL = b"<|endoftext|>"
 
@@ -45,6 +45,7 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _SPLIT = regex.compile(PATTERN)
 _BESIDE = regex.compile(r" \p{White_Space}|\p{White_Space} ")
+_SIGNS = (b".", b",", b";", b":", b"!", b"?")
 _OTHER = re.compile("[^\x00-\u024f]")
 _CUT = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 
@@ -57,6 +58,12 @@ class Splitter:
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
 
     def pre_tokens(self, chunk: bytes) -> list[bytes]:
+        # The common chunks need no pattern: ASCII letters behind a blank or not, and one sign behind them.
+        word = chunk[1:] if chunk[:1] == b" " else chunk
+        if word.isalpha():
+            return [chunk]
+        if word[-1:] in _SIGNS and word[:-1].isalpha():
+            return [chunk[:-1], chunk[-1:]]
         if chunk.isascii():
             return [p.encode() for p in _SPLIT.findall(chunk.decode())]
         text = chunk.decode()
@@ -90,11 +97,12 @@ def _frequencies(batches):
 
     def rows():
         # Entries leave one table before they enter the next, so the two together stay within the bound.
-        total: Counter = Counter()
+        total: dict[bytes, int] = {}
+        pre_tokens, take = split.pre_tokens, counts.popitem
         while counts:
-            chunk, n = counts.popitem()
-            for p in split.pre_tokens(chunk):
-                total[p] += n
+            chunk, n = take()
+            for p in pre_tokens(chunk):
+                total[p] = total.get(p, 0) + n
         while total:
             some = [total.popitem() for _ in range(min(ROWS, len(total)))]
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())],
@@ -165,7 +173,8 @@ def _resolve(head):
         table = pa.ipc.open_stream(head.value).read_all()
         known = dict(zip(table["pre"].to_pylist(), table["pieces"].to_pylist()))
         del table
-        memo: dict[bytes, int | tuple] = {}
+        memo: dict[bytes, int | tuple] = {}     # the young generation of chunks, and the one before
+        old: dict[bytes, int | tuple] = {}
         held = 0
 
         def look(chunk):
@@ -180,14 +189,14 @@ def _resolve(head):
         for batch in row_slices(batches, limit=PART):
             totals, rare, sizes = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
-                total, tail = 0, Counter()
+                total, tail, folded = 0, [], Counter()
                 for part in text_parts(text or b""):
                     parts, special = split.chunks(part)
                     total += special
                     for chunk in parts:
                         got = memo.get(chunk)
                         if got is None:
-                            got = look(chunk)
+                            got = old.get(chunk) or look(chunk)
                             if len(chunk) < 256:  # a longer one hardly comes twice
                                 memo[chunk] = got
                                 held += ENTRY + len(chunk)
@@ -195,13 +204,16 @@ def _resolve(head):
                             total += got
                         else:
                             total += got[0]
-                            tail.update(got[1])
-                    if held > HELD:
-                        memo.clear()
-                        held = 0
+                            tail += got[1]
+                    if held > HELD // 2:
+                        memo, old, held = {}, memo, 0
+                    if len(tail) > ROWS:
+                        folded.update(tail)
+                        tail = []
+                folded.update(tail)
                 totals.append(total)
                 sizes.append(len(text or b""))
-                rare.append([{"pre": p, "n": n} for p, n in tail.items()])
+                rare.append([{"pre": p, "n": n} for p, n in folded.items()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()),
                  pa.array(rare, pa.list_(pa.struct([("pre", pa.binary()), ("n", pa.int64())])))],
