@@ -45,6 +45,6 @@ def test_run_packs_what_was_kept(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = set(queries.QUERIES)
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 14))
     assert "pipeline" in names and set(queries.ORACLE) <= names
     assert "corpus_pipeline" in sys.modules
