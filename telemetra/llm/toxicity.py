@@ -1,13 +1,16 @@
 """Toxicity by weak supervision.
 
-1. A bounded sample of labelled rows (``SAMPLE_ROWS`` per class, chosen by a hash of the id; rows whose
-   crc32(id) mod 5 is 0 are never looked up) is turned into word and word-prefix features, one text per group of
-   near copies. Features whose frequency differs significantly between the classes stay.
-2. Many voters look at a text: stated word lists, mined words and stems, and patterns of shouting. Each says toxic,
+1. Two bounded samples are read: labelled rows (``SAMPLE_ROWS`` per class; rows whose crc32(id) mod 5 is 0 are never
+   looked up) and rows of the whole table (``SAMPLE_TEXTS``, whose labels are not looked at), both chosen by a hash of
+   the id. They become word and word-prefix features, one text per group of near copies. Features whose frequency
+   differs significantly between the labelled classes stay.
+2. Many voters look at a text: stated word lists, precise mined words and stems, and patterns of shouting. Each says toxic,
    clean or nothing.
-3. A generative label model (expectation maximisation over the hidden class) estimates each voter's accuracy and the
-   correlations left inside a class; correlated voters share their weight. The human label is one more voter.
-4. A logistic model over the features is fitted to the posterior labels and scores every whole text in one pass.
+3. A generative label model (expectation maximisation over the hidden class) estimates each voter's accuracy, the share
+   of toxic texts and the correlations left inside a class from the votes on both samples. Correlated voters share their
+   weight. The labels are no voter: they only name the classes, by the vote tables that the first step starts from.
+4. A logistic model over the features is fitted to the posteriors of both samples and scores every whole text in one
+   pass.
 
 Scores depend on nothing but the text.
 """
@@ -23,11 +26,13 @@ from telemetra.llm.staging import stage
 from telemetra.llm.textcols import hash_word, row_slices, shingles, text_bytes, word_hashes
 
 SAMPLE_ROWS = 6000   # labelled rows per class in the fit
+SAMPLE_TEXTS = 8000  # rows of the whole table in the fit
 FEATURES = 4096      # most features kept
 STEMS = (4, 5)       # bytes of a word prefix
 MIN_Z = 3.5          # least significance of a feature
-VOTERS = 48          # mined voters
-GOLD = 0.99          # accuracy granted to the human label
+VOTERS = 96          # mined voters
+PRECISION = 0.9      # least share of toxic rows among the labelled rows that a mined voter marks
+OVERLAP = 0.5        # most Jaccard similarity of the rows two mined voters mark
 TOXIC = 0.5          # least score predicted toxic
 
 # Stated word lists, one voter each.
@@ -83,17 +88,22 @@ def held_out(id):
     return F.crc32(id.cast("string").cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(id, toxic, low, upper, bangs, features) of at most ``rows`` labelled rows per class, copies once."""
+def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """(id, toxic, low, upper, bangs, features) of at most ``rows`` labelled rows per class and ``texts`` rows of the
+    whole table, whose ``toxic`` is null; copies once, and one text of an id, however many rows have it."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [known.filter(F.col("toxic") == c).orderBy(*order).limit(rows) for c in (0, 1)]
-    chosen = picked[0].union(picked[1]).select(F.col("doc_id").alias("id"), "toxic")
+    anyone = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    anyone = anyone.orderBy(*order).limit(texts).withColumn("toxic", F.lit(None).cast("int"))
+    chosen = picked[0].union(picked[1]).union(anyone).groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     seen = source.join(F.broadcast(chosen), "id").select("id", "toxic", "text").mapInArrow(
         _describe, "id long, toxic int, low long, upper double, bangs double, features array<long>")
-    return stage(seen, "toxicity-sample").dropDuplicates(["low", "toxic"])
+    values = ["low", "toxic", "upper", "bangs", "features"]
+    once = stage(seen, "toxicity-sample").groupBy("id").agg(F.min(F.struct(*values)).alias("v")).select("id", "v.*")
+    return stage(once.dropDuplicates(["low", "toxic"]), "toxicity-fit")
 
 
 def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[int, float]]:
@@ -107,37 +117,61 @@ def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple
     return [(r["h"], r["z"]) for r in best.select("h", "z").collect()]
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def mine_voters(has: np.ndarray, toxic: np.ndarray, ranked: list[int]) -> list[int]:
+    """The first ``VOTERS`` of the ``ranked`` columns that are precise on the labelled rows and mark other rows than
+    those before them, so that a few words with many stems do not take all places."""
+    picked, marks = [], []
+    for column in ranked:
+        mark = has[:, column]
+        if ((mark & toxic).sum() + 0.5) / (mark.sum() + 1) < PRECISION:
+            continue
+        if any((mark & other).sum() > OVERLAP * (mark | other).sum() for other in marks):
+            continue
+        picked.append(column)
+        marks.append(mark)
+        if len(picked) == VOTERS:
+            break
+    return picked
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of class 1 for every row of ``votes`` (-1 none, 0 clean, 1 toxic), and the voters' weights.
 
-    Class-conditional tables P(vote | class) and the class share are estimated by EM. The labels start the posterior
-    and stay as one voter of accuracy ``GOLD``, so that voters which agree by chance cannot drift away from them. A voter's weight is 1 / (1 + sum of its positive
-    correlations inside the classes), so a group of voters that repeat each other counts about once.
+    Class-conditional tables P(vote | class) and the class share are estimated by EM over all rows. ``gold`` (-1 not
+    known) is used once, for the tables that EM starts from; it is not seen again. A voter's weight is
+    1 / (1 + sum of its positive correlations inside the classes), so voters that repeat each other count about once.
     """
-    votes = np.column_stack([votes, gold])
-    post = np.clip(gold.astype(float), 0.02, 0.98)
     said = np.stack([votes == v for v in (-1, 0, 1)]).astype(float)  # vote x row x voter
-    weight = np.ones(votes.shape[1])
-    for _ in range(rounds):
-        table = np.stack([(said * p[None, :, None]).sum(1) + 0.5 for p in (1 - post, post)])  # class x vote x voter
-        table /= table.sum(1, keepdims=True)
-        table[:, 1:, -1] = [[GOLD, 1 - GOLD], [1 - GOLD, GOLD]]
+    known = gold >= 0
+
+    def tables(rows, post):
+        table = np.stack([(said[:, rows] * p[None, :, None]).sum(1) + 0.5 for p in (1 - post, post)])
+        return table / table.sum(1, keepdims=True)  # class x vote x voter
+
+    def posterior(table, share, weight):
+        ratio = np.log(table[1]) - np.log(table[0])
+        logit = np.log(share / (1 - share)) + (said * (ratio * weight)[:, None, :]).sum((0, 2))
+        return np.clip(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 1e-6, 1 - 1e-6)
+
+    def shared(table, post):
         expected = (1 - post)[:, None] * table[0, 2] + post[:, None] * table[1, 2]
         residual = said[2] - expected
         scale = np.sqrt((residual ** 2).mean(0)) + 1e-9
         correlation = (residual.T @ residual) / len(post) / np.outer(scale, scale)
         np.fill_diagonal(correlation, 0)
-        weight = 1 / (1 + np.where(correlation > 0.1, correlation, 0).sum(1))
-        weight[-1] = 1
-        ratio = np.log(table[1]) - np.log(table[0])  # vote x voter
-        prior = np.log(post.mean() / (1 - post.mean()))
-        logit = prior + (said * (ratio * weight)[:, None, :]).sum((0, 2))
-        new = np.clip(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 1e-6, 1 - 1e-6)
+        return 1 / (1 + np.where(correlation > 0.1, correlation, 0).sum(1))
+
+    table, share, weight = tables(known, gold[known].astype(float)), gold[known].mean(), np.ones(votes.shape[1])
+    post = posterior(table, share, weight)
+    for _ in range(rounds):
+        table, share = tables(slice(None), post), post.mean()
+        weight = shared(table, post)
+        new = posterior(table, share, weight)
         done = np.abs(new - post).max() < 1e-4
         post = new
         if done:
             break
-    return post, weight[:-1]
+    return post, weight
 
 
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, target: np.ndarray, width: int,
@@ -158,33 +192,34 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, target:
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Voters, label model and classifier: a dictionary of small arrays (at most ``FEATURES`` weights)."""
-    sample = labelled_sample(docs, labels)
+    sample = fit_sample(docs, labels)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     empty = {"hashes": np.empty(0, np.uint64), "weights": np.empty(0), "dense": np.zeros(2), "bias": -3.0}
     if not sizes.get(1) or not sizes.get(0):
         return empty
-    chosen = select_features(sample, sizes[1], sizes[0])
+    chosen = select_features(sample.filter("toxic is not null"), sizes[1], sizes[0])
     stated = {name: [np.uint64(hash_word(w)) for w in words] for name, words in LEXICON.items()}
     hashes = np.unique(np.concatenate([np.array([h for h, _ in chosen], np.int64).view(np.uint64),
                                        np.array([h for words in stated.values() for h in words], np.uint64)]))
     wanted = F.array(*[F.lit(int(h)) for h in hashes.view(np.int64)])
-    rows = sample.select("id", "toxic", "upper", "bangs", F.array_intersect("features", wanted).alias("hits")) \
-        .orderBy("id").collect()
-    gold = np.array([r["toxic"] for r in rows])
-    dense = np.array([(r["upper"], r["bangs"]) for r in rows])
-    at = np.repeat(np.arange(len(rows)), [len(r["hits"]) for r in rows])
-    cols = np.searchsorted(hashes, np.array([h for r in rows for h in r["hits"]], np.int64).view(np.uint64))
-
-    has = np.zeros((len(rows), len(hashes)), bool)
+    rows = sample.select(F.coalesce("toxic", F.lit(-1)).alias("toxic"), "upper", "bangs",
+                         F.array_intersect("features", wanted).alias("hits"), "id", "low") \
+        .orderBy("id", "low", "toxic").toArrow().combine_chunks()
+    gold = rows.column("toxic").to_numpy()
+    dense = np.stack([rows.column(c).to_numpy() for c in ("upper", "bangs")], 1)
+    lists = rows.column("hits").combine_chunks()
+    at = np.repeat(np.arange(len(gold)), lists.value_lengths().to_numpy())
+    cols = np.searchsorted(hashes, lists.flatten().to_numpy().view(np.uint64))
+
+    has = np.zeros((len(gold), len(hashes)), bool)
     has[at, cols] = True
     column = {int(h): i for i, h in enumerate(hashes)}
     votes = [np.where(has[:, [column[int(h)] for h in words]].any(1), 1, -1) for words in stated.values()]
-    toxic = [h for h, z in chosen if z > 0][:VOTERS]
+    mined = mine_voters(has[gold >= 0], gold[gold >= 0] == 1, [column[int(np.int64(h).view(np.uint64))] for h, z in chosen if z > 0])
     clean = [h for h, z in chosen if z < 0][:VOTERS // 4]
-    mined = [column[int(np.int64(h).view(np.uint64))] for h in toxic]
     votes += [np.where(has[:, i], 1, -1) for i in mined]
     votes += [np.where(has[:, column[int(np.int64(h).view(np.uint64))]], 0, -1) for h in clean]
-    votes.append(np.where(has[:, mined].any(1), -1, 0) if mined else np.full(len(rows), -1))
+    votes.append(np.where(has[:, mined].any(1), -1, 0) if mined else np.full(len(gold), -1))
     votes += [np.where(dense[:, 0] > 0.6, 1, -1), np.where(dense[:, 1] > 2, 1, -1)]
     posterior, _ = label_model(np.column_stack(votes), gold)
     bias, weights, extra = fit_logistic(at, cols, dense, posterior, len(hashes))

@@ -211,6 +211,41 @@ def test_toxicity_on_held_out_rows(spark):
     assert hits >= 0.95 * sum(r.predicted for r in rows) and hits >= 0.8 * sum(r.toxic for r in rows)
 
 
+def test_label_model_learns_from_votes_without_labels():
+    rng = np.random.default_rng(5)
+    truth = rng.random(6000) < 0.15
+    marks = [np.where(rng.random(6000) < np.where(truth, hit, miss), 1, -1)
+             for hit, miss in ((0.7, 0.02), (0.6, 0.02), (0.5, 0.03), (0.6, 0.01))]
+    marks += [marks[0]] * 3  # one voter that repeats another
+    marks.append(np.where(rng.random(6000) < 0.05, 1, -1))  # one that knows nothing
+    gold = np.full(6000, -1)
+    gold[:300] = truth[:300]
+    votes = np.column_stack(marks)
+    posterior, weight = toxicity.label_model(votes, gold)
+    assert ((posterior >= 0.5) == truth).mean() > 0.95
+    assert weight[0] < 0.3 and weight[1] > 0.7
+    # The labels only name the classes: a wrong one on a row does not move that row.
+    wrong = gold.copy()
+    wrong[:3] = 1 - wrong[:3]
+    again, _ = toxicity.label_model(votes, wrong)
+    assert np.abs(again - posterior).max() < 0.05
+
+
+def test_mined_voters_are_precise_and_different():
+    toxic = np.arange(200) < 40
+    first, other = np.arange(200) < 20, (np.arange(200) >= 20) & (np.arange(200) < 38)
+    nearly, vague = np.arange(200) < 19, np.arange(200) % 2 == 0
+    assert toxicity.mine_voters(np.column_stack([first, nearly, vague, other]), toxic, [0, 1, 2, 3]) == [0, 3]
+
+
+def test_fit_sample_is_bounded_for_one_hot_id(spark):
+    docs = spark.createDataFrame([(1 if i % 2 else i, f"text number {i} of all") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in (1, 2, 4)], "doc_id long, toxic int")
+    rows = toxicity.fit_sample(docs, labels, rows=5, texts=10).collect()
+    assert 10 <= len(rows) <= 13 and len({r.id for r in rows}) == len(rows)
+    assert {r.id: r.toxic for r in rows if r.toxic is not None} == {1: 1, 2: 0, 4: 0}
+
+
 def test_every_row_goes_by_its_own_score(spark):
     words = ["fine day", "you idiot"]
     rows = [(i, f"{words[i % 2]} number{i}", i) for i in range(200)]
