@@ -7,6 +7,9 @@
 3. Classes tied by buckets form a candidate group. Its n-gram sets meet in tiles of bounded size; inside a tile the
    pairs that share a band are verified on the full sets, counted, and reduced to a spanning forest. Pairs are never
    written out, so thousands of near copies cost rows in proportion to the texts, not to the pairs.
+   A group of more tiles a side than there are bands (a chain of buckets) would compare mostly texts that share none, so
+   its texts meet bucket by bucket instead, and a pair counts in the first band it shares. So a text travels as often as
+   there are bands, or as its buckets have tiles, however long the chain is.
 4. Components over the verified links give the class ids.
 """
 
@@ -109,8 +112,8 @@ def _gram_sets(n: int):
             grams, offsets = shingles(*word_hashes(batch.column("text")), n)
             sets = [np.unique(grams[offsets[i]:offsets[i + 1]]).tobytes() for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("class", "copies", "sig", "component", "parts")] + [pa.array(sets, pa.binary())],
-                names=["class", "copies", "sig", "component", "parts", "grams"])
+                [batch.column(c) for c in ("class", "n_words", "copies", "sig", "component", "parts")] + [pa.array(sets, pa.binary())],
+                names=["class", "n_words", "copies", "sig", "component", "parts", "grams"])
     return run
 
 
@@ -157,10 +160,12 @@ def _verify(threshold: float):
         sig = np.array(table.column("sig").to_pylist())
         sets = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         sizes = np.array([len(s) for s in sets])
-        i, j = key[1].as_py(), key[2].as_py()
+        band, i, j = (key[c].as_py() for c in (1, 2, 3))
         likely = np.zeros((len(rep), len(rep)), bool)
-        for b in range(sig.shape[1]):
+        for b in range(sig.shape[1] if band < 0 else band):
             likely |= sig[:, b, None] == sig[None, :, b]
+        if band >= 0:  # a tile of one bucket: pairs with an earlier band in common met there
+            likely = ~likely
         likely &= np.minimum.outer(sizes, sizes) >= threshold * np.maximum.outer(sizes, sizes) - 1e-9
         if i != j:
             likely &= side[:, None] != side[None, :]
@@ -178,6 +183,28 @@ def _verify(threshold: float):
     return run
 
 
+def tiled(sets: DataFrame, bands: int) -> DataFrame:
+    """The classes of ``sets`` (repeated rows once) once for every tile they belong to: (at, band, i, j) names the tile, of a group as long as it has
+    at most ``bands`` parts (band -1), of a bucket of band ``band`` in longer groups."""
+    small, long = (sets.filter(which).dropDuplicates(["class"]) for which in (F.col("parts") <= bands, F.col("parts") > bands))
+    small = small.select("*", F.col("component").alias("at"), F.lit(-1).alias("band")).drop("component")
+    # The buckets are measured without the n-gram sets.
+    placed = long.select("n_words", F.posexplode("sig").alias("band", "at"))
+    size = placed.groupBy("band", "at").agg(F.count("*").alias("n"), tile_sides("n_words").alias("parts"))
+    size = size.filter("n > 1").drop("n")
+    long = long.drop("component", "parts").select("*", F.posexplode("sig").alias("band", "at")).join(size, ["band", "at"])
+    both = small.unionByName(long)
+    side = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    tiles = both.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return tiles.select("at", "band", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                        "class", "copies", "side", "sig", "grams")
+
+
+def tile_sides(words: str):
+    """Aggregate: into how many parts texts of so many words are dealt, so that a tile is bounded."""
+    return F.greatest(F.ceil(F.count("*") / TILE_DOCS), F.ceil(F.sum(words) / TILE_GRAMS)).cast("int")
+
+
 def _numbered(classes: DataFrame) -> DataFrame:
     """``classes`` with a column ``class``, counted from 0 without gaps. Its column ``n`` holds staged values of
     ``monotonically_increasing_id``: task number and place in the task. So the driver sees one count a task."""
@@ -211,22 +238,17 @@ def linked_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int
     groups = stage(connected_components(edges).withColumnRenamed("id", "class").join(classes, "class")
                    .select("class", "component", *KEY, "low_id", "copies", "sig"), "ngram-groups")
 
-    size = groups.groupBy("component").agg(F.greatest(
-        F.ceil(F.count("*") / TILE_DOCS), F.ceil(F.sum("n_words") / TILE_GRAMS)).cast("int").alias("parts"))
+    size = groups.groupBy("component").agg(tile_sides("n_words").alias("parts"))
     listed = groups.join(size, "component").withColumnRenamed("low_id", "id")
     # Several texts may share the class's smallest id, so the words are compared too; any row that agrees will do.
     # Only the texts of these rows travel: a filter of fixed size over id and words keeps the others back.
     chosen = docs.sparkSession.sparkContext.broadcast(bloom_filter(listed.select(F.col("k1").bitwiseXOR(F.col("id")).alias("key"))))
     sets = source.filter("id is not null").mapInArrow(
         _chosen(chosen), "id long, text string, k1 long, k2 long, n_words long")
-    sets = sets.join(listed, ["id", *KEY]).drop("id", *KEY).mapInArrow(
-        _gram_sets(n), "class long, copies long, sig array<long>, component long, parts int, grams binary")
-    sets = stage(sets, "ngram-sets").dropDuplicates(["class"])
-    side = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    tiles = sets.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tiles = tiles.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                         "class", "copies", "side", "sig", "grams")
-    found = stage(tiles.groupBy("component", "i", "j").applyInArrow(
+    sets = sets.join(listed, ["id", *KEY]).drop("id", "k1", "k2").mapInArrow(
+        _gram_sets(n), "class long, n_words long, copies long, sig array<long>, component long, parts int, grams binary")
+    sets = stage(sets, "ngram-sets")
+    found = stage(tiled(sets, bands).groupBy("at", "band", "i", "j").applyInArrow(
         _verify(threshold), "a long, b long, links long"), "ngram-links")
 
     linked = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))

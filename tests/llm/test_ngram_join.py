@@ -60,6 +60,26 @@ def test_equals_brute_force(spark, monkeypatch, tile):
     assert got == brute(rows)
 
 
+def test_long_chain_meets_bucket_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(nj, "TILE_DOCS", 3)
+    words = [f"w{k}" for k in range(260)]
+    rows = [(k, " ".join(words[2 * k:2 * k + 60])) for k in range(90)]  # neighbours are near, ends share nothing
+    rows += [(100 + k, " ".join(words[:60] + [f"tail{k}"])) for k in range(12)] + corpus_rows(200)
+    seen = []
+    tiled = nj.tiled
+    monkeypatch.setattr(nj, "tiled", lambda sets, bands: seen.append(tiled(sets, bands)) or seen[-1])
+    got = {r.doc_id: (r.class_id, r.n_links) for r in nj.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    kinds = {r["band"] for r in seen[0].select("band").distinct().collect()}
+    assert -1 in kinds and len(kinds) > 10
+    # A text is in at most three tiles of a bucket side here, never in as many as its chain has parts in every band.
+    assert seen[0].filter("band >= 0").groupBy("class", "band").count().agg({"count": "max"}).first()[0] <= 8
+
+
+def corpus_rows(first):
+    return [(first + i, t) for i, t in corpus()]
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")
