@@ -12,6 +12,8 @@ from __future__ import annotations
 import datetime as _dt
 import uuid as _uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from telemetra.operators import audit as audit_ops
 from telemetra.operators.parse import clean_lines, failed_record_json, file_headers, parse_lines, readings_from
 from telemetra.operators.store import AUDIT, FAILURES, QUARANTINE, TableStore, typed_columns, unprocessed_files
 from telemetra.session import remove_path, scratch_path
-from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, hidden_logger_files, list_logger_files,
-                                     scan_logger_files)
+from telemetra.sources.files import (CSV_GLOB, HIDDEN_FILE_ERROR, UNREAD_FILE_ERROR, hidden_logger_files,
+                                     list_logger_files, partly_read_files, scan_logger_files, unreadable_files)
 from telemetra.sources.records import records
 
 EMPTY_FILE_ERROR = "no columns to parse from file"
@@ -98,6 +100,27 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: TableStore, *, mo
     return results
 
 
+def _readable_records(spark: SparkSession, src_dir: str, glob: str, todo: DataFrame, oldest: str,
+                      names: list[str] | None, stages: Stages) -> tuple[DataFrame, set[str]]:
+    """Records of the new files, and the base names of those that could not be read.
+
+    A scan that fails is repeated without the files that it failed for; files are looked at one by one only then. An
+    error that is no file's own, or the trouble of more than ``MAX_NAMES`` files, is raised.
+    """
+    bad: set[str] = set()
+    while True:
+        scanned = scan_logger_files(spark, src_dir, glob, oldest, names, bad)
+        wanted = scanned.join(todo.select("file_path"), "file_path", "left_semi")
+        try:
+            return records(wanted, stages.write), bad
+        except (Py4JJavaError, PySparkException) as error:
+            cut = partly_read_files(spark, src_dir, todo, glob, oldest, names, bad)
+            found = unreadable_files(error, cut, MAX_NAMES + 1) - bad
+            if not found or len(bad | found) > MAX_NAMES:
+                raise
+            bad |= found
+
+
 def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: str = "strict",
                   run_id: str | None = None, now: _dt.datetime | None = None, glob: str = CSV_GLOB) -> DataFrame:
     """Ingest every CSV file of ``src_dir`` not yet in the ledger; returns the run summary.
@@ -106,22 +129,25 @@ def ingest_folder(spark: SparkSession, src_dir: str, table_dir: str, *, mode: st
     read once. Of up to ``MAX_NAMES`` new files the reader opens these alone;
     of more, all files not older than the oldest new one, and lines of files
     that are not new are dropped at the scan. A quoted cell may hold line breaks. A file whose name hides
-    it from the reader is reported as an error.
+    it from the reader is reported as an error; so is a file that cannot be read to its end, of which nothing is kept
+    and which the next run tries again.
     """
     store = TableStore(spark, table_dir)
     stages = Stages(spark)
     files = list_logger_files(spark, src_dir, glob)
-    todo = stages.write(unprocessed_files(files, store.ledger()).select("file_path", "file_name", "modified"), "todo")
+    todo = stages.write(unprocessed_files(files, store.ledger()).select("file_path", "file_name", "modified", "size"), "todo")
     oldest = todo.agg(F.min("modified").cast("string")).first()[0]
     hidden = spark.createDataFrame([(n, n) for n in hidden_logger_files(spark, src_dir)], "file_path string, file_name string")
     per_file = _error_rows(hidden, HIDDEN_FILE_ERROR).select(*AUDIT_COLUMNS)
     if oldest is not None:
         named = [r[0] for r in todo.select("file_name").limit(MAX_NAMES + 1).collect()]
-        scanned = scan_logger_files(spark, src_dir, glob, oldest, named if len(named) <= MAX_NAMES else None)
-        wanted = scanned.join(todo.select("file_path"), "file_path", "left_semi")
-        lines = records(wanted, stages.write)
+        lines, bad = _readable_records(spark, src_dir, glob, todo, oldest, named if len(named) <= MAX_NAMES else None, stages)
+        unread = F.col("file_name").isin(*sorted(bad))
+        cut_off = spark.createDataFrame(todo.filter(unread).select("file_path", "file_name").collect(),
+                                        "file_path string, file_name string")  # at most MAX_NAMES, needed after the stages
+        per_file = per_file.unionByName(_error_rows(cut_off, UNREAD_FILE_ERROR).select(*AUDIT_COLUMNS))
         per_file = per_file.unionByName(ingest_lines(
-            spark, lines, store, mode=mode, run_id=run_id, now=now, candidates=todo).select(*AUDIT_COLUMNS))
+            spark, lines, store, mode=mode, run_id=run_id, now=now, candidates=todo.filter(~unread)).select(*AUDIT_COLUMNS))
     stages.clear()
     return audit_ops.run_summary(per_file)
 

@@ -6,6 +6,10 @@ Folders are read as folders, never as a list of paths, so no character of a file
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from telemetra.functions.text import clean_bytes
 
 CSV_GLOB = "*.[cC][sS][vV]"
 HIDDEN_FILE_ERROR = "name starts with _ or . and is hidden from the reader"
+UNREAD_FILE_ERROR = "file could not be read"
+BOM_BYTES = 3
 
 
 def decoded(uri: Column) -> Column:
@@ -63,16 +69,62 @@ def as_lines(text: DataFrame) -> DataFrame:
         clean_bytes(F.col("value")).alias("line"))
 
 
-def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None,
-                      names: list[str] | None = None) -> DataFrame:
-    """Lines of the folder's CSV files, see ``as_lines``.
-
-    ``modified_from`` leaves out files last changed before that time, ``names`` all files of other base names; the reader
-    prunes them from its listing, so they are not opened.
-    """
-    text = (spark.read.option("pathGlobFilter", glob).option("ignoreMissingFiles", "true").text(literal_path(src_dir)))
+def _text(spark: SparkSession, src_dir: str, glob: str, modified_from: str | None, names: list[str] | None,
+          without: set[str], **options: str) -> DataFrame:
+    """Text scan of the folder's CSV files; the reader prunes files by these filters from its listing."""
+    text = (spark.read.options(pathGlobFilter=glob, ignoreMissingFiles="true", **options).text(literal_path(src_dir)))
     if modified_from is not None:
         text = text.filter(F.col("_metadata.file_modification_time") >= F.lit(modified_from).cast("timestamp"))
     if names is not None:
         text = text.filter(decoded(F.col("_metadata.file_name")).isin(*names))
-    return as_lines(text)
+    if without:
+        text = text.filter(~decoded(F.col("_metadata.file_name")).isin(*sorted(without)))
+    return text
+
+
+def scan_logger_files(spark: SparkSession, src_dir: str, glob: str = CSV_GLOB, modified_from: str | None = None,
+                      names: list[str] | None = None, without: set[str] = frozenset()) -> DataFrame:
+    """Lines of the folder's CSV files, see ``as_lines``.
+
+    ``modified_from`` leaves out files last changed before that time, ``names`` all files of other base names,
+    ``without`` the files of these base names; they are not opened.
+    """
+    return as_lines(_text(spark, src_dir, glob, modified_from, names, without))
+
+
+def partly_read_files(spark: SparkSession, src_dir: str, files: DataFrame, glob: str = CSV_GLOB,
+                      modified_from: str | None = None, names: list[str] | None = None,
+                      without: set[str] = frozenset()) -> DataFrame:
+    """Base names of those of ``files`` (file_path, file_name, size) that give fewer bytes than their size.
+
+    The scan skips what it cannot read and counts what it can; no text leaves a task. The reader drops a byte order mark
+    and the last line may lack its line feed.
+    """
+    text = _text(spark, src_dir, glob, modified_from, names, without, lineSep="\n", ignoreCorruptFiles="true")
+    read = text.groupBy(decoded(F.col("_metadata.file_path")).alias("file_path")).agg(
+        F.sum(F.octet_length("value") + 1).alias("bytes"))
+    missing = F.col("size") - F.coalesce("bytes", F.lit(0))
+    found = files.join(read, "file_path", "left").filter((F.col("size") > 0) & ~missing.isin(0, -1, BOM_BYTES, BOM_BYTES - 1))
+    if without:
+        found = found.filter(~F.col("file_name").isin(*sorted(without)))
+    return found.select("file_name")
+
+
+def file_of_error(error: Exception) -> set[str]:
+    """Base name of the file that a failed scan names, if it names one."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None:
+        text = cause.getMessage() or ""
+        if text.startswith("[FAILED_READ_FILE."):
+            return {unquote(cause.getMessageParameters().get("path")).rsplit("/", 1)[-1]}
+        cause = cause.getCause()
+    return set()
+
+
+def unreadable_files(error: Exception, partly_read: DataFrame, most: int) -> set[str]:
+    """Base names of files that a scan failed with ``error`` for: the named one, and up to ``most`` that are cut short."""
+    found = file_of_error(error)
+    try:
+        return found | {r["file_name"] for r in partly_read.limit(most).collect()}
+    except (Py4JJavaError, PySparkException) as other:  # no access, for one, is never skipped
+        return found | file_of_error(other)

@@ -2,11 +2,14 @@
 
 import datetime as dt
 import os
+import struct
 import uuid as pyuuid
+import zlib
 
 import pytest
 
 from telemetra.operators.store import TableStore
+from telemetra.plans import ingest
 from telemetra.plans.ingest import ingest_folder
 
 ROW = "&5604C1D8,22/05/25 12:00,9876543210,12.1,3.5"
@@ -260,3 +263,53 @@ def test_only_new_files_are_opened(spark, tmp_path):
     plan = lines._jdf.queryExecution().executedPlan()
     scan = plan.collectLeaves().apply(0)
     assert scan.metrics().apply("numFiles").value() == 2
+
+
+def _checksums(path, wrong=None):
+    """Put a checksum file beside ``path``, as Hadoop's local file system reads it, with the ``wrong`` chunk's sum spoilt."""
+    folder, name = os.path.split(path)
+    with open(path, "rb") as f:
+        data = f.read()
+    sums = [zlib.crc32(data[i:i + 512]) for i in range(0, len(data), 512)]
+    if wrong is not None:
+        sums[wrong] ^= 1
+    with open(os.path.join(folder, f".{name}.crc"), "wb") as f:
+        f.write(b"crc\0" + struct.pack(">i", 512) + b"".join(struct.pack(">I", c) for c in sums))
+
+
+def test_a_file_that_cannot_be_read_is_its_own_trouble(spark, tmp_path):
+    src, tables = str(tmp_path / "src"), str(tmp_path / "tables")
+    os.mkdir(src)
+    _write(src, "good.csv", ROW + "\n")
+    _write(src, "bom.csv", b"\xef\xbb\xbf" + ROW.replace("12:00", "12:30").encode())
+    _write(src, "crlf+more.csv", ROW.replace("12:00", "12:45") + "\r\n")
+    _write(src, "empty.csv", "\n")
+    first = _write(src, "first chunk 100%.csv", ROW.replace("12:00", "13:00") + "\n")
+    # The last chunk is spoilt, long after the first lines have been read.
+    last = _write(src, "last.csv", "".join(ROW.replace("12:00", f"{h % 24:02}:{h % 60:02}").replace("12.1", f"{h}.5") + "\n"
+                                           for h in range(9000)))
+    _checksums(first, 0)
+    _checksums(last, -1)
+    summary = ingest_folder(spark, src, tables, now=NOW).first()
+    store = TableStore(spark, tables)
+    assert store.read("readings").count() == summary.inserted == 3
+    assert {r.file_name for r in store.ledger().collect()} == {"good.csv", "bom.csv", "crlf+more.csv"}
+    assert (summary.files, summary.files_with_error) == (6, 3)
+    # Nothing of them was kept, so the next run takes them whole.
+    _checksums(first)
+    _checksums(last)
+    again = ingest_folder(spark, src, tables, now=NOW).first()
+    assert again.inserted == 9001 and {r.file_name for r in store.ledger().collect()} >= {"last.csv", "first chunk 100%.csv"}
+
+
+def test_an_error_of_no_file_is_raised(spark, tmp_path, monkeypatch):
+    src = str(tmp_path / "src")
+    os.mkdir(src)
+    _write(src, "good.csv", ROW + "\n")
+
+    def fails(lines, stage):
+        return stage(lines.withColumn("x", F.raise_error(F.lit("no file's own"))), "lines")
+
+    monkeypatch.setattr(ingest, "records", fails)
+    with pytest.raises(Exception, match="no file's own"):
+        ingest_folder(spark, src, str(tmp_path / "tables"))
