@@ -6,9 +6,10 @@
    differs significantly between the labelled classes stay.
 2. Many voters look at a text: stated word lists, precise mined words and stems, and patterns of shouting. Each says toxic,
    clean or nothing.
-3. A generative label model (expectation maximisation over the hidden class) estimates each voter's accuracy, the share
-   of toxic texts and the correlations left inside a class from the votes on both samples. Correlated voters share their
-   weight. The labels are no voter: they only name the classes, by the vote tables that the first step starts from.
+3. A generative label model (expectation maximisation over the hidden class: clean or one of the kinds of toxic, as in
+   several languages) estimates each voter's accuracy, the shares of the classes and the correlations left inside a class
+   from the votes on both samples. Correlated voters share their weight. The labels are no voter: they only anchor the
+   classes, by the vote tables that the first step starts from and that stay as a prior.
 4. A logistic model over the features is fitted to the posteriors of both samples and scores every whole text in one
    pass.
 
@@ -29,10 +30,13 @@ SAMPLE_ROWS = 6000   # labelled rows per class in the fit
 SAMPLE_TEXTS = 8000  # rows of the whole table in the fit
 FEATURES = 4096      # most features kept
 STEMS = (4, 5)       # bytes of a word prefix
-MIN_Z = 3.5          # least significance of a feature
+MIN_Z = 5.0          # least significance of a feature: hardly any of 10**6 words by chance
 VOTERS = 96          # mined voters
 PRECISION = 0.9      # least share of toxic rows among the labelled rows that a mined voter marks
 OVERLAP = 0.5        # most Jaccard similarity of the rows two mined voters mark
+ANCHOR = 1.0         # weight of a labelled row in the prior of the vote tables
+KIND_ROWS = 10       # least labelled rows of a kind of toxic texts,
+KIND_SHARE = 0.02    # and their least share of the toxic ones
 TOXIC = 0.5          # least score predicted toxic
 
 # Stated word lists, one voter each.
@@ -107,12 +111,15 @@ def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text
 
 
 def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[int, float]]:
-    """The significant (hash, z) pairs, strongest first."""
+    """The significant (hash, z) pairs, strongest first. ``z`` is the signed root of the likelihood ratio: a word that no
+    clean row has is judged by its toxic rows, however few they are beside another language's."""
     counts = sample.select("toxic", F.explode("features").alias("h")).groupBy("h").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).filter("a + b >= 3")
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    c, d = F.lit(n_toxic + 1.0) - a, F.lit(n_clean + 1.0) - b
-    z = (F.log(a / c) - F.log(b / d)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    a, b, total = F.col("a"), F.col("b"), float(n_toxic + n_clean)
+    cells = [(a, (a + b) * (n_toxic / total)), (b, (a + b) * (n_clean / total)),
+             (n_toxic - a, (total - a - b) * (n_toxic / total)), (n_clean - b, (total - a - b) * (n_clean / total))]
+    ratio = sum((F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells), F.lit(0.0))
+    z = F.signum(a / n_toxic - b / n_clean) * F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))
     best = counts.withColumn("z", z).filter(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "h").limit(FEATURES)
     return [(r["h"], r["z"]) for r in best.select("h", "z").collect()]
 
@@ -134,44 +141,80 @@ def mine_voters(has: np.ndarray, toxic: np.ndarray, ranked: list[int]) -> list[i
     return picked
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of class 1 for every row of ``votes`` (-1 none, 0 clean, 1 toxic), and the voters' weights.
+def toxic_kinds(marks: np.ndarray) -> np.ndarray:
+    """The kind (0, 1, ...; -1 none) of every toxic row of ``marks`` (rows x voters, True: says toxic).
+
+    Voters that mark the same rows make a kind, as the words of one language do: the most frequent voter left, with all that
+    mark its rows at least half as often as independent ones would. A row is of the kind most of its marks are of. Kinds of
+    fewer rows than ``KIND_ROWS`` and ``KIND_SHARE`` ask for are merged, smallest first.
+    """
+    marks = marks.astype(float)
+    both = marks.T @ marks
+    count = np.diag(both)
+    near = (both > 0) & (both >= 0.5 * np.outer(count, count) / max(len(marks), 1))
+    left, families = count > 0, []
+    while left.any():
+        seed = np.argmax(np.where(left, count, 0))
+        families.append(left & near[seed])
+        left &= ~near[seed]
+    hits = [marks[:, family].sum(1) for family in families]
+    while True:
+        most = np.stack([np.zeros(len(marks)), *hits], 1)
+        kind = np.where(most.max(1) > 0, most[:, 1:].argmax(1) if hits else 0, -1)
+        rows = np.bincount(kind[kind >= 0], minlength=len(hits))
+        if len(hits) < 2 or rows.min() >= max(KIND_ROWS, KIND_SHARE * len(marks)):
+            return kind
+        one, other = sorted(np.argsort(rows, kind="stable")[:2])
+        hits[one] = hits[one] + hits.pop(other)
 
-    Class-conditional tables P(vote | class) and the class share are estimated by EM over all rows. ``gold`` (-1 not
-    known) is used once, for the tables that EM starts from; it is not seen again. A voter's weight is
-    1 / (1 + sum of its positive correlations inside the classes), so voters that repeat each other count about once.
+
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of toxic for every row of ``votes`` (-1 none, 0 clean, 1 toxic), and the voters' weights.
+
+    The hidden class is clean or one of several kinds of toxic: voters that never meet, as words of two languages, would
+    speak against each other inside a single toxic class. Tables P(vote | class) and the class shares are estimated by EM
+    over all rows. ``gold`` (-1 not known) gives the kinds and the tables that EM starts from, which stay as a prior of the
+    tables (weight ``ANCHOR``), so that rows marked by mistake cannot pull a kind away; no row is held to its label. A
+    voter's weight is 1 / (1 + sum of its positive correlations inside the classes), so voters that repeat each other count
+    about once.
     """
     said = np.stack([votes == v for v in (-1, 0, 1)]).astype(float)  # vote x row x voter
-    known = gold >= 0
 
-    def tables(rows, post):
-        table = np.stack([(said[:, rows] * p[None, :, None]).sum(1) + 0.5 for p in (1 - post, post)])
-        return table / table.sum(1, keepdims=True)  # class x vote x voter
+    def counts(post):
+        return np.stack([p @ vote for p in post.T for vote in said]).reshape(post.shape[1], 3, -1)  # class x vote x voter
+
+    def tables(post):
+        table = counts(post) + ANCHOR * anchor + 0.5
+        return table / table.sum(1, keepdims=True)
 
     def posterior(table, share, weight):
-        ratio = np.log(table[1]) - np.log(table[0])
-        logit = np.log(share / (1 - share)) + (said * (ratio * weight)[:, None, :]).sum((0, 2))
-        return np.clip(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 1e-6, 1 - 1e-6)
+        logit = np.log(share) + sum(vote @ (np.log(table[:, v]) * weight).T for v, vote in enumerate(said))
+        odds = np.exp(logit - logit.max(1, keepdims=True))
+        return odds / odds.sum(1, keepdims=True)  # row x class, clean first
 
     def shared(table, post):
-        expected = (1 - post)[:, None] * table[0, 2] + post[:, None] * table[1, 2]
-        residual = said[2] - expected
+        residual = said[2] - post @ table[:, 2]
         scale = np.sqrt((residual ** 2).mean(0)) + 1e-9
         correlation = (residual.T @ residual) / len(post) / np.outer(scale, scale)
         np.fill_diagonal(correlation, 0)
         return 1 / (1 + np.where(correlation > 0.1, correlation, 0).sum(1))
 
-    table, share, weight = tables(known, gold[known].astype(float)), gold[known].mean(), np.ones(votes.shape[1])
+    kind = toxic_kinds(votes[gold == 1] == 1)
+    post = np.zeros((len(gold), 2 + max(kind.max(initial=0), 0)))
+    post[gold == 0, 0] = 1
+    post[np.flatnonzero(gold == 1)[kind >= 0], 1 + kind[kind >= 0]] = 1
+    anchor = counts(post)
+    table, share, weight = tables(post), (post.sum(0) + 0.5) / (post + 0.5 / len(post)).sum(), np.ones(votes.shape[1])
     post = posterior(table, share, weight)
     for _ in range(rounds):
-        table, share = tables(slice(None), post), post.mean()
+        table, share = tables(post), np.maximum(post.mean(0), 1e-9)
         weight = shared(table, post)
         new = posterior(table, share, weight)
         done = np.abs(new - post).max() < 1e-4
         post = new
         if done:
             break
-    return post, weight
+    return np.clip(1 - post[:, 0], 1e-6, 1 - 1e-6), weight
 
 
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, target: np.ndarray, width: int,

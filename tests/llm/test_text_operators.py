@@ -231,6 +231,42 @@ def test_label_model_learns_from_votes_without_labels():
     assert np.abs(again - posterior).max() < 0.05
 
 
+def test_label_model_keeps_toxic_texts_of_every_language():
+    rng = np.random.default_rng(8)
+    truth = rng.choice([0, 1, 2], 6000, p=[0.88, 0.09, 0.03])  # clean, toxic in a frequent and in a rarer language
+    marks = [np.where(rng.random(6000) < np.where(truth == kind, 0.45, 0.001), 1, -1) for kind in (1, 2) for _ in range(16)]
+    votes = np.column_stack([*marks, np.where((np.stack(marks) == 1).any(0), -1, 0)])
+    gold = np.where(np.arange(6000) < 2000, truth > 0, -1)
+    posterior, _ = toxicity.label_model(votes, gold)
+    for kind in (1, 2):
+        assert (posterior[truth == kind] >= 0.5).mean() > 0.97
+    assert (posterior[truth == 0] < 0.5).mean() > 0.99
+
+
+def test_kinds_are_rows_of_voters_that_meet():
+    marks = np.zeros((60, 6), bool)
+    marks[:40, :2], marks[40:58, 2:4] = True, True
+    marks[:2, 4], marks[57, 5] = True, True
+    assert toxicity.toxic_kinds(marks).tolist() == [0] * 40 + [1] * 18 + [-1] * 2
+    few = np.eye(4, dtype=bool)  # four kinds of one row are too few
+    assert toxicity.toxic_kinds(few).tolist() == [0] * 4
+    assert toxicity.toxic_kinds(few[:0]).tolist() == [] and toxicity.toxic_kinds(few[:, :0]).tolist() == [-1] * 4
+
+
+def test_toxic_texts_of_a_rarer_language_go(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(1500):
+        rare, bad = i % 4 == 0, i % 5 == 0
+        words = [f"{'yk' if rare else 'we'}{rng.randrange(400):03d}" for _ in range(40)]
+        if bad:
+            words += rng.sample([f"{'zum' if rare else 'bad'}{k}x" for k in range(24)], 8)
+        rows.append((i, " ".join(words), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = toxicity.drop_toxic(docs.drop("toxic"), docs.filter("doc_id < 1000").select("doc_id", "toxic"))
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, bad in rows if not bad]
+
+
 def test_mined_voters_are_precise_and_different():
     toxic = np.arange(200) < 40
     first, other = np.arange(200) < 20, (np.arange(200) >= 20) & (np.arange(200) < 38)
